@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import text
 from millrace.sources import ndjson
 
 CORRUPT = "_corrupt_record"
@@ -32,19 +33,24 @@ def read_staged(spark: SparkSession, files: StagedFiles) -> DataFrame:
     """All lines with typed columns, the raw text of damaged lines, and provenance.
 
     A line is damaged when a value does not fit its type or the number of
-    values differs from the number of columns.
+    values differs from the number of columns. Settle the result
+    (`session.settle`) before taking rows, status and rejects from it: all three
+    then describe the same single read.
     """
     schema = T.StructType([*files.schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
+    lines = (
         spark.read.schema(schema)
         .options(**files.options)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", files.pattern)
+        # a line is judged by all its values, whichever columns are read later
+        .option("columnPruning", "false")
         .csv(files.root)
         .select("*", *ndjson.PROVENANCE)
     )
+    return ndjson.in_reading_order(lines)
 
 
 def good_rows(staged: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
@@ -52,10 +58,15 @@ def good_rows(staged: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
     return staged.where(F.col(CORRUPT).isNull()).select(*[c.alias(n) for n, c in fields.items()])
 
 
+def value_count(files: StagedFiles) -> Column:
+    """Number of values on a damaged line."""
+    return F.size(text.literal_split(F.col(CORRUPT), files.separator))
+
+
 def damage(files: StagedFiles) -> Column:
     """What is wrong with a damaged line."""
     expected = len(files.schema.fields)
-    found = F.size(F.split(F.col(CORRUPT), "\\Q" + files.separator + "\\E"))
+    found = value_count(files)
     return F.when(
         found != expected,
         F.concat(F.lit(f"expected {expected} values, found "), found.cast("string")),
@@ -86,7 +97,7 @@ def load_status(staged: DataFrame, files: StagedFiles) -> DataFrame:
         F.min(F.when(bad, damage(files))).alias("first_error"),
     )
     spark = staged.sparkSession
-    name = F.element_at(F.split("file_path", "/"), -1)
+    name = ndjson.relative_path(F.col("file_path"), files.root)
     empty = (
         listed_files(spark, files)
         .where("_size = 0")
@@ -113,10 +124,10 @@ def rejects(staged: DataFrame, files: StagedFiles) -> DataFrame:
     numbered = ndjson.with_line_numbers(staged, "line")
     header = 1 if str(files.options.get("header", "false")).lower() == "true" else 0
     expected = len(files.schema.fields)
-    found = F.size(F.split(F.col(CORRUPT), "\\Q" + files.separator + "\\E"))
+    found = value_count(files)
     return numbered.where(F.col(CORRUPT).isNotNull()).select(
         damage(files).alias("error"),
-        F.element_at(F.split("file_path", "/"), -1).alias("file"),
+        ndjson.relative_path(F.col("file_path"), files.root).alias("file"),
         (F.col("line") + header).alias("line"),
         F.when(found != expected, "parsing").otherwise("conversion").alias("category"),
         F.col(CORRUPT).alias("rejected_record"),

@@ -32,16 +32,22 @@ def relative_path(path: Column, root: str) -> Column:
     return F.substring_index(plain, marker, -1) if marker != "//" else plain
 
 
+def in_reading_order(lines: DataFrame) -> DataFrame:
+    """Marks the order in which a scan delivers its lines (`_order`)."""
+    return lines.withColumn("_order", F.monotonically_increasing_id())
+
+
 def with_line_numbers(lines: DataFrame, name: str = "line") -> DataFrame:
     """Adds the 1-based line number within each file.
 
     Large files are read in blocks, so lines are numbered inside their block
     and shifted by the line counts of the earlier blocks of the file. A block is
     never larger than `spark.sql.files.maxPartitionBytes`, which bounds every
-    window group whatever the size of the file.
+    window group whatever the size of the file. Lines that were stored since
+    they were read bring their reading order in `_order`.
     """
     block = ["file_path", "file_block_start"]
-    marked = lines.withColumn("_order", F.monotonically_increasing_id())
+    marked = lines if "_order" in lines.columns else in_reading_order(lines)
     counts = lines.groupBy(*block).agg(F.count("*").alias("_lines"))
     earlier = Window.partitionBy("file_path").orderBy("file_block_start").rowsBetween(
         Window.unboundedPreceding, -1
