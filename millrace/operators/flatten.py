@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import nested, text
+from millrace.functions import text
 
 
 def flatten_outer(rows: DataFrame, array: Column, name: str, position: str | None = None) -> DataFrame:
@@ -54,4 +54,4 @@ def flatten_tokens(rows: DataFrame, col: Column, delimiters: str, name: str) ->
 
 def flatten_entries(rows: DataFrame, entries: Column, name: str) -> DataFrame:
     """One row per entry of a bundle; an empty bundle gives one NULL entry."""
-    return rows.withColumn(name, F.explode(nested.elements(entries)))
+    return flatten_outer(rows, entries, name)
