@@ -88,7 +88,7 @@ VISIBLE = [c for c in profile.RESULT_COLUMNS if c not in ("profile_run_id", "dat
 
 def profiled(spark: SparkSession, named: dict[str, DataFrame], run: str = RUN, blanks: bool = True) -> DataFrame:
     taken = F.lit(TAKEN).cast("timestamp")
-    return profiling.profile_tables(named, run_id=run, blanks_are_null=blanks, taken_at=taken)
+    return profiling.profile_run(named, run_id=run, blanks_are_null=blanks, taken_at=taken)
 
 
 @check("profile_columns", table_sql("gappy", GAPPY, GAPPY_SQL) + " union all " + table_sql("lineitem", TYPES["lineitem"]))

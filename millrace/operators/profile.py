@@ -1,19 +1,22 @@
 """Column profiles: row, null and distinct counts, minimum and maximum.
 
-One table costs two passes whatever its column count: a typed aggregate without
-a data shuffle (counts, minimum, maximum), and one aggregate over (column, value)
-for the exact distinct counts. The second one deduplicates on the map side and
-spreads each column over its values, so neither a wide table nor a dominant
-value concentrates on one task.
+A table is read twice whatever its column count: by a typed aggregate without a
+data shuffle (counts, minimum, maximum), and by one aggregate over
+(table, column, value) for the exact distinct counts. The second one is shared by
+all tables of a run, deduplicates on the map side and spreads each column over
+its values, so neither a wide table nor a dominant value concentrates on one
+task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions import measures
+from millrace.functions import measures, nested
 
 RESULT_COLUMNS = [
     "profile_run_id",
@@ -37,62 +40,88 @@ RESULT_COLUMNS = [
 LONG_VALUE = 64
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(value: str) -> str:
+    return nested.quoted(value)
 
 
 def _is_nested(kind: T.DataType) -> bool:
     return isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
 
 
-def as_text(field: T.StructField) -> Column:
-    """The column as text that is equal exactly where the values are equal."""
+def as_text(field: T.StructField) -> str:
+    """SQL: the column as text that is equal exactly where the values are equal."""
     col = _quoted(field.name)
+    if isinstance(field.dataType, T.VariantType):
+        return f"to_json({col})"
     if _is_nested(field.dataType):
-        return F.to_json(F.struct(col.alias("v"))) if not isinstance(field.dataType, T.VariantType) else F.to_json(col)
+        return f"if({col} is null, null, to_json(named_struct('v', {col})))"
     if isinstance(field.dataType, T.BinaryType):
-        return F.hex(col)
+        return f"hex({col})"
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return (col + F.lit(0).cast(field.dataType)).cast("string")
-    return col.cast("string")
+        # minus zero equals zero
+        return f"cast({col} + cast(0 as {field.dataType.simpleString()}) as string)"
+    return f"cast({col} as string)"
 
 
-def _countable(field: T.StructField) -> Column:
-    value = as_text(field) if not _is_nested(field.dataType) else F.when(_quoted(field.name).isNotNull(), as_text(field))
+def _countable(field: T.StructField) -> str:
+    """SQL: `as_text`, long values replaced by their digest."""
+    value = as_text(field)
     if isinstance(field.dataType, (T.StringType, T.BinaryType)) or _is_nested(field.dataType):
-        value = F.when(F.length(value) > LONG_VALUE, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value)
+        return f"if(length({value}) > {LONG_VALUE}, concat('#', sha2({value}, 256)), {value})"
     return value
 
 
-def distinct_counts(table: DataFrame, approximate: bool = False) -> DataFrame:
-    """(column_name, distinct_count) for every column; NULL is not a value."""
+def _typed_facts(table: DataFrame, name: str, blanks_are_null: bool) -> DataFrame:
+    """Per column: type, rows, nulls, minimum and maximum as text."""
+    facts, rows = ["count(*) as n"], []
+    for i, field in enumerate(table.schema.fields):
+        col = _quoted(field.name)
+        missing = f"{col} is null"
+        if blanks_are_null and isinstance(field.dataType, T.StringType):
+            missing += f" or length(trim({col})) = 0"
+        facts.append(f"count_if({missing}) as missing{i}")
+        ends = ["cast(null as string)"] * 2
+        if not _is_nested(field.dataType):
+            facts += [f"cast(min({col}) as string) as min{i}", f"cast(max({col}) as string) as max{i}"]
+            ends = [f"min{i}", f"max{i}"]
+        kind = _literal(field.dataType.simpleString())
+        rows.append(", ".join([str(i), _literal(field.name), kind, "n", f"missing{i}", *ends]))
+    columns = "ordinal, column_name, data_type, total_rows, null_count, min_value, max_value"
+    stacked = f"stack({len(rows)}, {', '.join(rows)}) as ({columns})"
+    return table.selectExpr(*facts).selectExpr(f"{_literal(name)} as table_name", stacked)
+
+
+def _values(table: DataFrame, name: str) -> DataFrame:
+    """Every non-NULL value as a (table, column, text) row."""
     fields = table.schema.fields
+    entries = ", ".join(f"{i}, {_countable(f)}" for i, f in enumerate(fields))
+    stacked = f"stack({len(fields)}, {entries}) as (ordinal, value)"
+    return table.selectExpr(f"{_literal(name)} as table_name", stacked).where("value is not null")
+
+
+def _stacked(frames: list[DataFrame]) -> DataFrame:
+    merged = frames[0]
+    for frame in frames[1:]:
+        merged = merged.unionAll(frame)
+    return merged
+
+
+def distinct_counts(tables: Mapping[str, DataFrame], approximate: bool = False) -> DataFrame:
+    """(table_name, ordinal, distinct_count) of every column that has a value."""
+    values = _stacked([_values(t, n) for n, t in tables.items()])
     if approximate:
-        counts = table.agg(
-            *[F.approx_count_distinct(as_text(f)).alias(f"c{i}") for i, f in enumerate(fields)]
+        return values.groupBy("table_name", "ordinal").agg(
+            F.approx_count_distinct("value").alias("distinct_count")
         )
-        return counts.select(
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(F.lit(f.name).alias("column_name"), F.col(f"c{i}").alias("distinct_count"))
-                        for i, f in enumerate(fields)
-                    ]
-                )
-            ).alias("e")
-        ).select("e.*")
-    entries = F.array(
-        *[F.struct(F.lit(i).alias("ordinal"), _countable(f).alias("value")) for i, f in enumerate(fields)]
-    )
-    values = table.select(F.explode(entries).alias("e")).select("e.*").where("value IS NOT NULL")
-    counted = values.distinct().groupBy("ordinal").agg(F.count("*").alias("distinct_count"))
-    names = F.element_at(F.array(*[F.lit(f.name) for f in fields]), F.col("ordinal") + 1)
-    return counted.select(names.alias("column_name"), "distinct_count")
+    return values.distinct().groupBy("table_name", "ordinal").agg(F.count("*").alias("distinct_count"))
 
 
-def profile_columns(
-    table: DataFrame,
-    table_name: str,
+def profile_tables(
+    tables: Mapping[str, DataFrame],
     *,
     run_id: str,
     database: str = "",
@@ -101,43 +130,20 @@ def profile_columns(
     approximate: bool = False,
     taken_at: Column | None = None,
 ) -> DataFrame:
-    """One row per column in the layout of `RESULT_COLUMNS`.
+    """One row per column of every table, in the layout of `RESULT_COLUMNS`.
 
     `blanks_are_null` counts blank text as null, while the distinct count still
     takes it as a value. Nested columns have no minimum or maximum.
     """
-    fields = table.schema.fields
-    facts = [F.count("*").alias("n")]
-    for i, field in enumerate(fields):
-        col = _quoted(field.name)
-        missing = col.isNull()
-        if blanks_are_null and isinstance(field.dataType, T.StringType):
-            missing = missing | (F.length(F.trim(col)) == 0)
-        facts.append(F.count_if(missing).alias(f"missing{i}"))
-        if not _is_nested(field.dataType):
-            facts.append(F.min(col).cast("string").alias(f"min{i}"))
-            facts.append(F.max(col).cast("string").alias(f"max{i}"))
-    nothing = F.lit(None).cast("string")
-    rows = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.col("n").alias("total_rows"),
-            F.col(f"missing{i}").alias("null_count"),
-            (nothing if _is_nested(f.dataType) else F.col(f"min{i}")).alias("min_value"),
-            (nothing if _is_nested(f.dataType) else F.col(f"max{i}")).alias("max_value"),
-        )
-        for i, f in enumerate(fields)
-    ]
-    typed = table.agg(*facts).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    joined = typed.join(distinct_counts(table, approximate), "column_name", "left")
+    typed = _stacked([_typed_facts(t, n, blanks_are_null) for n, t in tables.items()])
+    joined = typed.join(distinct_counts(tables, approximate), ["table_name", "ordinal"], "left")
     filled = F.col("total_rows") - F.col("null_count")
     distinct = F.coalesce("distinct_count", F.lit(0).cast("bigint"))
     return joined.select(
         F.lit(run_id).alias("profile_run_id"),
         F.lit(database).alias("database_name"),
         F.lit(schema).alias("schema_name"),
-        F.lit(table_name).alias("table_name"),
+        "table_name",
         "column_name",
         "data_type",
         "total_rows",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators import profile, quality
 
@@ -16,33 +16,11 @@ def catalog_tables(spark: SparkSession, schema: str) -> dict[str, DataFrame]:
     return {t.name: spark.table(f"{schema}.`{t.name}`") for t in sorted(listed, key=lambda t: t.name)}
 
 
-def profile_tables(
-    named_tables: Mapping[str, DataFrame],
-    *,
-    run_id: str | None = None,
-    database: str = "",
-    schema: str = "",
-    blanks_are_null: bool = True,
-    taken_at: Column | None = None,
+def profile_run(
+    named_tables: Mapping[str, DataFrame], *, run_id: str | None = None, **options
 ) -> DataFrame:
-    """Every column of every table under one run id."""
-    run = run_id or str(uuid.uuid4())
-    parts = [
-        profile.profile_columns(
-            table,
-            name,
-            run_id=run,
-            database=database,
-            schema=schema,
-            blanks_are_null=blanks_are_null,
-            taken_at=taken_at,
-        )
-        for name, table in named_tables.items()
-    ]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionAll(part)
-    return merged
+    """Every column of every table under one run id (options as `operators.profile.profile_tables`)."""
+    return profile.profile_tables(named_tables, run_id=run_id or str(uuid.uuid4()), **options)
 
 
 def quality_report(results: DataFrame) -> dict[str, DataFrame]:
