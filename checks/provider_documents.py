@@ -353,8 +353,9 @@ def affiliations(spark: SparkSession, folder: str) -> DataFrame:
         "participatingOrganization": ref(f"concat('Organization/org', p_size, '-org')"),
         "period": obj(start="'2021-01-01'", end=TEXT),
         "location": opt("p_size > 10", f"array({ref(concat_id('Location/loc', 'p_size', '-loc'))})"),
-        "healthcareService": (
-            f"transform(sequence(1, p_size div 7), i -> {ref(concat_id('HealthcareService/svc', 'i', '-svc'))})"
+        "healthcareService": opt(
+            "p_size >= 7",
+            f"transform(sequence(1, p_size div 7), i -> {ref(concat_id('HealthcareService/svc', 'i', '-svc'))})",
         ),
         "identifier": arr(ident("concat('PEI', p_partkey)", "PEI"), ident("'other'", "OTH")),
         "code": arr(concept(coding("'T2'", "'http://x/BCBSProviderTypeCS'", "'Type two'"))),

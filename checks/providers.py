@@ -276,7 +276,7 @@ AFFILIATION_SOURCE = "(select *, unnest(range(1, least(p_size // 7, 5) + 1)) as
     f"select {filled(resource_specs.ORG_AFFILIATION.layout, AFFILIATION_COLUMNS)} from {AFFILIATION_SOURCE}",
 )
 def fhir_org_affiliation(spark: SparkSession, folder: str) -> DataFrame:
-    # parts with fewer than seven sizes have an empty service list and drop
+    # parts below size seven have no services and drop
     return resources.flatten_resource(docs.affiliations(spark, folder), resource_specs.ORG_AFFILIATION)
 
 
