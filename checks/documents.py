@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import table
+from checks.registry import wide_table as table
 
 # number of lines of an order document: its priority digit, absent for 'F', empty for 'P'
 DIGIT = "cast(substr(o_orderpriority, 1, 1) as int)"

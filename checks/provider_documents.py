@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import table
+from checks.registry import wide_table as table
 from millrace.sources import ndjson
 
 EXPORT = "DemographicExport"
@@ -212,7 +212,7 @@ def roles(spark: SparkSession, folder: str) -> DataFrame:
         "period": obj(start="date_format(o_orderdate, 'yyyy-MM-dd')", end="'2030-12-31'"),
         "location": opt(
             f"{digit} > 1",
-            f"transform(sequence(1, {digit} - 1), i -> {ref(concat_id('Location/loc', 'i', '-loc'))})",
+            f"transform(sequence(1, least({digit} - 1, 2)), i -> {ref(concat_id('Location/loc', 'i', '-loc'))})",
         ),
         "healthcareService": f"array({ref(concat_id('HealthcareService/svc', digit, '-svc'))})",
         "identifier": arr(ident("concat('E', o_orderkey)", "PEI"), ident("concat('A', o_orderkey)", "X")),

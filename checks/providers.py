@@ -141,7 +141,7 @@ ROLE_COLUMNS = {
 ROLE_SOURCE = """
 (select *, unnest(case when o_orderstatus = 'F' then [''] when o_orderstatus = 'O' then ['net' || d]
    else ['net' || d, 'net' || (d + 1)] end) as net from
-  (select *, unnest(case when d = 1 then [null] else ['loc' || i || '-loc' for i in range(1, d)] end) as loc from
+  (select *, unnest(case when d = 1 then [null] else ['loc' || i || '-loc' for i in range(1, least(d, 3))] end) as loc from
     (select *, cast(substr(o_orderpriority, 1, 1) as int) as d from orders join customer on o_custkey = c_custkey)))
 """
 

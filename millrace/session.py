@@ -67,3 +67,13 @@ def settle(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """All cores for a scan that has fewer partitions than there are cores.
+
+    A small table stored as one file would otherwise keep costly per-row work on
+    one core. Larger inputs pass through unchanged, without a shuffle.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
