@@ -74,14 +74,15 @@ def damage(files: StagedFiles) -> Column:
 
 
 def listed_files(spark: SparkSession, files: StagedFiles) -> DataFrame:
-    """Path and size of every matching file, empty ones included."""
+    """Every matching file below the root, also the empty ones a scan skips."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", files.pattern)
         .load(files.root)
     )
-    return listing.select(F.col("path").alias("_path"), F.col("length").alias("_size"))
+    paths = spark.createDataFrame([(p,) for p in listing.inputFiles()], "file_path string")
+    return paths.select(ndjson.relative_path(F.col("file_path"), files.root).alias("file"))
 
 
 def load_status(staged: DataFrame, files: StagedFiles) -> DataFrame:
@@ -96,27 +97,15 @@ def load_status(staged: DataFrame, files: StagedFiles) -> DataFrame:
         F.count_if(bad).alias("errors_seen"),
         F.min(F.when(bad, damage(files))).alias("first_error"),
     )
-    spark = staged.sparkSession
-    name = ndjson.relative_path(F.col("file_path"), files.root)
-    empty = (
-        listed_files(spark, files)
-        .where("_size = 0")
-        .select(
-            F.col("_path").alias("file_path"),
-            F.lit(0).cast("bigint").alias("rows_parsed"),
-            F.lit(0).cast("bigint").alias("row_loaded"),
-            F.lit(0).cast("bigint").alias("errors_seen"),
-            F.lit(None).cast("string").alias("first_error"),
-        )
-    )
+    counted = per_file.withColumn("file", ndjson.relative_path(F.col("file_path"), files.root))
+    every = listed_files(staged.sparkSession, files).join(counted.drop("file_path"), "file", "left")
+    every = every.fillna(0, ["rows_parsed", "row_loaded", "errors_seen"])
     status = (
         F.when(F.col("errors_seen") == 0, "LOADED")
         .when(F.col("row_loaded") == 0, "LOAD_FAILED")
         .otherwise("PARTIALLY_LOADED")
     )
-    return per_file.unionByName(empty).select(
-        name.alias("file"), status.alias("status"), "rows_parsed", "row_loaded", "errors_seen", "first_error"
-    )
+    return every.select("file", status.alias("status"), "rows_parsed", "row_loaded", "errors_seen", "first_error")
 
 
 def rejects(staged: DataFrame, files: StagedFiles) -> DataFrame:
