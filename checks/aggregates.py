@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import check, table
+from checks.registry import check, table, wide_table
 from millrace.functions import measures, text
 from millrace.operators import aggregate, flatten, versions
 
@@ -85,7 +85,7 @@ from cost join units on cost.c_nationkey = units.c_nationkey
 
 
 def line_costs(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    lines = wide_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
     part = table(spark, folder, "part").select("p_partkey", "p_brand", "p_type")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import check, table
+from checks.registry import check, wide_table as table
 from millrace import session
 from millrace.plans import marts
 from millrace.sources import tables

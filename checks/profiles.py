@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.aggregates import exact_mean
-from checks.registry import check, table
+from checks.registry import check, wide_table as table
 from millrace import session
 from millrace.operators import profile, quality
 from millrace.plans import profiling
@@ -299,3 +299,8 @@ def csv_export(spark: SparkSession, folder: str) -> DataFrame:
     tables.export_csv(results(spark, folder), target)
     written = spark.read.option("header", True).csv(target)
     return written.select("table_name", "column_name", "total_rows", "null_percentage")
+
+
+@check("profile_lineitem", table_sql("lineitem", TYPES["lineitem"]))
+def profile_lineitem(spark: SparkSession, folder: str) -> DataFrame:
+    return profiled(spark, {"lineitem": table(spark, folder, "lineitem")}).select(*VISIBLE)

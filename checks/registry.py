@@ -33,5 +33,5 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows get costly work each (building documents)."""
+    """A table whose rows get costly work each (documents, profiles, decimals)."""
     return session.spread(table(spark, folder, name))

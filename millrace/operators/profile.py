@@ -39,6 +39,9 @@ RESULT_COLUMNS = [
 # Values longer than this travel as a digest while they are counted.
 LONG_VALUE = 64
 
+# Carriers of a value while it is counted.
+VALUE = ["number", "float", "text"]
+
 
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -52,30 +55,47 @@ def _is_nested(kind: T.DataType) -> bool:
     return isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
 
 
-def as_text(field: T.StructField) -> str:
-    """SQL: the column as text that is equal exactly where the values are equal."""
+def _as_number(field: T.StructField) -> str | None:
+    """SQL: a bigint that is equal exactly where the values are equal, for types that allow it."""
+    col = _quoted(field.name)
+    if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return f"cast({col} as bigint)"
+    if isinstance(field.dataType, T.DateType):
+        return f"cast(unix_date({col}) as bigint)"
+    if isinstance(field.dataType, T.TimestampType):
+        return f"unix_micros({col})"
+    if isinstance(field.dataType, T.TimestampNTZType):
+        return f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', {col})"
+    return None
+
+
+def _as_text(field: T.StructField) -> str:
+    """SQL: a text that is equal exactly where the values are equal; long ones become a digest."""
     col = _quoted(field.name)
     if isinstance(field.dataType, T.VariantType):
-        return f"to_json({col})"
-    if _is_nested(field.dataType):
-        return f"if({col} is null, null, to_json(named_struct('v', {col})))"
-    if isinstance(field.dataType, T.BinaryType):
-        return f"hex({col})"
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        # minus zero equals zero
-        return f"cast({col} + cast(0 as {field.dataType.simpleString()}) as string)"
-    return f"cast({col} as string)"
-
-
-def _countable(field: T.StructField) -> str:
-    """SQL: `as_text`, long values replaced by their digest."""
-    value = as_text(field)
+        value = f"to_json({col})"
+    elif _is_nested(field.dataType):
+        value = f"if({col} is null, null, to_json(named_struct('v', {col})))"
+    elif isinstance(field.dataType, T.BinaryType):
+        value = f"hex({col})"
+    else:
+        value = f"cast({col} as string)"
     if isinstance(field.dataType, (T.StringType, T.BinaryType)) or _is_nested(field.dataType):
         return f"if(length({value}) > {LONG_VALUE}, concat('#', sha2({value}, 256)), {value})"
     return value
 
 
-def _typed_facts(table: DataFrame, name: str, blanks_are_null: bool) -> DataFrame:
+def _countable(field: T.StructField) -> tuple[str, str, str]:
+    """SQL: the value as (bigint, double, text), one of them filled: numbers stay numbers."""
+    no_number, no_float, no_text = "cast(null as bigint)", "cast(null as double)", "cast(null as string)"
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        # minus zero equals zero
+        return no_number, f"cast({_quoted(field.name)} as double) + 0.0D", no_text
+    number = _as_number(field)
+    return (number, no_float, no_text) if number else (no_number, no_float, _as_text(field))
+
+
+def _typed_facts(table: DataFrame, name: str, start: int, blanks_are_null: bool) -> DataFrame:
     """Per column: type, rows, nulls, minimum and maximum as text."""
     facts, rows = ["count(*) as n"], []
     for i, field in enumerate(table.schema.fields):
@@ -89,18 +109,18 @@ def _typed_facts(table: DataFrame, name: str, blanks_are_null: bool) -> DataFram
             facts += [f"cast(min({col}) as string) as min{i}", f"cast(max({col}) as string) as max{i}"]
             ends = [f"min{i}", f"max{i}"]
         kind = _literal(field.dataType.simpleString())
-        rows.append(", ".join([str(i), _literal(field.name), kind, "n", f"missing{i}", *ends]))
-    columns = "ordinal, column_name, data_type, total_rows, null_count, min_value, max_value"
+        rows.append(", ".join([str(start + i), _literal(field.name), kind, "n", f"missing{i}", *ends]))
+    columns = "slot, column_name, data_type, total_rows, null_count, min_value, max_value"
     stacked = f"stack({len(rows)}, {', '.join(rows)}) as ({columns})"
     return table.selectExpr(*facts).selectExpr(f"{_literal(name)} as table_name", stacked)
 
 
-def _values(table: DataFrame, name: str) -> DataFrame:
-    """Every non-NULL value as a (table, column, text) row."""
+def _values(table: DataFrame, start: int) -> DataFrame:
+    """Every non-NULL value as a (slot, value) row; slots number the columns of the run."""
     fields = table.schema.fields
-    entries = ", ".join(f"{i}, {_countable(f)}" for i, f in enumerate(fields))
-    stacked = f"stack({len(fields)}, {entries}) as (ordinal, value)"
-    return table.selectExpr(f"{_literal(name)} as table_name", stacked).where("value is not null")
+    entries = ", ".join(f"{start + i}, {', '.join(_countable(f))}" for i, f in enumerate(fields))
+    stacked = f"stack({len(fields)}, {entries}) as (slot, {', '.join(VALUE)})"
+    return table.selectExpr(stacked).where(" or ".join(f"{v} is not null" for v in VALUE))
 
 
 def _stacked(frames: list[DataFrame]) -> DataFrame:
@@ -110,14 +130,24 @@ def _stacked(frames: list[DataFrame]) -> DataFrame:
     return merged
 
 
+def _starts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """First column slot of each table."""
+    starts, total = {}, 0
+    for name, table in tables.items():
+        starts[name] = total
+        total += len(table.columns)
+    return starts
+
+
 def distinct_counts(tables: Mapping[str, DataFrame], approximate: bool = False) -> DataFrame:
-    """(table_name, ordinal, distinct_count) of every column that has a value."""
-    values = _stacked([_values(t, n) for n, t in tables.items()])
+    """(slot, distinct_count) of every column that has a value."""
+    starts = _starts(tables)
+    values = _stacked([_values(t, starts[n]) for n, t in tables.items()])
     if approximate:
-        return values.groupBy("table_name", "ordinal").agg(
-            F.approx_count_distinct("value").alias("distinct_count")
+        return values.groupBy("slot").agg(
+            F.approx_count_distinct(F.struct(*VALUE)).alias("distinct_count")
         )
-    return values.distinct().groupBy("table_name", "ordinal").agg(F.count("*").alias("distinct_count"))
+    return values.distinct().groupBy("slot").agg(F.count("*").alias("distinct_count"))
 
 
 def profile_tables(
@@ -135,8 +165,9 @@ def profile_tables(
     `blanks_are_null` counts blank text as null, while the distinct count still
     takes it as a value. Nested columns have no minimum or maximum.
     """
-    typed = _stacked([_typed_facts(t, n, blanks_are_null) for n, t in tables.items()])
-    joined = typed.join(distinct_counts(tables, approximate), ["table_name", "ordinal"], "left")
+    starts = _starts(tables)
+    typed = _stacked([_typed_facts(t, n, starts[n], blanks_are_null) for n, t in tables.items()])
+    joined = typed.join(distinct_counts(tables, approximate), "slot", "left")
     filled = F.col("total_rows") - F.col("null_count")
     distinct = F.coalesce("distinct_count", F.lit(0).cast("bigint"))
     return joined.select(

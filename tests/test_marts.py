@@ -106,6 +106,8 @@ def test_profile_traps(spark):
     assert rows["nothing"]["null_percentage"] == 100 and rows["nothing"]["distinct_percentage"] is None
     assert rows["number"]["distinct_count"] == 2 and rows["yes"]["min_value"] == "false"
     assert rows["list"]["distinct_count"] == 1 and rows["list"]["min_value"] is None
+    near = profile.profile_tables({"t": table}, run_id="r", approximate=True)
+    assert {r["column_name"]: r["distinct_count"] for r in near.collect()}["number"] == 2
     strict = profile.profile_tables({"t": table}, run_id="r", blanks_are_null=False)
     assert {r["column_name"]: r["null_count"] for r in strict.collect()}["blank"] == 0
 
