@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import check, wide_table as table
+from checks.registry import check, table, wide_table
 from millrace import session
 from millrace.plans import marts
 from millrace.sources import tables
@@ -42,13 +42,13 @@ COSTS_SQL = (
 
 
 def members(spark: SparkSession, folder: str) -> DataFrame:
-    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    orders, customer = wide_table(spark, folder, "orders"), table(spark, folder, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     return joined.selectExpr(*columns(MEMBER_COLUMNS))
 
 
 def costs(spark: SparkSession, folder: str) -> DataFrame:
-    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    lines, orders = wide_table(spark, folder, "lineitem"), table(spark, folder, "orders")
     customer = table(spark, folder, "customer")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
         customer, orders.o_custkey == customer.c_custkey

@@ -75,8 +75,9 @@ def replace_keys(batch: DataFrame, target: str, keys: Sequence[str], staging: st
     if not is_complete(spark, staging):
         fresh = batch.withColumn(BUCKET, key_bucket(keys, buckets))
         if path_exists(spark, target):
-            old = spark.read.parquet(target)
-            touched = old.join(fresh.select(BUCKET).distinct(), BUCKET, "left_semi")
+            # at most `buckets` numbers: a plain list prunes the scan to their partitions
+            numbers = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
+            touched = spark.read.parquet(target).where(F.col(BUCKET).isin(numbers))
             fresh = versions.without_keys(touched, batch, keys).select(*layout).unionByName(fresh)
         fresh.hint("rebalance", BUCKET).write.mode("overwrite").parquet(staging)
     replace_slices(spark.read.parquet(staging), target, [BUCKET])
