@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +37,13 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, named by `spark.checkpoint.dir`.
 
-    A private folder is made only on a local master where the setting is
-    absent; on a cluster a missing setting is an error, since a machine-local
-    folder would lose data together with its executor.
+    Where the setting is absent it is set to a folder below the session's
+    warehouse directory, which every node reaches as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every node can reach")
-    folder = tempfile.mkdtemp(prefix="millrace-")
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

@@ -7,7 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from checks import verify
+from checks import registry, verify
 
 FOLDER = os.environ.get("MILLRACE_TEST_TABLES", "/root/testdata/sf0.001")
 
@@ -17,7 +17,7 @@ def duck():
     return verify.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, duck, name):
     mine = verify.spark_answer(entry.queries()[name](spark, FOLDER))
     theirs = verify.sql_answer(duck, entry.oracle_sql()[name])
@@ -29,4 +29,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
