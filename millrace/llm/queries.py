@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import simhash
+from millrace.llm import bpe, langid, lm, mixing, quality, simhash
+from millrace.llm.text import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +20,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            reach(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function
@@ -25,11 +32,143 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the session was started."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query("op3_lm")
+def op3_lm(spark: SparkSession, folder: str) -> DataFrame:
+    held = id_remainder(F.col("doc_id"), 7) == 2
+    scored = lm.score(table(spark, folder, "documents"), ~held)
+    return scored.withColumn("held_out", ~F.col("train")).drop("train")
+
+
+@query(
+    "op5_quality",
+    """
+    with docs as (
+      select row_number() over () as rid, doc_id, source, coalesce(text, '') as text from documents
+    ), tokens as (
+      select rid, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from docs
+    ), windows as (
+      select rid, i, list_slice(w, i, i + 7) as win
+      from (select rid, w, unnest(range(1, len(w) - 6)) as i from tokens where len(w) >= 8)
+    ), twins as (
+      select rid, i from (select rid, i, count(*) over (partition by rid, win) as n from windows) where n > 1
+    ), repeats as (
+      select rid, count(distinct j) as n from (select rid, unnest(range(i, i + 8)) as j from twins) group by rid
+    ), lines as (
+      select rid, source, line, len(list_filter(string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) as words
+      from (select rid, source, unnest(string_split(text, chr(10))) as line from docs)
+    ), keyed as (
+      select rid, source, words, line,
+        ('0x' || substr(md5(regexp_replace(trim(regexp_replace(lower(line), '[\\x20\\x09-\\x0D]+', ' ', 'g')),
+          '[0-9]+', '0', 'g')), 1, 15))::bigint as key
+      from lines where words > 0
+    ), dups as (
+      select rid, count(*) - count(distinct line) as n from keyed group by rid
+    ), least as (
+      select rid, source, min(key) as lo from keyed group by rid, source
+    ), kin as (
+      select l.rid, l.source, l.lo, coalesce(min(k.key), l.lo) as hi
+      from least l left join keyed k on k.rid = l.rid and k.key > l.lo group by l.rid, l.source, l.lo
+    ), hosts as (
+      select source, count(*) as host_docs from kin group by source
+    ), often as (
+      select k.source, k.key
+      from keyed k join kin using (rid) join hosts h on k.source is not distinct from h.source
+      group by k.source, k.key
+      having count(distinct case when k.key = lo then hi else lo end) > 20
+        and count(distinct case when k.key = lo then hi else lo end) > 0.002 * any_value(h.host_docs)
+    ), cut as (
+      select k.rid, sum(k.words) as n from keyed k join often o
+        on k.source is not distinct from o.source and k.key = o.key group by k.rid
+    ), stats as (
+      select d.doc_id, len(t.w)::bigint as n_words, length(translate(d.text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::bigint as word_chars,
+        (length(d.text) - length(translate(d.text, '#*$%&|<>', '')))::bigint as n_symbols,
+        coalesce(u.n, 0)::bigint as n_dup_lines, coalesce(r.n, 0)::bigint as n_repeat_words, coalesce(c.n, 0)::bigint as removed_words
+      from docs d join tokens t using (rid) left join dups u using (rid) left join repeats r using (rid) left join cut c using (rid)
+    ), failed as (
+      select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from stats
+    )
+    select *, not base_failed and n_words - removed_words >= 0.25 * n_words as kept from failed
+    """,
+)
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
+@query(
+    "op7_mixing",
+    """
+    with sized as (
+      select doc_id, source,
+        len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))::bigint as size
+      from documents
+    ), sums as (
+      select source, sum(size)::bigint as source_size,
+        (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
+      from sized group by source
+    ), ranked as (
+      select *, 3 * source_size as cap, sum(source_size) over () as total, sum(weight) over () as weights,
+        coalesce(sum(3 * source_size) over w, 0) as full_size, coalesce(sum(weight) over w, 0) as spent
+      from sums
+      window w as (order by 3 * source_size / weight, source nulls first rows between unbounded preceding and 1 preceding)
+    ), tried as (
+      select *, (total - full_size)::double / (weights - spent)::double as u from ranked
+    ), units as (
+      select *, first_value(case when u * weight <= cap then u end ignore nulls)
+        over (order by cap / weight, source nulls first rows between unbounded preceding and current row) as unit
+      from tried
+    ), targets as (
+      select source, source_size, case when unit is null then cap::double else unit * weight end as target from units
+    ), rates as (
+      select s.doc_id, s.size, t.source_size, t.target,
+        case when t.source_size > 0 then least(t.target / t.source_size, 3.0::double) else 0.0::double end as rate
+      from sized s join targets t on s.source is not distinct from t.source
+    )
+    select doc_id, size, source_size, target, size * (floor(rate)::bigint + case when
+      ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint / 4294967296.0::double < rate - floor(rate)
+      then 1 else 0 end) as taken
+    from rates
+    """,
+)
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    planned = mixing.plan_mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    return planned.select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.col("mix_copies")).alias("taken"),
+    )
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = id_remainder(F.col("doc_id"), 3) == 1
+    model = langid.learn(docs.where(~held))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), "language.lang_pred", "language.score")
+
+
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return docs.select("doc_id", bpe.digests(F.col("text"), bpe.read_description()).alias("d")).select("doc_id", "d.*")
