@@ -88,7 +88,7 @@ def op3_lm(spark: SparkSession, folder: str) -> DataFrame:
       from keyed k join kin using (rid) join hosts h on k.source is not distinct from h.source
       group by k.source, k.key
       having count(distinct case when k.key = lo then hi else lo end) > 20
-        and count(distinct case when k.key = lo then hi else lo end) > 0.002 * any_value(h.host_docs)
+        and count(distinct case when k.key = lo then hi else lo end) > 0.01 * any_value(h.host_docs)
     ), cut as (
       select k.rid, sum(k.words) as n from keyed k join often o
         on k.source is not distinct from o.source and k.key = o.key group by k.rid
