@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, lm, mixing, quality, simhash
+from millrace.llm import bpe, langid, licenses, lm, mixing, quality, simhash, tokens, topk, urls
 from millrace.llm.text import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_counts(table(spark, folder, "documents"))
+
+
+@query("op2_licenses")
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query("op3_lm")
 def op3_lm(spark: SparkSession, folder: str) -> DataFrame:
     held = id_remainder(F.col("doc_id"), 7) == 2
@@ -52,6 +62,14 @@ def op3_lm(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("held_out", ~F.col("train")).drop("train")
 
 
+URL_RULES = ["allow org/", "allow com/fr/", "block com/de/", "block example.org/es/", "block example.org/en/1"]
+
+
+@query("op4_urls")
+def op4_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), [urls.PrefixRule.parse(r) for r in URL_RULES])
+
+
 @query(
     "op5_quality",
     """
@@ -107,6 +125,28 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+@query(
+    "op6_topk",
+    """
+    with held as (
+      select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+      from embeddings
+      where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+      select q.vec_id as query_id, c.vec_id,
+        list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)))::bigint as score
+      from held q join held c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+    ), ranked as (
+      select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+    )
+    select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
+)
+def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query(
     "op7_mixing",
     """
