@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import check, table, wide_table
+from checks.registry import check, table
 from millrace.functions import measures, text
 from millrace.operators import aggregate, flatten, versions
 
@@ -42,7 +42,7 @@ with f as (
 select case when grouping(c_mktsegment) = 1 then 'TOTAL' else c_mktsegment end as c_mktsegment,
        case when grouping(n_name) = 1 then 'TOTAL' else n_name end as n_name,
        count(*) as n_orders,
-       cast(count(*) filter (where o_orderstatus = 'F') as int) as finished_cnt,
+       count(*) filter (where o_orderstatus = 'F') as finished_cnt,
        cast(round(count(*) filter (where o_orderstatus = 'F') * 100.0 / count(*), 2) as decimal(6,2)) as finished_pct,
        {exact_mean('sum(price)', 'count(*)')} as avg_price,
        cast(sum(price) as decimal(28,2)) as sum_price
@@ -65,7 +65,7 @@ def multi_grain_rollup(spark: SparkSession, folder: str) -> DataFrame:
         },
         {
             "n_orders": F.col("n"),
-            "finished_cnt": F.col("finished").cast("int"),
+            "finished_cnt": F.col("finished"),
             "finished_pct": measures.percent_of(F.col("finished"), F.col("n")).cast("decimal(6,2)"),
             "avg_price": F.round(measures.ratio(F.col("price"), F.col("n").cast("decimal(20,0)")), 2).cast(MONEY),
             "sum_price": F.col("price").cast("decimal(28,2)"),
@@ -85,7 +85,7 @@ from cost join units on cost.c_nationkey = units.c_nationkey
 
 
 def line_costs(spark: SparkSession, folder: str) -> DataFrame:
-    lines = wide_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
     part = table(spark, folder, "part").select("p_partkey", "p_brand", "p_type")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -276,8 +276,9 @@ def array_agg(spark: SparkSession, folder: str) -> DataFrame:
     counted = table(spark, folder, "lineitem").groupBy("l_orderkey", tag.alias("tag")).agg(F.count("*").alias("n"))
     texts = F.transform(
         F.sort_array(F.collect_list(F.struct("tag", "n"))),
-        lambda e: F.array_repeat(
-            F.concat_ws("|", e["tag"]["l_returnflag"], e["tag"]["l_linenumber"].cast("string")), e["n"].cast("int")
+        lambda e: F.transform(
+            F.sequence(F.lit(1).cast("bigint"), e["n"]),
+            lambda _: F.concat_ws("|", e["tag"]["l_returnflag"], e["tag"]["l_linenumber"].cast("string")),
         ),
     )
     return counted.groupBy("l_orderkey").agg(F.array_join(F.flatten(texts), ",").alias("tags"))
@@ -323,19 +324,19 @@ def count_concat(spark: SparkSession, folder: str) -> DataFrame:
 @check(
     "conditional_count_pct",
     """
-select l_linestatus, cast(count(*) filter (where l_returnflag = 'A') as int) as a_cnt,
+select l_linestatus, count(*) filter (where l_returnflag = 'A') as a_cnt,
   cast(round(cast(count(*) filter (where l_returnflag = 'A') as decimal(18,4)) / count(*) * 100, 3) as decimal(6,3)) as a_pct
 from lineitem group by 1
 """,
 )
 def conditional_count_pct(spark: SparkSession, folder: str) -> DataFrame:
-    flagged = F.sum(F.when(F.col("l_returnflag") == "A", 1).otherwise(0))
+    flagged = F.count_if(F.col("l_returnflag") == "A")
     counted = table(spark, folder, "lineitem").groupBy("l_linestatus").agg(
         flagged.alias("a"), F.count("*").alias("n")
     )
     whole = F.col("n").cast("decimal(20,0)")
     pct = (measures.ratio(F.col("a").cast("decimal(18,4)"), whole) * 100).cast("decimal(6,3)")
-    return counted.select("l_linestatus", F.col("a").cast("int").alias("a_cnt"), pct.alias("a_pct"))
+    return counted.select("l_linestatus", F.col("a").alias("a_cnt"), pct.alias("a_pct"))
 
 
 @check(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import check, table
@@ -13,8 +13,8 @@ from millrace.plans import extract
 @check(
     "join_inner_multi",
     """
-with a as (select l_partkey, l_suppkey, l_linenumber, count(*) as n_a from lineitem where l_returnflag = 'A' group by 1, 2, 3),
-b as (select l_partkey, l_suppkey, l_linenumber, count(*) as n_b from lineitem where l_returnflag = 'R' group by 1, 2, 3)
+with a as (select l_partkey, l_suppkey, l_linenumber, count(*) as n_a from lineitem where l_returnflag <> 'N' group by 1, 2, 3),
+b as (select l_partkey, l_suppkey, l_linenumber, count(*) as n_b from lineitem where l_returnflag = 'N' group by 1, 2, 3)
 select * from a join b using (l_partkey, l_suppkey, l_linenumber)
 """,
 )
@@ -22,10 +22,11 @@ def join_inner_multi(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["l_partkey", "l_suppkey", "l_linenumber"]
     lines = table(spark, folder, "lineitem")
 
-    def counted(flag: str, name: str) -> DataFrame:
-        return lines.where(F.col("l_returnflag") == flag).groupBy(*keys).agg(F.count("*").alias(name))
+    def counted(side: Column, name: str) -> DataFrame:
+        return lines.where(side).groupBy(*keys).agg(F.count("*").alias(name))
 
-    return counted("A", "n_a").join(counted("R", "n_b"), keys)
+    open_line = F.col("l_returnflag") == "N"
+    return counted(~open_line, "n_a").join(counted(open_line, "n_b"), keys)
 
 
 @check(
@@ -141,26 +142,18 @@ def join_expr_key(spark: SparkSession, folder: str) -> DataFrame:
 @check(
     "join_full_outer",
     """
-with c as (select c_nationkey as nationkey, count(*) as customers from customer where c_acctbal < 0 group by 1),
-s as (select s_nationkey as nationkey, count(*) as suppliers from supplier where s_acctbal > 5000 group by 1)
-select coalesce(c.nationkey, s.nationkey) as nationkey, customers, suppliers
-from c full join s on c.nationkey = s.nationkey
+with c as (select c_nationkey as nationkey, floor(c_acctbal / 100)::bigint as level, count(*) as customers from customer group by 1, 2),
+s as (select s_nationkey as nationkey, floor(s_acctbal / 100)::bigint as level, count(*) as suppliers from supplier group by 1, 2)
+select coalesce(c.nationkey, s.nationkey) as nationkey, coalesce(c.level, s.level) as level, customers, suppliers
+from c full join s on c.nationkey = s.nationkey and c.level = s.level
 """,
 )
 def join_full_outer(spark: SparkSession, folder: str) -> DataFrame:
-    customers = (
-        table(spark, folder, "customer")
-        .where("c_acctbal < 0")
-        .groupBy(F.col("c_nationkey").alias("nationkey"))
-        .agg(F.count("*").alias("customers"))
-    )
-    suppliers = (
-        table(spark, folder, "supplier")
-        .where("s_acctbal > 5000")
-        .groupBy(F.col("s_nationkey").alias("nationkey"))
-        .agg(F.count("*").alias("suppliers"))
-    )
-    return joins.full_merge(customers, suppliers, ["nationkey"])
+    def counted(name: str, letter: str) -> DataFrame:
+        keys = F.col(f"{letter}_nationkey").alias("nationkey"), F.floor(F.col(f"{letter}_acctbal") / 100).alias("level")
+        return table(spark, folder, name).groupBy(*keys).agg(F.count("*").alias(f"{name}s"))
+
+    return joins.full_merge(counted("customer", "c"), counted("supplier", "s"), ["nationkey", "level"])
 
 
 @check(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import check, table, wide_table
+from checks.registry import check, table
 from millrace import session
 from millrace.plans import marts
 from millrace.sources import tables
@@ -42,13 +42,13 @@ COSTS_SQL = (
 
 
 def members(spark: SparkSession, folder: str) -> DataFrame:
-    orders, customer = wide_table(spark, folder, "orders"), table(spark, folder, "customer")
+    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     return joined.selectExpr(*columns(MEMBER_COLUMNS))
 
 
 def costs(spark: SparkSession, folder: str) -> DataFrame:
-    lines, orders = wide_table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     customer = table(spark, folder, "customer")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
         customer, orders.o_custkey == customer.c_custkey
@@ -93,7 +93,7 @@ g as (select chi_data_point, chi_data_point_ref, align_as_of_dt,
     (chi_data_point, chi_data_point_ref, align_as_of_dt, mbr_grp), (chi_data_point, chi_data_point_ref, align_as_of_dt)))
 select distinct chi_data_point, chi_data_point_ref, align_as_of_dt, mbr_grp, master_pcp, master_clinic,
   n as cnt_of_memberid, {exact('ages', 'age_n', 3, 'decimal(6,3)')} as avg_age,
-  cast(males as int) as male_cnt, cast(females as int) as female_cnt,
+  males as male_cnt, females as female_cnt,
   {exact('males * 100', 'n', 3, 'decimal(6,3)')} as male_pct, {exact('females * 100', 'n', 3, 'decimal(6,3)')} as female_pct,
   {exact('yr', 'ym', 6, 'decimal(18,6)')} as ytd_adjusted_retro_risk, {exact('yp', 'ym', 6, 'decimal(18,6)')} as ytd_adjusted_prosp_risk,
   {exact('rr', 'rm', 6, 'decimal(18,6)')} as ry_adjusted_retro_risk, {exact('rp', 'rm', 6, 'decimal(18,6)')} as ry_adjusted_prosp_risk,
@@ -156,8 +156,9 @@ def cost_pmpm_refresh(spark: SparkSession, folder: str) -> DataFrame:
     late = F.expr("align_as_of_dt >= date'1999-01-01' and svc_cat = 'R'")
     early = marts.cost_per_member_month(all_costs.where(~late), all_members)
     tables.replace_slices(early, target, ["align_as_of_dt"])
+    touched = all_costs.where(late).select("align_as_of_dt")
     changed = marts.refresh_changed(
-        all_costs.where(late), {"costs": all_costs, "members": all_members}, marts.cost_per_member_month
+        touched, {"costs": all_costs, "members": all_members}, marts.cost_per_member_month
     )
-    tables.replace_slices(changed, target, ["align_as_of_dt"])
+    tables.replace_slices(changed, target, ["align_as_of_dt"], touched)
     return two_digits(spark.read.parquet(target))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import wide_table as table
+from checks.registry import table
 from millrace.sources import ndjson
 
 EXPORT = "DemographicExport"
@@ -229,11 +229,12 @@ def roles(spark: SparkSession, folder: str) -> DataFrame:
             opt("o_orderstatus = 'P'", ext("http://x/networkreference", ref=f"concat('Network/net', {digit} + 1)")),
             ext("http://x/provcontract", boolean="o_orderstatus = 'O'"),
             ext("http://x/provtierdesig", concept=concept(coding("'G'", "'http://x/tier'", "'Gold'"))),
+            ext("http://x/age", low="'5'", high="'9'"),
             ext("http://x/age", low="'18'", high="'65'"),
             ext(
                 "http://x/term",
                 concept=concept(
-                    coding("'TR1'", "'http://bpd.bcbs.com/CodeSystem/BCBSProviderTerminationReasonCS'", "'left'")
+                    coding("'TR1'", "'http://x/BCBSProviderTerminationReasonCS'", "'left'")
                 ),
             ),
             ext(
@@ -388,6 +389,7 @@ def services(spark: SparkSession, folder: str) -> DataFrame:
         "specialty": arr(concept(coding("p_brand", display="p_name"))),
         "extension": arr(
             ext("http://x/age", low="'1'", high="'9'"),
+            ext("http://x/age", low="'0'", high="'10'"),
             ext(
                 "http://x/details",
                 inner("characteristics", string="'male'"),

@@ -286,7 +286,7 @@ SERVICE_COLUMNS = {
     "healthcare_service_type": "p_type || ' ' || i",
     "prov_type_cd": "'T3'",
     "prov_type_display": "'Type three'",
-    "patient_age_range_high": "'9'",
+    "patient_age_range_high": "'10'",
     "patient_age_range_low": "'1'",
     "prov_patient_gender_limit": "'male'",
     "accepting_new_patients_cd": "'existing'",

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace import session
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -31,7 +29,3 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
-
-def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows get costly work each (documents, profiles, decimals)."""
-    return session.spread(table(spark, folder, name))

@@ -12,8 +12,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def share_pct(part: Column, whole: Column, kind: str = "decimal(6,3)") -> Column:
-    """Share in percent, the part taken as a four-digit decimal first."""
-    return (ratio(part.cast("decimal(10,4)"), whole.cast("decimal(20,0)")) * 100).cast(kind)
+    """Share in percent, the part taken as a four-digit decimal of any count."""
+    return (ratio(part.cast("decimal(24,4)"), whole.cast("decimal(20,0)")) * 100).cast(kind)
 
 
 def mean_decimal(total: Column, count: Column, kind: str = "decimal(6,3)") -> Column:

@@ -36,11 +36,8 @@ RESULT_COLUMNS = [
     "profile_timestamp",
 ]
 
-# Values longer than this travel as a digest while they are counted.
-LONG_VALUE = 64
-
 # Carriers of a value while it is counted.
-VALUE = ["number", "float", "text"]
+VALUE = ["number", "float", "digest"]
 
 
 def _quoted(name: str) -> str:
@@ -70,7 +67,7 @@ def _as_number(field: T.StructField) -> str | None:
 
 
 def _as_text(field: T.StructField) -> str:
-    """SQL: a text that is equal exactly where the values are equal; long ones become a digest."""
+    """SQL: the SHA-256 digest of a text that is equal exactly where the values are equal."""
     col = _quoted(field.name)
     if isinstance(field.dataType, T.VariantType):
         value = f"to_json({col})"
@@ -80,14 +77,12 @@ def _as_text(field: T.StructField) -> str:
         value = f"hex({col})"
     else:
         value = f"cast({col} as string)"
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)) or _is_nested(field.dataType):
-        return f"if(length({value}) > {LONG_VALUE}, concat('#', sha2({value}, 256)), {value})"
-    return value
+    return f"unhex(sha2({value}, 256))"
 
 
 def _countable(field: T.StructField) -> tuple[str, str, str]:
-    """SQL: the value as (bigint, double, text), one of them filled: numbers stay numbers."""
-    no_number, no_float, no_text = "cast(null as bigint)", "cast(null as double)", "cast(null as string)"
+    """SQL: the value as (bigint, double, digest), one of them filled: numbers stay numbers."""
+    no_number, no_float, no_text = "cast(null as bigint)", "cast(null as double)", "cast(null as binary)"
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
         # minus zero equals zero
         return no_number, f"cast({_quoted(field.name)} as double) + 0.0D", no_text

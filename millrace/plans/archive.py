@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import projection
 from millrace.plans import extract
-from millrace.sources import tables
+from millrace.sources import runs, tables
 
 TRUNCATE_LOAD = "TRUNCATE_LOAD"
 MONTHLY = "MONTHLY"
@@ -30,25 +29,30 @@ class Places:
     locate: Callable[[str, str, str], str]
 
 
-def copy_table(source: DataFrame, target: str, load_type: str, day: Column) -> int:
+def copy_table(source: DataFrame, target: str, load_type: str, day: Column, run_id: str) -> int:
     """Append the source to the target with its load date; returns the rows written.
 
-    TRUNCATE_LOAD empties the target first. The count is observed while the
-    rows are written, so the source is read once.
+    TRUNCATE_LOAD empties the target first. The rows lie under their run, so a
+    repeated run overwrites its own (read with `tables.read_runs`). The count is
+    observed while the rows are written, so the source is read once.
     """
     seen = Observation("copied")
     counted = source.observe(seen, F.count(F.lit(1)).alias("n"))
-    tables.append_dated(counted, target, day, truncate=load_type == TRUNCATE_LOAD)
+    tables.append_dated(counted, target, day, run_id, truncate=load_type == TRUNCATE_LOAD)
     return int(seen.get["n"])
 
 
-def audit_row(spark: SparkSession, table: str, database: str, schema: str, rows: int, day: Column, run_id: str) -> DataFrame:
-    """Load status of one copy."""
+def audit_row(
+    spark: SparkSession, table: str, database: str, schema: str, rows: int | None, day: Column, run_id: str,
+    error: str | None = None,
+) -> DataFrame:
+    """Load status of one copy: LOADED with its rows, or FAILED with the error."""
     known = spark.createDataFrame(
-        [(table, database, schema, run_id, rows)],
-        "table_name string, target_db string, target_schema string, query_id string, n bigint",
+        [(table, database, schema, run_id, rows, error)],
+        "table_name string, target_db string, target_schema string, query_id string, n bigint, first_error string",
     )
-    values = {"load_dt": day, "status": F.lit("LOADED"), "rows_parsed": F.col("n"), "row_loaded": F.col("n")}
+    status = F.when(F.col("first_error").isNull(), "LOADED").otherwise("FAILED")
+    values = {"load_dt": day, "status": status, "rows_parsed": F.col("n"), "row_loaded": F.col("n")}
     columns = []
     for part in AUDIT.split(", "):
         name, kind = part.split(" ")
@@ -83,57 +87,89 @@ def close_control_totals(totals: DataFrame, config: DataFrame, source_table: str
     )
 
 
-def archive_one(spark: SparkSession, row: Row, places: Places, day: Column) -> DataFrame:
-    """Copy one configured table and return its audit row."""
-    source = spark.read.parquet(
-        places.locate(row.source_db_name, row.source_schema_name, row.source_table_name)
-    )
-    target = places.locate(row.target_db_name, row.target_schema_name, row.target_table_name)
-    copied = copy_table(source, target, row.load_type, day)
-    return audit_row(
-        spark, row.target_table_name, row.target_db_name, row.target_schema_name, copied, day, str(uuid.uuid4())
+def archive_one(spark: SparkSession, row: Row, places: Places, day: Column, run_id: str) -> tuple[DataFrame, bool]:
+    """Copy one configured table; its audit row and whether it went well. An error ends this copy only."""
+    copied, error = None, None
+    try:
+        source = spark.read.parquet(
+            places.locate(row.source_db_name, row.source_schema_name, row.source_table_name)
+        )
+        target = places.locate(row.target_db_name, row.target_schema_name, row.target_table_name)
+        copied = copy_table(source, target, row.load_type, day, run_id)
+    except Exception as failure:  # noqa: BLE001 - whatever it is, it goes to the audit and the others go on
+        error = str(failure).split("\n")[0]
+    audit = audit_row(
+        spark, row.target_table_name, row.target_db_name, row.target_schema_name, copied, day, run_id, error
     )
+    return audit, error is None
+
+
+def control_table(spark: SparkSession, control: str, name: str) -> DataFrame:
+    """Newest state of a stored control table: `config`, `totals`; all rows of `audit` and `extracts`."""
+    path, layout = f"{control}/{name}", {"audit": AUDIT, "extracts": extract.REPORT}.get(name)
+    if layout and not tables.path_exists(spark, path):
+        return spark.createDataFrame([], layout)
+    return spark.read.schema(layout).parquet(path) if layout else spark.read.parquet(path)
+
+
+def store_control(spark: SparkSession, control: str, config: DataFrame, totals: DataFrame) -> None:
+    """Set up the control tables that `run_archive` reads and updates."""
+    config.write.mode("overwrite").parquet(f"{control}/config")
+    totals.write.mode("overwrite").parquet(f"{control}/totals")
 
 
 def run_archive(
     spark: SparkSession,
-    config: DataFrame,
-    totals: DataFrame,
+    control: str,
     dictionary: DataFrame,
     places: Places,
     day: Column,
     parallel: int = 4,
 ) -> dict[str, DataFrame]:
-    """Archive every triggered table; returns audit, config, control totals and extract reports.
+    """Archive every triggered table; returns audit, config, control totals and extract reports as stored.
 
     The config is a control table with one row per table to copy. Copies are
     independent Spark jobs submitted from a few threads, so small ones overlap.
+    A copy that fails gets a FAILED audit row and keeps its trigger; the others
+    are done and their triggers cleared, in the stored tables. The triggered
+    rows are stored as pending work first, so that a run that died is repeated
+    under its own run id and appends nothing twice.
     """
-    jobs = pending(config).collect()
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        audits = list(pool.map(lambda row: archive_one(spark, row, places, day), jobs))
-    reports = []
-    for row in jobs:
-        if (row.frequency or "").upper() == MONTHLY:
-            path = places.locate(row.source_db_name, row.source_schema_name, row.source_table_name)
-            source = spark.read.parquet(path) if tables.path_exists(spark, path) else None
-            target = places.locate(
-                row.target_db_name, row.target_schema_name, row.source_table_name + "_extract"
-            )
-            reports.append(extract.build_extract(spark, row.source_table_name, source, dictionary, target))
-    config = clear_triggers(config, [row.target_table_name for row in jobs])
-    for name in dict.fromkeys(row.source_table_name for row in jobs):
-        totals = close_control_totals(totals, config, name)
-
-    def stacked(frames: list[DataFrame], schema) -> DataFrame:
-        merged = spark.createDataFrame([], schema)
-        for frame in frames:
-            merged = merged.unionAll(frame)
-        return merged
-
-    return {
-        "audit": stacked(audits, AUDIT),
-        "config": config,
-        "totals": totals,
-        "extracts": stacked(reports, extract.REPORT),
-    }
+    def current(name: str) -> DataFrame:
+        # small tables, taken apart from the files that are about to be overwritten
+        stored = control_table(spark, control, name)
+        return spark.createDataFrame(stored.collect(), stored.schema)
+
+    config, totals = current("config"), current("totals")
+    waiting = runs.PendingWork(spark, f"{control}/pending")
+    work = waiting.stored() or waiting.begin(pending(config))
+    if work is not None:
+        rows, run_id = work
+        jobs = rows.collect()
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            results = list(pool.map(lambda row: archive_one(spark, row, places, day, run_id), jobs))
+        done = [row for row, (_, well) in zip(jobs, results) if well]
+        reports = []
+        for row in done:
+            if (row.frequency or "").upper() == MONTHLY:
+                path = places.locate(row.source_db_name, row.source_schema_name, row.source_table_name)
+                source = spark.read.parquet(path) if tables.path_exists(spark, path) else None
+                target = places.locate(
+                    row.target_db_name, row.target_schema_name, row.source_table_name + "_extract"
+                )
+                reports.append(extract.build_extract(spark, row.source_table_name, source, dictionary, target))
+
+        def store(frames: list[DataFrame], schema: str, name: str) -> None:
+            merged = spark.createDataFrame([], schema)
+            for frame in frames:
+                merged = merged.unionAll(frame)
+            tables.replace_slices(merged.withColumn(tables.RUN, F.lit(run_id)), f"{control}/{name}", [tables.RUN])
+
+        store([audit for audit, _ in results], AUDIT, "audit")
+        store(reports, extract.REPORT, "extracts")
+        config = clear_triggers(config, [row.target_table_name for row in done])
+        for name in dict.fromkeys(row.source_table_name for row in done):
+            totals = close_control_totals(totals, config, name)
+        store_control(spark, control, config, totals)
+        waiting.finish()
+    return {name: control_table(spark, control, name) for name in ("audit", "config", "totals", "extracts")}

@@ -59,9 +59,10 @@ def column_aliases(columns: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def dictionary_of(dictionary: DataFrame, table_name: str) -> dict[str, str]:
-    """Names for the columns of one table (metadata: one entry per column)."""
-    rows = dictionary.where(F.col("table_name") == table_name).select("extract_field_name", "field_desc")
-    return {r[0]: r[1] for r in rows.collect() if r[1] is not None}
+    """Names for the columns of one table (metadata); of several for one column the least."""
+    rows = dictionary.where((F.col("table_name") == table_name) & F.col("field_desc").isNotNull())
+    named = rows.groupBy("extract_field_name").agg(F.min("field_desc"))
+    return {r[0]: r[1] for r in named.collect()}
 
 
 def verify_counts(table_name: str, source: DataFrame, target: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import measures
 from millrace.operators import aggregate
@@ -20,8 +21,20 @@ SELF_FUNDED = "Self Funded"
 IN_HOUSE = "IH"
 
 
-def _amount(col: Column) -> Column:
-    return col.cast("decimal(18,4)")
+def _amount(frame: DataFrame, col: Column) -> Column:
+    """A value to add up with all its digits: decimals as they are, whole numbers widened.
+
+    Binary fractions stay binary. Only results are rounded.
+    """
+    kind = frame.select(col).schema[0].dataType
+    return col if isinstance(kind, (T.DecimalType, T.FractionalType)) else col.cast("decimal(20,0)")
+
+
+def _weighted(frame: DataFrame, value: Column, weight: Column) -> Column:
+    """Product without lost digits: as a decimal where 38 digits hold it, else as a double."""
+    kinds = [frame.select(c).schema[0].dataType for c in (value, weight)]
+    exact = all(isinstance(k, T.DecimalType) for k in kinds) and sum(k.precision for k in kinds) < 38
+    return value * weight if exact else value.cast("double") * weight.cast("double")
 
 
 def member_demographics(members: DataFrame, day: Column) -> DataFrame:
@@ -40,16 +53,16 @@ def member_demographics(members: DataFrame, day: Column) -> DataFrame:
     outputs = {
         "cnt_of_memberid": F.col("n_members"),
         "avg_age": measures.mean_decimal(F.col("age_sum"), F.col("age_n")),
-        "male_cnt": F.col("males").cast("int"),
-        "female_cnt": F.col("females").cast("int"),
+        "male_cnt": F.col("males"),
+        "female_cnt": F.col("females"),
         "male_pct": measures.share_pct(F.col("males"), F.col("n_members")),
         "female_pct": measures.share_pct(F.col("females"), F.col("n_members")),
     }
     for period in PERIODS:
-        months = _amount(F.col(f"{period}_mm"))
+        months = _amount(members, F.col(f"{period}_mm"))
         inputs[f"{period}_months"] = ("sum", months)
-        inputs[f"{period}_retro"] = ("sum", _amount(risk) * months)
-        inputs[f"{period}_prosp"] = ("sum", _amount(F.col("prosp_risk")) * months)
+        inputs[f"{period}_retro"] = ("sum", _weighted(members, _amount(members, risk), months))
+        inputs[f"{period}_prosp"] = ("sum", _weighted(members, _amount(members, F.col("prosp_risk")), months))
         for kind in ("retro", "prosp"):
             outputs[f"{period}_adjusted_{kind}_risk"] = measures.ratio(
                 F.col(f"{period}_{kind}"), F.col(f"{period}_months")
@@ -84,14 +97,14 @@ def cost_per_member_month(costs: DataFrame, members: DataFrame) -> DataFrame:
         BASE,
         ["mbr_grp", "master_pcp"],
         MONTH_GRAINS,
-        {f"{p}_mm": ("sum", _amount(F.col(f"{p}_mm"))) for p in PERIODS},
+        {f"{p}_mm": ("sum", _amount(members, F.col(f"{p}_mm"))) for p in PERIODS},
     )
     allowed = aggregate.grouping_levels(
         costs,
         BASE,
         ["svc_cat", "svc_sub_cat", "mbr_grp", "master_pcp"],
         COST_GRAINS,
-        {f"{p}_allowed_amt": ("sum", _amount(F.col(f"{p}_allowed_amt"))) for p in PERIODS},
+        {f"{p}_allowed_amt": ("sum", _amount(costs, F.col(f"{p}_allowed_amt"))) for p in PERIODS},
     )
     joined = aggregate.matched_units(allowed, months, BASE, ["mbr_grp", "master_pcp"])
     dims = ["svc_cat", "svc_sub_cat", "master_pcp", "mbr_grp"]
@@ -112,8 +125,11 @@ def refresh_changed(
 ) -> DataFrame:
     """The mart recomputed for the changed slices only.
 
-    `changed` holds the slice values; every source is reduced to them before the
-    mart is computed. Write the result with `sources.tables.replace_slices`.
+    `changed` holds the slice values, NULL included; every source is reduced to
+    them before the mart is computed. Write the result with
+    `sources.tables.replace_slices` and hand it `changed`, so that slices
+    without rows are emptied.
     """
-    slices = changed.select(slice_col).distinct()
-    return compute(**{n: s.join(slices, slice_col, "left_semi") for n, s in sources.items()})
+    slices = changed.select(F.col(slice_col).alias("_changed")).distinct()
+    same = F.col(slice_col).eqNullSafe(F.col("_changed"))
+    return compute(**{n: s.join(slices, same, "left_semi") for n, s in sources.items()})

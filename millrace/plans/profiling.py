@@ -6,8 +6,10 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.operators import profile, quality
+from millrace.sources import tables
 
 
 def catalog_tables(spark: SparkSession, schema: str) -> dict[str, DataFrame]:
@@ -23,6 +25,25 @@ def profile_run(
     return profile.profile_tables(named_tables, run_id=run_id or str(uuid.uuid4()), **options)
 
 
+def store_run(spark: SparkSession, results: DataFrame, target: str) -> None:
+    """Add a run's rows to the stored results; the same run stored again replaces itself."""
+    tables.replace_slices(results, target, ["profile_run_id"])
+
+
+def stored_runs(spark: SparkSession, target: str) -> DataFrame:
+    """All stored results; a filter on the run reads that run alone."""
+    kinds = {"profile_run_id": "string"}
+    rows = spark.read.parquet(target)
+    return rows.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()}).select(*profile.RESULT_COLUMNS)
+
+
+def profile_schema(spark: SparkSession, schema: str, target: str, *, run_id: str | None = None, **options) -> str:
+    """Profile all tables of a catalog schema and store the result; returns the run id."""
+    run_id = run_id or str(uuid.uuid4())
+    store_run(spark, profile_run(catalog_tables(spark, schema), run_id=run_id, schema=schema, **options), target)
+    return run_id
+
+
 def quality_report(results: DataFrame) -> dict[str, DataFrame]:
     """All quality views of one run, by name."""
     return {

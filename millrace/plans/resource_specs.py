@@ -36,22 +36,25 @@ INNER_EXTENSION = (
     f"valueDecimal:string,valueUrl:string,valueReference:{REFERENCE},valuePeriod:{PERIOD},"
     f"valueIdentifier:struct<value:string>,valueCodeableConcept:{CONCEPT}>"
 )
-# the codings of an outer extension stay JSON text: one column wants them whole
+# the codings of an outer extension stay variants, parsed once: one column wants them whole
 EXTENSION = (
     f"array<struct<url:string,valueString:string,valueBoolean:string,valueReference:{REFERENCE},"
     "valueRange:struct<low:struct<value:string>,high:struct<value:string>>,"
-    f"valueCodeableConcept:struct<coding:array<string>>,extension:array<{INNER_EXTENSION}>>>"
+    f"valueCodeableConcept:struct<coding:array<variant>>,extension:array<{INNER_EXTENSION}>>>"
 )
 
 # --- fixed values: code systems, identifier kinds, extension tags --------------
 
-TAXONOMY_SYSTEM = "provider-taxonomy"
-PROVIDER_TYPE_SYSTEM = "BCBSProviderTypeCS"
-ENTITY_TYPE_SYSTEM = "BCBSProviderEntityTypeCS"
-PROGRAM_AFFILIATION_SYSTEM = "BCBSProgramAffiliationTypeCS"
-PRODUCT_TYPE_SYSTEM = "BCBSProductTypeCS"
-RECOGNITION_SYSTEM = "QualityRecognitionTypeCS"
-TERMINATION_SYSTEM = "http://bpd.bcbs.com/CodeSystem/BCBSProviderTerminationReasonCS"
+# code systems by the last part of their address
+CODE_SYSTEMS = {
+    "taxonomy": "provider-taxonomy",
+    "provider type": "BCBSProviderTypeCS",
+    "entity type": "BCBSProviderEntityTypeCS",
+    "program affiliation": "BCBSProgramAffiliationTypeCS",
+    "product type": "BCBSProductTypeCS",
+    "recognition": "QualityRecognitionTypeCS",
+    "termination reason": "BCBSProviderTerminationReasonCS",
+}
 PERSON_TAX_CODES = ["SS", "TAX", "ITIN", "EN"]
 ORGANIZATION_TAX_CODES = ["SS", "TAX", "ITIN"]
 KNOWN_ORGANIZATION_CODES = ["PRN", "PRM", "NPI", "CCN", "SS", "TAX", "ITIN", "PCRN"]
@@ -86,9 +89,9 @@ OUTER = pairs(
         high="x.valueRange.high.value",
         low="x.valueRange.low.value",
         coding="c",
-        system="get_json_object(c, '$.system')",
-        code="get_json_object(c, '$.code')",
-        display="get_json_object(c, '$.display')",
+        system="try_variant_get(c, '$.system', 'string')",
+        code="try_variant_get(c, '$.code', 'string')",
+        display="try_variant_get(c, '$.display', 'string')",
     ),
 )
 
@@ -202,7 +205,7 @@ WEEKLY_HOURS = with_separator(
 
 # --- Practitioner --------------------------------------------------------------
 
-TAXONOMY = f"if({tail('c.system')} = '{TAXONOMY_SYSTEM}', c.code, '')"
+TAXONOMY = f"if({tail('c.system')} = '{CODE_SYSTEMS["taxonomy"]}', c.code, '')"
 
 
 def with_taxonomy(other: str, value: str) -> str:
@@ -236,7 +239,7 @@ _PRACTITIONER = Shape(
             packed(
                 code="c.code",
                 taxonomy=TAXONOMY,
-                label=f"if({tail('c.system')} = '{TAXONOMY_SYSTEM}', c.display, '')",
+                label=f"if({tail('c.system')} = '{CODE_SYSTEMS["taxonomy"]}', c.display, '')",
                 issuer=tail("q.issuer.reference"),
                 end="q.period.end",
             ),
@@ -336,6 +339,7 @@ PRACTITIONER = Resource(
         "extension:array<struct<valueCode:string>>>>",
     ),
     shape=_PRACTITIONER,
+    # fixed values: the output columns in their order
     layout=(
         "file_export_type file_record_id version_id last_updtd_ts plan_prov_id_type_list plan_prov_id "
         "national_prov_id prov_master_id cross_reference_plan_prov_id cross_reference_plan_prov_id_eff_dt "
@@ -357,18 +361,25 @@ def affiliation_ref(tag: str) -> str:
     return by_url(tag, tail("e.x.valueReference.reference"))
 
 
+# the largest bounds of all age ranges, compared as numbers and printed without trailing zeros
+AGE_COLUMNS = {"patient_age_range_high": "e.high", "patient_age_range_low": "e.low"}
+AGE_TOPS = {name: best("ext", f"try_cast({bound} as decimal(38,10))") for name, bound in AGE_COLUMNS.items()}
+AGE_FINALS = {name: f"regexp_replace(cast({name} as string), '[.]?0+$', '')" for name in AGE_COLUMNS}
+
 # MAX columns both role-like resources share
 ROLE_TOPS = {
     "licensee_ref_record_id": by_tag("licenseereference", "e.reference"),
-    **typed("codes", PROVIDER_TYPE_SYSTEM, "prov_type"),
-    **typed("codes", ENTITY_TYPE_SYSTEM, "prov_entity_type"),
+    **typed("codes", CODE_SYSTEMS["provider type"], "prov_type"),
+    **typed("codes", CODE_SYSTEMS["entity type"], "prov_entity_type"),
     "prov_eff_dt": "doc.period.start",
     "prov_term_dt": "doc.period.end",
     "pcp_eff_dt": by_url("pcpEffectivePeriod", "e.x.valuePeriod.start"),
     "pcp_end_dt": by_url("pcpEffectivePeriod", "e.x.valuePeriod.end"),
     "pcp_selectability_cd": code_of("pcpSelectabilityCode"),
     "prov_reimbursement_cd": code_of("providerReimbursementCode"),
-    "prov_termination_cd": tagged("ext", f"e.system = '{TERMINATION_SYSTEM}'", "e.code", ""),
+    "prov_termination_cd": tagged(
+        "ext", f"{tail('e.system')} = '{CODE_SYSTEMS['termination reason']}'", "e.code", ""
+    ),
     "days_of_week_and_office_hours": OFFICE_HOURS,
     "prov_accepts_member_select_attrib_ind": by_url(
         "providerAcceptsMemberSelectAttributionIndicator", "e.x.valueBoolean"
@@ -376,7 +387,7 @@ ROLE_TOPS = {
     "display_ind_prov": by_url("displayIndicatorProvider", "e.x.valueBoolean"),
     "display_suppression_reason_prov": code_of("displaySuppressionReasonProvider"),
     "prov_contract_status": by_tag("provcontract", "e.valueBoolean"),
-    "tier_designation_cd": by_tag("provtierdesig", "to_json(try_parse_json(e.coding))"),
+    "tier_designation_cd": by_tag("provtierdesig", "nullif(to_json(e.coding), 'null')"),
 }
 
 _PRACTITIONER_ROLE = Shape(
@@ -385,8 +396,7 @@ _PRACTITIONER_ROLE = Shape(
         **ROLE_TOPS,
         "organization_ref_record_id": tail("doc.organization.reference"),
         "prov_entity_id": best("ids", "e.value"),
-        "patient_age_range_high": best("ext", "e.high"),
-        "patient_age_range_low": best("ext", "e.low"),
+        **AGE_TOPS,
         "prov_patient_gender_limit": by_url("characteristics", "e.x.valueString"),
         "accepting_new_patients_cd": code_of("acceptingPatients"),
         "pcp_ind_cd": code_of("pcpIndicatorCode"),
@@ -410,6 +420,7 @@ _PRACTITIONER_ROLE = Shape(
         "location_ref_record_id": "location_ref_record_id",
         "healthcare_service_ref_record_id": "healthcare_service_ref_record_id",
     },
+    finals=AGE_FINALS,
     rows_from="network_ref_record_id",
 )
 
@@ -428,6 +439,7 @@ PRACTITIONER_ROLE = Resource(
     kind="PractitionerRole",
     schema=ddl(f"practitioner:{REFERENCE}", f"organization:{REFERENCE}", f"specialty:{CONCEPTS}", *_ROLE_FIELDS),
     shape=_PRACTITIONER_ROLE,
+    # fixed values: the output columns in their order
     layout=(
         "file_export_type file_record_id version_id last_updtd_ts organization_ref_record_id "
         "practitioner_ref_record_id licensee_ref_record_id network_ref_record_id location_ref_record_id "
@@ -484,6 +496,7 @@ ORG_AFFILIATION = Resource(
     kind="OrganizationAffiliation",
     schema=ddl(f"participatingOrganization:{REFERENCE}", *_ROLE_FIELDS),
     shape=_ORG_AFFILIATION,
+    # fixed values: the output columns in their order
     layout=(
         "file_export_type file_record_id version_id last_updtd_ts network_ref_record_id licensee_ref_record_id "
         "healthcare_service_ref_record_id location_ref_record_id participating_organization_ref_record_id "
@@ -544,6 +557,7 @@ LOCATION = Resource(
         "position:struct<latitude:string,longitude:string>",
     ),
     shape=_LOCATION,
+    # fixed values: the output columns in their order
     layout=(
         "file_export_type file_record_id version_id last_updtd_ts provider_location_master_identifier "
         "prov_dba_name prov_addr_city prov_addr_district prov_addr_state prov_addr_postalcd prov_addr_country "
@@ -617,6 +631,7 @@ ORGANIZATION = Resource(
         f"extension:{EXTENSION}",
     ),
     shape=_ORGANIZATION,
+    # fixed values: the output columns in their order
     layout=(
         "file_export_type file_record_id version_id last_updtd_ts prov_organization_name plan_prov_id "
         "prov_master_id national_prov_id_list cms_certification_number prov_tax_id prov_tax_id_type "
@@ -642,9 +657,8 @@ _HEALTHCARE_SERVICE = Shape(
         "specialties": codings("doc.specialty"),
     },
     tops={
-        **typed("codes", PROVIDER_TYPE_SYSTEM, "prov_type", ("code", "display")),
-        "patient_age_range_high": best("ext", "e.high"),
-        "patient_age_range_low": best("ext", "e.low"),
+        **typed("codes", CODE_SYSTEMS["provider type"], "prov_type", ("code", "display")),
+        **AGE_TOPS,
         "prov_patient_gender_limit": by_url("characteristics", "e.x.valueString"),
         "accepting_new_patients_cd": code_of("acceptingPatients"),
         "specialty_cd": best("specialties", "e.code"),
@@ -653,12 +667,14 @@ _HEALTHCARE_SERVICE = Shape(
     unfold={"service": codings("doc.type")},
     keys={"healthcare_service_type_cd": "service.code"},
     late_tops={"healthcare_service_type": "service.display"},
+    finals=AGE_FINALS,
 )
 
 HEALTHCARE_SERVICE = Resource(
     kind="HealthcareService",
     schema=ddl(f"type:{CONCEPTS}", f"code:{CONCEPTS}", f"specialty:{CONCEPTS}", f"extension:{EXTENSION}"),
     shape=_HEALTHCARE_SERVICE,
+    # fixed values: the output columns in their order
     layout=(
         "file_export_type file_record_id version_id last_updtd_ts healthcare_service_type_cd "
         "healthcare_service_type prov_type_cd prov_type_display patient_age_range_high patient_age_range_low "
@@ -677,10 +693,10 @@ _INSURANCE_PLAN = Shape(
     tops={
         "administered_by_ref_record_id": tail("doc.administeredBy.reference"),
         "descriptive_product_name": "doc.name",
-        "program_affil_type_cd": by_type(PROGRAM_AFFILIATION_SYSTEM, "code"),
-        "program_affil_type": by_type(PROGRAM_AFFILIATION_SYSTEM, "display"),
-        "bcbs_product_type_cd": by_type(PRODUCT_TYPE_SYSTEM, "code"),
-        "bcbs_product_type": by_type(PRODUCT_TYPE_SYSTEM, "display"),
+        "program_affil_type_cd": by_type(CODE_SYSTEMS["program affiliation"], "code"),
+        "program_affil_type": by_type(CODE_SYSTEMS["program affiliation"], "display"),
+        "bcbs_product_type_cd": by_type(CODE_SYSTEMS["product type"], "code"),
+        "bcbs_product_type": by_type(CODE_SYSTEMS["product type"], "display"),
         "memprefix": tagged(
             elements("doc.extension"), f"{tail('e.url')} = 'memprefix'", "e.valueString", ""
         ),
@@ -699,6 +715,7 @@ INSURANCE_PLAN = Resource(
         "extension:array<struct<url:string,valueString:string>>",
     ),
     shape=_INSURANCE_PLAN,
+    # fixed values: the output columns in their order
     layout=(
         "file_export_type file_record_id version_id last_updtd_ts administered_by_ref_record_id "
         "network_ref_record_id descriptive_product_name program_affil_type_cd program_affil_type "
@@ -711,59 +728,85 @@ INSURANCE_PLAN = Resource(
 # Measure tags by the JSON field that carries them, and the output
 # column of each tag.
 MEASURE_TAGS = {
-    "coding": (
-        "recognitionType:recognition_type recognitionValue:recognition_value "
-        "recognizingEntity:recognition_entity hospitalOwner:hospital_owner hospitalType:hospital_type "
-        "emergencyService:emergency_service"
-    ),
-    "valueUrl": "recognitionWebAddress:recognition_webaddr",
-    "valueString": (
-        "hcahpsMeasureCode:hcahps_measure_cd measureCode:measure_cd hcahpsAnswerPercent:hcahps_answer_percent "
-        "hospitalSurveyResponseRateFootnote:hospital_survey_response_rate_footnote "
-        "surveyResponseRatePercent:survey_response_rate_percent numberOfSurveys:number_of_surveys "
-        "alternativeRating:alt_rating "
-        "numberOfHospitalsAtAlternativeRatingBenchmark:number_of_hospitals_at_alt_rating_benchmark "
-        "messaging:messaging scoreDesignation:score_designation emboldMarket:embold_mkt "
-        "emboldSpecialty:embold_specialty emboldStatus:embold_status emboldAccount:embold_accnt "
-        "emboldTier:embold_tier"
-    ),
-    "valueDecimal": (
-        "zScore:zscore weightedPerformanceScore:weighted_performance_score "
-        "unweightedPerformanceScore:unweighted_performance_score severityIndex:severity_index"
-    ),
-    "valueInteger": (
-        "decile:decile starRating:star_rating linearMean:linear_mean processMeasureSample:process_measure_sample "
-        "observedRateOfOccurrences:observed_rate_of_occurrences "
-        "confidenceIntervalValueLow:confidence_interval_value_low "
-        "confidenceIntervalValueHigh:confidence_interval_value_high atRiskPatients:at_risk_patients "
-        "observedCases:observed_cases expectedCases:expected_cases quintileValue:quintile_value "
-        "riskAdjustedRate:risk_adjusted_rate stateLowCutpoint:state_low_cutpoint "
-        "stateMediumCutpoint:state_medium_cutpoint stateHighCutpoint:state_high_cutpoint "
-        "stateVeryHighCutpoint:state_very_high_cutpoint stateOverallCutpoint:state_overall_cutpoint "
-        "stateAverage:state_average stateAverageBottom20Percent:state_average_bottom_20_percent "
-        "stateAverageTop20Percent:state_average_top_20_percent nationalLowCutpoint:national_low_cutpoint "
-        "nationalMediumCutpoint:national_medium_cutpoint nationalHighCutpoint:national_high_cutpoint "
-        "nationalVeryHighCutpoint:national_very_high_cutpoint nationalOverallCutpoint:national_overall_cutpoint "
-        "nationalAverage:national_average nationalAverageBottom20Percent:national_average_bottom_20_percent "
-        "nationalAverageTop20Percent:national_average_top20_percent "
-        "differenceInObservedAndExpectedRates:difference_in_observed_and_expected_rates "
-        "achievementPointsNumerator:achievement_points_numerator "
-        "achievementPointsDenominator:achievement_points_denominator "
-        "improvementPointsNumerator:improvement_points_numerator "
-        "improvementPointsDenominator:improvement_points_denominator "
-        "conditionProcedureScore:condition_procedures_core "
-        "measureDimensionScoreNumerator:measure_dim_score_numerator "
-        "measureDimensionScoreDenominator:measure_dim_score_denominator "
-        "processMeasureScore:process_measure_score"
-    ),
+    "coding": {
+        "recognitionType": "recognition_type",
+        "recognitionValue": "recognition_value",
+        "recognizingEntity": "recognition_entity",
+        "hospitalOwner": "hospital_owner",
+        "hospitalType": "hospital_type",
+        "emergencyService": "emergency_service",
+    },
+    "valueUrl": {
+        "recognitionWebAddress": "recognition_webaddr",
+    },
+    "valueString": {
+        "hcahpsMeasureCode": "hcahps_measure_cd",
+        "measureCode": "measure_cd",
+        "hcahpsAnswerPercent": "hcahps_answer_percent",
+        "hospitalSurveyResponseRateFootnote": "hospital_survey_response_rate_footnote",
+        "surveyResponseRatePercent": "survey_response_rate_percent",
+        "numberOfSurveys": "number_of_surveys",
+        "alternativeRating": "alt_rating",
+        "numberOfHospitalsAtAlternativeRatingBenchmark": "number_of_hospitals_at_alt_rating_benchmark",
+        "messaging": "messaging",
+        "scoreDesignation": "score_designation",
+        "emboldMarket": "embold_mkt",
+        "emboldSpecialty": "embold_specialty",
+        "emboldStatus": "embold_status",
+        "emboldAccount": "embold_accnt",
+        "emboldTier": "embold_tier",
+    },
+    "valueDecimal": {
+        "zScore": "zscore",
+        "weightedPerformanceScore": "weighted_performance_score",
+        "unweightedPerformanceScore": "unweighted_performance_score",
+        "severityIndex": "severity_index",
+    },
+    "valueInteger": {
+        "decile": "decile",
+        "starRating": "star_rating",
+        "linearMean": "linear_mean",
+        "processMeasureSample": "process_measure_sample",
+        "observedRateOfOccurrences": "observed_rate_of_occurrences",
+        "confidenceIntervalValueLow": "confidence_interval_value_low",
+        "confidenceIntervalValueHigh": "confidence_interval_value_high",
+        "atRiskPatients": "at_risk_patients",
+        "observedCases": "observed_cases",
+        "expectedCases": "expected_cases",
+        "quintileValue": "quintile_value",
+        "riskAdjustedRate": "risk_adjusted_rate",
+        "stateLowCutpoint": "state_low_cutpoint",
+        "stateMediumCutpoint": "state_medium_cutpoint",
+        "stateHighCutpoint": "state_high_cutpoint",
+        "stateVeryHighCutpoint": "state_very_high_cutpoint",
+        "stateOverallCutpoint": "state_overall_cutpoint",
+        "stateAverage": "state_average",
+        "stateAverageBottom20Percent": "state_average_bottom_20_percent",
+        "stateAverageTop20Percent": "state_average_top_20_percent",
+        "nationalLowCutpoint": "national_low_cutpoint",
+        "nationalMediumCutpoint": "national_medium_cutpoint",
+        "nationalHighCutpoint": "national_high_cutpoint",
+        "nationalVeryHighCutpoint": "national_very_high_cutpoint",
+        "nationalOverallCutpoint": "national_overall_cutpoint",
+        "nationalAverage": "national_average",
+        "nationalAverageBottom20Percent": "national_average_bottom_20_percent",
+        "nationalAverageTop20Percent": "national_average_top20_percent",
+        "differenceInObservedAndExpectedRates": "difference_in_observed_and_expected_rates",
+        "achievementPointsNumerator": "achievement_points_numerator",
+        "achievementPointsDenominator": "achievement_points_denominator",
+        "improvementPointsNumerator": "improvement_points_numerator",
+        "improvementPointsDenominator": "improvement_points_denominator",
+        "conditionProcedureScore": "condition_procedures_core",
+        "measureDimensionScoreNumerator": "measure_dim_score_numerator",
+        "measureDimensionScoreDenominator": "measure_dim_score_denominator",
+        "processMeasureScore": "process_measure_score",
+    },
 }
 
 
 def measure_columns() -> list[tuple[str, str, str]]:
     """(carrier, tag, output column) of every measure."""
-    return [
-        (carrier, *entry.split(":")) for carrier, entries in MEASURE_TAGS.items() for entry in entries.split()
-    ]
+    return [(carrier, tag, name) for carrier, tags in MEASURE_TAGS.items() for tag, name in tags.items()]
 
 
 def by_measure(tag: str, value: str) -> str:
@@ -771,7 +814,7 @@ def by_measure(tag: str, value: str) -> str:
 
 
 def recognized_by(part: str) -> str:
-    return tagged(elements("doc.code.coding"), f"{tail('e.system')} = '{RECOGNITION_SYSTEM}'", f"e.{part}", "")
+    return tagged(elements("doc.code.coding"), f"{tail('e.system')} = '{CODE_SYSTEMS["recognition"]}'", f"e.{part}", "")
 
 
 _BASIC = Shape(
@@ -817,6 +860,7 @@ BASIC_MEASURES = Resource(
     kind="Basic",
     schema=ddl(f"code:{CONCEPT}", f"identifier:{IDENTIFIER}", "extension:array<string>"),
     shape=_BASIC,
+    # fixed values: the output columns in their order
     layout=(
         "file_export_type file_record_id version_id last_updtd_ts licensee_ref_record_id "
         "quality_recognition_type_cd quality_recognition_type_display recognition_type recognition_value "

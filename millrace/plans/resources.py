@@ -20,11 +20,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import session
 from millrace.functions import nested, text
 from millrace.operators import versions
-from millrace.sources import tables
+from millrace.sources import runs, tables
 
 RECORD_KEYS = ["file_record_id", "file_export_type"]
 EXPORT_SEGMENT = 3
@@ -145,25 +146,46 @@ def flatten_resource(
 
 
 def load_resource(
-    spark: SparkSession, raw: DataFrame, resource: Resource, target: str, log: str, buckets: int = 64
+    spark: SparkSession,
+    raw: DataFrame,
+    resource: Resource,
+    target: str,
+    log: str,
+    buckets: int | None = None,
+    gate: str = "load_dt",
 ) -> DataFrame:
-    """Bring the flat table at `target` up to date with `raw`.
-
-    `log` holds the processed load dates. A date is logged only after the
-    target was replaced, so a run that dies is simply run again; a date whose
-    rows were all superseded later still counts as processed.
+    """Bring the flat table at `target` up to date with `raw`; returns the slices that were processed.
+
+    `log` holds the processed values of `gate`: load dates for a raw table that
+    is filled once a day, `ingest_batch` for one that grows at any time. The
+    pending slices are stored before the target is touched and logged after it
+    was replaced. A run that died is taken up by the next one with the same
+    slices and the same staged copy, also if more has arrived meanwhile. A slice
+    whose rows were all superseded later still counts as processed.
     """
-    processed = (
-        spark.read.parquet(log)
-        if tables.path_exists(spark, log)
-        else spark.createDataFrame([], "load_dt date")
-    )
-    rows = raw.where(F.col("file_resource_type") == resource.kind)
-    dates = session.settle(versions.new_slices(rows, processed, "load_dt"), "slices")
-    if dates.isEmpty():
-        return dates
-    batch = session.settle(flatten_resource(raw, resource, processed), resource.kind.lower())
-    staging = session.scratch_path(spark, f"{resource.kind.lower()}-staged")
-    tables.replace_keys(batch, target, RECORD_KEYS, staging, buckets)
-    dates.write.mode("append").parquet(log)
-    return dates
+    kind = raw.schema[gate].dataType
+    rows = with_export_type(raw.where(F.col("file_resource_type") == resource.kind))
+    pending = runs.PendingWork(spark, f"{log}_work/pending")
+    work = pending.stored()
+    if work is None:
+        processed = (
+            spark.read.parquet(log)
+            if tables.path_exists(spark, log)
+            else spark.createDataFrame([], T.StructType([T.StructField(gate, kind)]))
+        )
+        work = pending.begin(versions.new_slices(rows, processed, gate))
+    if work is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(gate, kind)]))
+    slices, run = work
+    staging = f"{log}_work/staged-{run}"
+    new = slices.select(F.col(gate).alias("_slice"))
+    batch = rows.join(new, F.col(gate).eqNullSafe(F.col("_slice")), "left_semi")
+    newest = versions.latest_versions(rows, resource.latest_by, "file_last_modified", within=batch)
+    with session.workspace(spark) as settle:
+        flat = settle(flatten_documents(newest, resource), resource.kind.lower())
+        tables.replace_keys(flat, target, RECORD_KEYS, staging, buckets)
+    slices.write.mode("append").parquet(log)
+    done = spark.createDataFrame(slices.collect(), slices.schema)  # one short value for each slice
+    pending.finish()
+    tables.release_staging(spark, staging)
+    return done

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,11 +67,24 @@ def settle(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """All cores for a scan that has fewer partitions than there are cores.
+def release(frame: DataFrame, path: str) -> None:
+    """Empty a scratch folder: its files give way to one without rows, in the layout of `frame`."""
+    frame.sparkSession.createDataFrame([], frame.schema).write.mode("overwrite").parquet(path)
 
-    A small table stored as one file would otherwise keep costly per-row work on
-    one core. Larger inputs pass through unchanged, without a shuffle.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a `settle` whose copies are emptied at the end, also after an error."""
+    kept: list[tuple[DataFrame, str]] = []
+
+    def keep(frame: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(spark, label)
+        kept.append((frame, path))
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        for frame, path in kept:
+            release(frame, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace import session
 from millrace.functions import text
 from millrace.sources import ndjson
 
@@ -29,13 +31,14 @@ class StagedFiles:
         return self.options.get("sep", ",")
 
 
-def read_staged(spark: SparkSession, files: StagedFiles) -> DataFrame:
+def read_staged(spark: SparkSession, files: StagedFiles, only: DataFrame | None = None) -> DataFrame:
     """All lines with typed columns, the raw text of damaged lines, and provenance.
 
     A line is damaged when a value does not fit its type or the number of
-    values differs from the number of columns. Settle the result
-    (`session.settle`) before taking rows, status and rejects from it: all three
-    then describe the same single read.
+    values differs from the number of columns. `only` (file_path,
+    file_modification_time) restricts the read: older files are not opened,
+    others not kept. Settle the result before taking rows, status and rejects
+    from it: all three then describe the same single read.
     """
     schema = T.StructType([*files.schema.fields, T.StructField(CORRUPT, T.StringType())])
     lines = (
@@ -50,7 +53,11 @@ def read_staged(spark: SparkSession, files: StagedFiles) -> DataFrame:
         .csv(files.root)
         .select("*", *ndjson.PROVENANCE)
     )
-    return ndjson.in_reading_order(lines)
+    if only is None:
+        return ndjson.in_reading_order(lines)
+    first = only.agg(F.min("file_modification_time")).first()[0]
+    lines = ndjson.in_reading_order(lines.where(F.col("file_modification_time") >= F.lit(first)))
+    return lines.join(only.select("file_path"), "file_path", "left_semi")
 
 
 def good_rows(staged: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
@@ -58,67 +65,135 @@ def good_rows(staged: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
     return staged.where(F.col(CORRUPT).isNull()).select(*[c.alias(n) for n, c in fields.items()])
 
 
-def value_count(files: StagedFiles) -> Column:
-    """Number of values on a damaged line."""
-    return F.size(text.literal_split(F.col(CORRUPT), files.separator))
+def raw_values(files: StagedFiles) -> Column:
+    """Number of values on a damaged line; separators inside quotes do not part values."""
+    quote, escape = (re.escape(files.options.get(n, d)) for n, d in (("quote", '"'), ("escape", "\\")))
+    sep = re.escape(files.separator)
+    quoted = f"(^|{sep})[ \\t]*{quote}(?:{escape}.|{quote}{quote}|[^{quote}])*{quote}"
+    return F.size(text.literal_split(F.regexp_replace(F.col(CORRUPT), quoted, "$1q"), files.separator))
 
 
-def damage(files: StagedFiles) -> Column:
-    """What is wrong with a damaged line."""
+def _misfit(files: StagedFiles) -> Column:
+    """First column whose value does not fit, with the value: a struct (column, value), NULL if none is found.
+
+    The line is parsed twice by the reader's own rules, as texts and as the
+    columns' types; a text that is there and has no typed value is the culprit.
+    """
+    fields = files.schema.fields
+    options = {**files.options, "mode": "PERMISSIVE"}
+    texts = F.from_csv(F.col(CORRUPT), ", ".join(f"c{i} string" for i in range(len(fields))), options)
+    typed = F.from_csv(
+        F.col(CORRUPT), ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)), options
+    )
+    found = [
+        F.when(
+            texts[f"c{i}"].isNotNull() & typed[f"c{i}"].isNull(),
+            F.struct(F.lit(f.name).alias("column"), texts[f"c{i}"].alias("value")),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return F.coalesce(*found)
+
+
+def errors(staged: DataFrame, files: StagedFiles) -> DataFrame:
+    """The damaged lines with what is wrong: error, category, code, column_name, character, byte_offset.
+
+    character and byte_offset say where on the line the value that does not fit
+    starts (from 1 and from 0); a wrong number of values starts at the line's end.
+    """
     expected = len(files.schema.fields)
-    found = value_count(files)
-    return F.when(
-        found != expected,
-        F.concat(F.lit(f"expected {expected} values, found "), found.cast("string")),
-    ).otherwise(F.lit("a value does not fit its column type"))
+    bad = staged.where(F.col(CORRUPT).isNotNull()).withColumn("_found", raw_values(files))
+    bad = bad.withColumn("_misfit", F.when(F.col("_found") == expected, _misfit(files)))
+    wrong_count = F.col("_found") != expected
+    place = F.position(F.col("_misfit.value"), F.col(CORRUPT))
+    before = F.substring(F.col(CORRUPT), F.lit(1), place - 1)
+    where = F.when(F.col("_misfit").isNotNull(), place).otherwise(F.length(F.col(CORRUPT)))
+    return bad.select(
+        "*",
+        F.when(
+            wrong_count, F.concat(F.lit(f"expected {expected} values, found "), F.col("_found").cast("string"))
+        ).otherwise(F.lit("a value does not fit its column type")).alias("error"),
+        F.when(wrong_count, "parsing").otherwise("conversion").alias("category"),
+        F.when(wrong_count, "VALUE_COUNT").otherwise("VALUE_TYPE").alias("code"),
+        F.col("_misfit.column").alias("column_name"),
+        where.cast("bigint").alias("character"),
+        F.when(F.col("_misfit").isNotNull(), F.octet_length(before)).otherwise(F.octet_length(F.col(CORRUPT)))
+        .cast("bigint").alias("byte_offset"),
+    ).drop("_found", "_misfit")
 
 
 def listed_files(spark: SparkSession, files: StagedFiles) -> DataFrame:
-    """Every matching file below the root, also the empty ones a scan skips."""
+    """Every matching file below the root with size and date; contents stay unread.
+
+    The list stays distributed. A scan never opens empty files, so they are not in it.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", files.pattern)
         .load(files.root)
     )
-    paths = spark.createDataFrame([(p,) for p in listing.inputFiles()], "file_path string")
-    return paths.select(ndjson.relative_path(F.col("file_path"), files.root).alias("file"))
+    return listing.select(*[c for c in ndjson.PROVENANCE if "block" not in c])
 
 
-def load_status(staged: DataFrame, files: StagedFiles) -> DataFrame:
-    """Per file: status, lines parsed and loaded, errors seen, first error.
+def load_status(
+    staged: DataFrame, files: StagedFiles, listed: DataFrame | None = None, settle: ndjson.Settle = session.settle
+) -> DataFrame:
+    """Per file: status, lines parsed and loaded, errors seen, and the first error by place in the file.
 
     Counting combines on the map side, so one dominant file is no bottleneck.
+    `listed` are the files to report on (default: all).
     """
-    bad = F.col(CORRUPT).isNotNull()
-    per_file = staged.groupBy("file_path").agg(
-        F.count("*").alias("rows_parsed"),
-        F.count_if(~bad).alias("row_loaded"),
-        F.count_if(bad).alias("errors_seen"),
-        F.min(F.when(bad, damage(files))).alias("first_error"),
+    good = F.count_if(F.col(CORRUPT).isNull())
+    counted = staged.groupBy("file_path").agg(F.count("*").alias("rows_parsed"), good.alias("row_loaded"))
+    place = ("file_block_start", "_order", "error", "character", "column_name")
+    first = errors(staged, files).groupBy("file_path").agg(F.min(F.struct(*place)).alias("e"))
+    block = ndjson.blocks(staged, settle).select(*ndjson.BLOCK, "_first", "_shift")
+    first = first.withColumn("file_block_start", F.col("e.file_block_start")).join(block, ndjson.BLOCK).select(
+        "file_path",
+        F.col("e.error").alias("first_error"),
+        (F.col("e._order") - F.col("_first") + F.col("_shift") + 1 + _header(files)).alias("first_error_line"),
+        F.col("e.character").alias("first_error_character"),
+        F.col("e.column_name").alias("first_error_column_name"),
     )
-    counted = per_file.withColumn("file", ndjson.relative_path(F.col("file_path"), files.root))
-    every = listed_files(staged.sparkSession, files).join(counted.drop("file_path"), "file", "left")
-    every = every.fillna(0, ["rows_parsed", "row_loaded", "errors_seen"])
-    status = (
-        F.when(F.col("errors_seen") == 0, "LOADED")
-        .when(F.col("row_loaded") == 0, "LOAD_FAILED")
-        .otherwise("PARTIALLY_LOADED")
+    every = listed_files(staged.sparkSession, files) if listed is None else listed
+    every = every.select("file_path").join(counted, "file_path", "left").join(first, "file_path", "left")
+    every = every.fillna(0, ["rows_parsed", "row_loaded"])
+    seen = F.col("rows_parsed") - F.col("row_loaded")
+    status = F.when(seen == 0, "LOADED").when(F.col("row_loaded") == 0, "LOAD_FAILED").otherwise("PARTIALLY_LOADED")
+    return every.select(
+        ndjson.relative_path(F.col("file_path"), files.root).alias("file"),
+        status.alias("status"),
+        "rows_parsed",
+        "row_loaded",
+        F.lit(None).cast("bigint").alias("error_limit"),
+        seen.alias("errors_seen"),
+        "first_error",
+        "first_error_line",
+        "first_error_character",
+        "first_error_column_name",
     )
-    return every.select("file", status.alias("status"), "rows_parsed", "row_loaded", "errors_seen", "first_error")
 
 
-def rejects(staged: DataFrame, files: StagedFiles) -> DataFrame:
-    """Damaged lines with file, line number, what is wrong, and two blank columns for the fix."""
-    numbered = ndjson.with_line_numbers(staged, "line")
-    header = 1 if str(files.options.get("header", "false")).lower() == "true" else 0
-    expected = len(files.schema.fields)
-    found = value_count(files)
-    return numbered.where(F.col(CORRUPT).isNotNull()).select(
-        damage(files).alias("error"),
+def _header(files: StagedFiles) -> int:
+    return 1 if str(files.options.get("header", "false")).lower() == "true" else 0
+
+
+def rejects(staged: DataFrame, files: StagedFiles, settle: ndjson.Settle = session.settle) -> DataFrame:
+    """Damaged lines with place and kind of the error, and two blank columns for the fix."""
+    block = ndjson.blocks(staged, settle).select(*ndjson.BLOCK, "_first", "_shift")
+    number = F.col("_order") - F.col("_first") + F.col("_shift") + 1
+    return errors(staged, files).join(block, ndjson.BLOCK).select(
+        "error",
         ndjson.relative_path(F.col("file_path"), files.root).alias("file"),
-        (F.col("line") + header).alias("line"),
-        F.when(found != expected, "parsing").otherwise("conversion").alias("category"),
+        (number + _header(files)).alias("line"),
+        "character",
+        "byte_offset",
+        "category",
+        "code",
+        "column_name",
+        number.alias("row_number"),
+        (number + _header(files)).alias("row_start_line"),
         F.col(CORRUPT).alias("rejected_record"),
         F.lit(" ").alias("fixed_status"),
         F.lit(" ").alias("action_taken"),

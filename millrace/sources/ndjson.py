@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace import session
+
+Settle = Callable[[DataFrame, str], DataFrame]
+
 RAW_COLUMNS = [
     "file_name",
     "file_row_number",
@@ -37,28 +43,46 @@ def in_reading_order(lines: DataFrame) -> DataFrame:
     return lines.withColumn("_order", F.monotonically_increasing_id())
 
 
-def with_line_numbers(lines: DataFrame, name: str = "line") -> DataFrame:
-    """Adds the 1-based line number within each file.
+BLOCK = ["file_path", "file_block_start"]
+
 
-    Large files are read in blocks, so lines are numbered inside their block
-    and shifted by the line counts of the earlier blocks of the file. A block is
-    never larger than `spark.sql.files.maxPartitionBytes`, which bounds every
-    window group whatever the size of the file. Lines that were stored since
-    they were read bring their reading order in `_order`.
+def blocks(lines: DataFrame, settle: Settle = session.settle) -> DataFrame:
+    """One row for each block a scan reads: its first `_order`, the lines before it in the file, the file's content key.
+
+    Large files are read in blocks; within a block the lines come in file order
+    and consecutively. Only this narrow summary is shuffled, never a line. It is
+    stored, so that joining it back broadcasts it while it is small by the size
+    of its files. The content key is the same for files with the same lines.
     """
-    block = ["file_path", "file_block_start"]
-    marked = lines if "_order" in lines.columns else in_reading_order(lines)
-    counts = lines.groupBy(*block).agg(F.count("*").alias("_lines"))
-    earlier = Window.partitionBy("file_path").orderBy("file_block_start").rowsBetween(
-        Window.unboundedPreceding, -1
+    value = F.xxhash64("value").cast("decimal(38,0)") if "value" in lines.columns else F.lit(0)
+    counted = lines.groupBy(*BLOCK).agg(
+        F.min("_order").alias("_first"), F.count("*").alias("_lines"), F.sum(value).alias("_sum")
+    )
+    file = Window.partitionBy("file_path")
+    earlier = file.orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    key = F.concat_ws("|", F.sum("_sum").over(file).cast("string"), F.sum("_lines").over(file).cast("string"))
+    return settle(
+        counted.select(
+            *BLOCK,
+            "_first",
+            F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_shift"),
+            F.sha2(key, 256).alias("file_content_key"),
+        ),
+        "blocks",
     )
-    shifts = counts.select(*block, F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy(*block).orderBy("_order")
+
+
+def with_line_numbers(lines: DataFrame, name: str = "line", settle: Settle = session.settle) -> DataFrame:
+    """Adds the 1-based line number within each file, and the file's content key, without a shuffle of lines.
+
+    A line's place in its block is its distance from the block's first line.
+    Lines that were stored since they were read bring their order in `_order`.
+    """
+    marked = lines if "_order" in lines.columns else in_reading_order(lines)
     return (
-        marked.withColumn("_inside", F.row_number().over(inside))
-        .join(shifts, block)
-        .withColumn(name, F.col("_shift") + F.col("_inside"))
-        .drop("_order", "_inside", "_shift")
+        marked.join(blocks(marked, settle), BLOCK)
+        .withColumn(name, F.col("_order") - F.col("_first") + F.col("_shift") + 1)
+        .drop("_order", "_first", "_shift")
     )
 
 
@@ -73,16 +97,20 @@ def read_lines(reader, root: str, pattern: str = "*.ndjson") -> DataFrame:
 
 
 def documents(
-    lines: DataFrame, root: str, load_date: Column, scan_time: Column, line_numbers: bool = True
+    lines: DataFrame,
+    root: str,
+    load_date: Column,
+    scan_time: Column,
+    line_numbers: bool = True,
+    settle: Settle = session.settle,
 ) -> DataFrame:
     """Raw document rows from lines: one per parsable JSON line.
 
     Unparsable and blank lines are left out and do not stop the load. Without
-    `line_numbers` the row number is NULL and the step needs no shuffle.
+    `line_numbers` the row number is NULL.
     """
-    if line_numbers:
-        lines = with_line_numbers(lines, "file_row_number")
-    else:
+    lines = with_line_numbers(lines, "file_row_number", settle)
+    if not line_numbers:
         lines = lines.withColumn("file_row_number", F.lit(None).cast("bigint"))
     parsed = lines.withColumn("_doc", F.try_parse_json("value")).where("_doc IS NOT NULL")
 
@@ -92,12 +120,7 @@ def documents(
     return parsed.select(
         relative_path(F.col("file_path"), root).alias("file_name"),
         "file_row_number",
-        F.sha2(
-            F.concat_ws(
-                "|", "file_path", F.col("file_size").cast("string"), F.col("file_modification_time").cast("string")
-            ),
-            256,
-        ).alias("file_content_key"),
+        "file_content_key",
         F.col("file_modification_time").alias("file_last_modified"),
         scan_time.alias("start_scan_time"),
         lifted("$.resourceType").alias("file_resource_type"),

@@ -3,19 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.operators import versions
 
 BUCKET = "key_bucket"
+BUCKETS = 64
+LAYOUT = "_layout"
+RUN = "load_run"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists on whatever file system the path names."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    """Whether a file or folder exists on whatever file system the path names."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -23,10 +34,19 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
-def append_dated(source: DataFrame, target: str, load_date: Column, truncate: bool = False) -> None:
-    """Copy all rows with a load date; `truncate` empties the target first."""
-    stamped = source.withColumn("load_dt", load_date)
-    stamped.write.mode("overwrite" if truncate else "append").parquet(target)
+def append_dated(source: DataFrame, target: str, load_date: Column, run: str, truncate: bool = False) -> None:
+    """Copy all rows with a load date, under the partition of the run; `truncate` empties the target first.
+
+    A run that is repeated overwrites what it wrote before.
+    """
+    stamped = source.withColumn("load_dt", load_date).withColumn(RUN, F.lit(run))
+    mode = "static" if truncate else "dynamic"
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(RUN).parquet(target)
+
+
+def read_runs(spark: SparkSession, target: str) -> DataFrame:
+    """A table written run by run, without the partition column."""
+    return spark.read.parquet(target).drop(RUN)
 
 
 def full_refresh(rows: DataFrame, target: str) -> None:
@@ -35,18 +55,46 @@ def full_refresh(rows: DataFrame, target: str) -> None:
 
 
 def append_history(snapshot: DataFrame, target: str, day: str = "load_dt") -> None:
-    """Append a deduplicated snapshot under its date."""
-    snapshot.distinct().write.mode("append").partitionBy(day).parquet(target)
+    """Add a deduplicated snapshot under its date; a snapshot of the same date gives way to it."""
+    replace_slices(snapshot.distinct(), target, [day])
 
 
-def replace_slices(rows: DataFrame, target: str, by: Sequence[str]) -> None:
-    """Overwrite exactly the partitions that occur in `rows`."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(target)
-    )
+def replace_slices(
+    rows: DataFrame, target: str, by: Sequence[str], changed: DataFrame | None = None
+) -> None:
+    """Overwrite exactly the partitions that occur in `rows`.
+
+    With `changed` (the values of `by` that were recomputed, NULL included) the
+    partitions of changed values that `rows` no longer has are emptied as well.
+    """
+    spark = rows.sparkSession
+
+    def write(frame: DataFrame) -> None:
+        writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*by).parquet(target)
+
+    if changed is None or not path_exists(spark, target):
+        write(rows)
+        return
+    with session.workspace(spark) as settle:
+        rows = settle(rows, "slices")
+        write(rows)
+        left = rows.select(*by).distinct()
+        gone = changed.select(*by).distinct().alias("g").join(left.alias("r"), _same(by, "g", "r"), "left_anti")
+        stored = spark.read.parquet(target)
+        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+        stale = stored.select(*by, folder.alias("folder")).alias("s").join(
+            gone.alias("g"), _same(by, "s", "g"), "left_semi"
+        )
+        # at most as many folders as slices changed
+        for row in stale.select(F.try_url_decode(F.replace("folder", F.lit("+"), F.lit("%2B"))).alias("f")).distinct().collect():
+            session.release(rows.drop(*by), row.f)
+
+
+def _same(columns: Sequence[str], left: str, right: str) -> Column:
+    """Equal in all columns, NULL equal to NULL."""
+    tests = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    return reduce(lambda a, b: a & b, tests)
 
 
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
@@ -59,30 +107,68 @@ def read_keyed(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).drop(BUCKET)
 
 
-def replace_keys(batch: DataFrame, target: str, keys: Sequence[str], staging: str, buckets: int = 64) -> None:
+def stored_buckets(spark: SparkSession, target: str) -> int | None:
+    """The number of buckets a keyed table was laid out with; None for a new table."""
+    path = f"{target.rstrip('/')}/{LAYOUT}"
+    return spark.read.schema("buckets int").json(path).first().buckets if is_complete(spark, path) else None
+
+
+def _store_buckets(spark: SparkSession, target: str, buckets: int) -> None:
+    layout = spark.range(1).select(F.lit(buckets).alias("buckets"))
+    layout.write.mode("overwrite").json(f"{target.rstrip('/')}/{LAYOUT}")
+
+
+def rebucket(spark: SparkSession, target: str, copy: str, keys: Sequence[str], buckets: int) -> None:
+    """Write a keyed table to `copy` with another number of buckets, for a table that has outgrown its own.
+
+    Some 256 MB to a bucket keep a replacement cheap. Readers switch to the copy.
+    """
+    rows = read_keyed(spark, target).withColumn(BUCKET, key_bucket(keys, buckets))
+    replace_slices(rows.hint("rebalance", BUCKET), copy, [BUCKET])
+    _store_buckets(spark, copy, buckets)
+
+
+def replace_keys(
+    batch: DataFrame, target: str, keys: Sequence[str], staging: str, buckets: int | None = None
+) -> None:
     """Delete target rows whose trimmed key is in the batch, then add the batch.
 
     The target is partitioned by a hash of the key and only buckets the batch
-    touches are rewritten. Their new content is first written in full to
-    `staging` and only then swapped in by a partition overwrite. Running the
-    step again, also after a crash between the two writes, continues from the
-    finished staged copy and gives the same table, so `staging` must be a fresh
-    path per batch. The rebalance hint splits a bucket that holds a hot key
-    over several tasks and merges small ones.
+    touches are rewritten. Their number is stored with the table when it is made
+    (`buckets`, else BUCKETS); asking for another one later is an error, since
+    keys would be looked for in the wrong place (see `rebucket`). The new content
+    is first written in full to `staging` and only then swapped in by a partition
+    overwrite. Running the step again, also after a crash between the two writes,
+    continues from the finished staged copy and gives the same table, so
+    `staging` must be a fresh path per batch and the same one for every attempt.
+    The rebalance hint splits a bucket that holds a hot key over several tasks
+    and merges small ones.
     """
     spark = batch.sparkSession
     layout = [*batch.columns, BUCKET]
+    stored = stored_buckets(spark, target)
+    if stored and buckets and stored != buckets:
+        raise ValueError(f"{target} has {stored} buckets, not {buckets}")
+    count = stored or buckets or BUCKETS
+    if stored is None:
+        _store_buckets(spark, target, count)
     if not is_complete(spark, staging):
-        fresh = batch.withColumn(BUCKET, key_bucket(keys, buckets))
-        if path_exists(spark, target):
-            # at most `buckets` numbers: a plain list prunes the scan to their partitions
+        fresh = batch.withColumn(BUCKET, key_bucket(keys, count))
+        if stored:
+            # at most `count` numbers: a plain list prunes the scan to their partitions
             numbers = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
-            touched = spark.read.parquet(target).where(F.col(BUCKET).isin(numbers))
+            schema = spark.createDataFrame([], batch.schema).withColumn(BUCKET, F.lit(0)).schema
+            touched = spark.read.schema(schema).parquet(target).where(F.col(BUCKET).isin(numbers))
             fresh = versions.without_keys(touched, batch, keys).select(*layout).unionByName(fresh)
         fresh.hint("rebalance", BUCKET).write.mode("overwrite").parquet(staging)
     replace_slices(spark.read.parquet(staging), target, [BUCKET])
 
 
+def release_staging(spark: SparkSession, staging: str) -> None:
+    """Empty the staged copy of a batch that has been swapped in; a repeated attempt then changes nothing."""
+    session.release(spark.read.parquet(staging), staging)
+
+
 def export_csv(rows: DataFrame, target: str) -> None:
     """Write with a header line, one folder of part files."""
     rows.write.mode("overwrite").option("header", True).csv(target)

@@ -11,6 +11,20 @@ from millrace import session
 from millrace.sources import ndjson, tables
 
 
+# A file counts as new until it was loaded, however old it is dated (the source would forget it after a week).
+ANY_AGE = {"maxFileAge": "36500d"}
+
+
+def file_stream(spark: SparkSession, archive: str | None = None):
+    """A reader of new files below a folder.
+
+    The source keeps the names of loaded files on the driver. With `archive` it
+    moves them there once they are loaded, which bounds that list.
+    """
+    reader = spark.readStream.options(**ANY_AGE)
+    return reader.options(cleanSource="archive", sourceArchiveDir=archive) if archive else reader
+
+
 def run_to_end(query) -> None:
     """Wait for an `availableNow` query and raise what it raised."""
     query.awaitTermination()
@@ -25,8 +39,9 @@ def ingest_new_files(
     pattern: str = "*.ndjson",
     load_date: Column | None = None,
     line_numbers: bool = True,
+    archive: str | None = None,
 ) -> None:
-    """Load every file that earlier runs with this checkpoint have not loaded.
+    """Load every file that earlier runs with this checkpoint have not loaded, whatever its date.
 
     Each micro-batch owns one folder of the target, so a batch that is replayed
     after a failure overwrites its own rows instead of adding them twice.
@@ -34,10 +49,11 @@ def ingest_new_files(
 
     def store(lines: DataFrame, batch_id: int) -> None:
         day = F.current_date() if load_date is None else load_date
-        raw = ndjson.documents(lines, root, day, F.current_timestamp(), line_numbers)
-        ndjson.write_raw(raw, f"{target}/ingest_batch={batch_id}", "overwrite")
+        with session.workspace(spark) as settle:
+            raw = ndjson.documents(lines, root, day, F.current_timestamp(), line_numbers, settle)
+            ndjson.write_raw(raw, f"{target}/ingest_batch={batch_id}", "overwrite")
 
-    lines = ndjson.read_lines(spark.readStream, root, pattern)
+    lines = ndjson.read_lines(file_stream(spark, archive), root, pattern)
     run_to_end(
         lines.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
@@ -47,8 +63,8 @@ def ingest_new_files(
 
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    """Raw documents written by `ingest_new_files`."""
-    return spark.read.parquet(target).select(*ndjson.RAW_COLUMNS)
+    """Raw documents written by `ingest_new_files`, with the batch that brought them."""
+    return spark.read.parquet(target).select(*ndjson.RAW_COLUMNS, "ingest_batch")
 
 
 def upsert_new_files(
@@ -59,7 +75,8 @@ def upsert_new_files(
     checkpoint: str,
     keys: Sequence[str],
     shape: Callable[[DataFrame], DataFrame],
-    buckets: int = 64,
+    buckets: int | None = None,
+    archive: str | None = None,
 ) -> None:
     """Shape new Parquet files under `root` and replace the target rows of the same keys.
 
@@ -68,10 +85,12 @@ def upsert_new_files(
     """
 
     def replace(new: DataFrame, batch_id: int) -> None:
-        batch = session.settle(shape(new), "upsert")
-        tables.replace_keys(batch, target, keys, f"{checkpoint}/staged/{batch_id}", buckets)
+        staging = f"{checkpoint}/staged/{batch_id}"
+        with session.workspace(spark) as settle:
+            tables.replace_keys(settle(shape(new), "upsert"), target, keys, staging, buckets)
+        tables.release_staging(spark, staging)
 
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+    stream = file_stream(spark, archive).schema(schema).option("recursiveFileLookup", "true").parquet(root)
     run_to_end(
         stream.writeStream.foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
@@ -88,22 +107,34 @@ def refresh_mart(
     checkpoint: str,
     slice_col: str,
     compute: Callable[[DataFrame], DataFrame],
+    by_slice: bool = False,
 ) -> None:
     """Recompute the mart slices that new files under `root` touch.
 
     A micro-batch only says which slices changed; those are recomputed from all
-    files and overwrite their partitions, so late and repeated files are safe.
+    files and overwrite their partitions, so late and repeated files are safe. A
+    slice may be NULL; one that recomputes to nothing is emptied. The changed
+    values (one for each slice of the batch) reach the scan as a filter; with
+    `by_slice` the files lie in a folder for each slice and others are not listed.
     """
 
     def refresh(new: DataFrame, batch_id: int) -> None:
         changed = new.select(slice_col).distinct()
-        everything = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
-        rows = compute(everything.join(changed, slice_col, "left_semi"))
-        tables.replace_slices(rows, target, [slice_col])
-
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+        values = [row[0] for row in changed.collect()]
+        everything = spark.read.schema(schema)
+        if not by_slice:
+            everything = everything.option("recursiveFileLookup", "true")
+        wanted = F.col(slice_col).isin([v for v in values if v is not None])
+        if None in values:
+            wanted = wanted | F.col(slice_col).isNull()
+        touched = spark.createDataFrame([(v,) for v in values], changed.schema)
+        tables.replace_slices(compute(everything.parquet(root).where(wanted)), target, [slice_col], touched)
+
+    stream = file_stream(spark).schema(schema)
+    if not by_slice:
+        stream = stream.option("recursiveFileLookup", "true")
     run_to_end(
-        stream.writeStream.foreachBatch(refresh)
+        stream.parquet(root).writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

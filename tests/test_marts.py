@@ -136,3 +136,25 @@ def test_catalog_profile(spark):
         assert profiling.profile_run(named).first()["total_rows"] == 3
     finally:
         spark.sql("drop schema profiled cascade")
+
+
+def test_risks_keep_all_their_digits(spark):
+    """Inputs are not rounded; a share of a million and more fits."""
+    from pyspark.sql import functions as F
+
+    from millrace.functions import measures
+
+    layout = (
+        "chi_data_point string, chi_data_point_ref string, align_as_of_dt date, mbr_grp string, master_pcp string, master_clinic string, "
+        "contract_id string, party_key string, age int, mbr_gender_cd string, source_code string, "
+        "retro_risk decimal(18,8), dx_med_risk decimal(18,8), prosp_risk double, ytd_mm decimal(10,4), ry_mm decimal(10,4)"
+    )
+    from decimal import Decimal
+
+    row = ("a", "b", None, "g", "p", "c", "1", "2", 3, "M", "x", Decimal("0.00000400"), Decimal(0), 0.000004, Decimal("0.0001"), Decimal("2.0000"))
+    mart = marts.member_demographics(spark.createDataFrame([row], layout), F.current_date())
+    got = mart.where("master_clinic = 'c'").first()
+    assert got["ytd_adjusted_retro_risk"] == got["ry_adjusted_retro_risk"] == Decimal("0.000004")
+    assert got["ytd_adjusted_prosp_risk"] == Decimal("0.000004")
+    share = spark.range(1).select(measures.share_pct(F.lit(5_000_000_000), F.lit(10_000_000_000)).alias("s")).first().s
+    assert share == Decimal("50.000")

@@ -140,6 +140,56 @@ def test_late_old_version_changes_nothing(spark):
     assert resources.load_resource(spark, raw_of(spark, new, old), spec, target, log, buckets=4).isEmpty()
 
 
+def place(n, name, modified, day):
+    return raw_row({"id": f"l{n}", "resourceType": "Location", "name": name}, modified=modified, slice_day=day)
+
+
+def test_a_load_that_died_in_the_swap_is_finished(spark, monkeypatch):
+    """Part of the target is gone and more has arrived: the next run still takes up the first one's staged copy."""
+    spec = resource_specs.LOCATION
+    target, log = session.scratch_path(spark, "loc"), session.scratch_path(spark, "log")
+    old = [place(n, "old", 1, 1) for n in range(12)]
+    new = [place(n, "new", 5, 2) for n in range(3)]
+    resources.load_resource(spark, raw_of(spark, *old), spec, target, log, buckets=4)
+
+    def die(rows, path, by, *rest):
+        gone = rows.limit(0).unionByName(rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields[:-1]], "key_bucket").distinct())
+        gone.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "replace_slices", die)
+        with pytest.raises(RuntimeError):
+            resources.load_resource(spark, raw_of(spark, *old, *new), spec, target, log)
+    assert tables.read_keyed(spark, target).where("prov_dba_name is not null").count() < 12
+    more = [place(20, "more", 9, 3)]
+    for _ in range(2):
+        resources.load_resource(spark, raw_of(spark, *old, *new, *more), spec, target, log)
+    names = sorted(r["prov_dba_name"] for r in tables.read_keyed(spark, target).collect())
+    assert names == ["more"] + ["new"] * 3 + ["old"] * 9
+    assert spark.read.parquet(f"{log}_work/pending").count() == 0
+
+
+def test_documents_of_a_processed_day_are_loaded_by_their_batch(spark):
+    spec = resource_specs.LOCATION
+    target, log = session.scratch_path(spark, "loc"), session.scratch_path(spark, "log")
+    first = raw_of(spark, place(1, "one", 1, 1)).withColumn("ingest_batch", F.lit(0))
+    second = raw_of(spark, place(2, "two", 1, 1)).withColumn("ingest_batch", F.lit(1))
+    for raw in (first, first.unionByName(second), first.unionByName(second)):
+        resources.load_resource(spark, raw, spec, target, log, gate="ingest_batch")
+    assert sorted(r["prov_dba_name"] for r in tables.read_keyed(spark, target).collect()) == ["one", "two"]
+    assert spark.read.parquet(log).count() == 2
+
+
+def test_age_bounds_compare_as_numbers(spark):
+    def ranged(*bounds):
+        return [{"url": "x/age", "valueRange": {"low": {"value": lo}, "high": {"value": hi}}} for lo, hi in bounds]
+
+    doc = {"id": "h", "resourceType": "HealthcareService", "extension": ranged((5, 9), (18, 65), (0.5, 100))}
+    row = flat(spark, doc, "HealthcareService")[0]
+    assert (row["patient_age_range_low"], row["patient_age_range_high"]) == ("18", "100")
+
+
 def bundle(*entries, kind, modified=1):
     return raw_row({"id": "b", "resourceType": "Bundle", "entry": [{"resource": r} for r in entries]}, bundle=kind, modified=modified)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +48,50 @@ def test_missing_fields_become_blank(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [(" ", "1"), ("R", " ")]
 
 
+def test_content_key_is_of_the_content(spark, tmp_path):
+    def keys():
+        rows = ndjson.ingest(spark, str(tmp_path), line_numbers=False).select("file_name", "file_content_key")
+        return {r[0]: r[1] for r in rows.collect()}
+
+    (tmp_path / "a.ndjson").write_text('{"id":"1"}\n{"id":"2"}\n')
+    (tmp_path / "b.ndjson").write_text('{"id":"1"}\n{"id":"2"}\n')
+    before = keys()
+    assert before["a.ndjson"] == before["b.ndjson"]
+    date = (tmp_path / "b.ndjson").stat().st_mtime
+    (tmp_path / "b.ndjson").write_text('{"id":"1"}\n{"id":"3"}\n')
+    os.utime(tmp_path / "b.ndjson", (date, date))
+    after = keys()
+    assert after["a.ndjson"] == before["a.ndjson"] != after["b.ndjson"]
+
+
+def test_line_numbers_need_no_exchange_of_lines(spark, tmp_path):
+    (tmp_path / "a.ndjson").write_text('{"id":"1"}\n' * 100)
+    plan = ndjson.ingest(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_old_files_that_arrive_late_are_loaded(spark, tmp_path):
+    source, target, state = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "state")
+    source.mkdir()
+    (source / "new.ndjson").write_text('{"id":"1"}\n')
+    incremental.ingest_new_files(spark, str(source), target, state)
+    (source / "old.ndjson").write_text('{"id":"2"}\n')
+    month_ago = time.time() - 30 * 86400
+    os.utime(source / "old.ndjson", (month_ago, month_ago))
+    incremental.ingest_new_files(spark, str(source), target, state)
+    assert sorted(r["file_record_id"] for r in incremental.read_ingested(spark, target).collect()) == ["1", "2"]
+
+
+def test_loaded_files_can_be_moved_away(spark, tmp_path):
+    source, target, state, done = (tmp_path / x for x in ("in", "raw", "state", "done"))
+    source.mkdir()
+    for n in range(3):
+        (source / f"{n}.ndjson").write_text(f'{{"id":"{n}"}}\n')
+        incremental.ingest_new_files(spark, str(source), str(target), str(state), archive=str(done))
+    assert incremental.read_ingested(spark, str(target)).count() == 3
+    assert len(list(source.glob("*.ndjson"))) < 3
+
+
 def test_files_load_once_and_restart(spark, tmp_path):
     source, target, state = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "state")
     source.mkdir()
@@ -67,26 +113,59 @@ def test_damaged_lines_are_reported(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     (source / "good.csv").write_text("k,name,n\n1,a,1\n2,b,2\n")
-    (source / "mixed.csv").write_text('k,name,n\n3,c,3\n4,d\n5,e,5,5\n6,f,x\n7,"g,h",7\n')
+    (source / "mixed.csv").write_text('k,name,n\n3,c,3\n4,d\n5,e,5,5\n6,f,x\n7,"g,h",7\n7,"g,h",x\n')
     (source / "bad.csv").write_text("k,name,n\nx,y,z\n")
     (source / "empty.csv").write_text("")
     (source / "other.txt").write_text("1,a,1\n")
     files = delimited.StagedFiles(str(source), "*.csv", STAGED, {"header": "true"})
     target = str(tmp_path / "target")
-    result = feedback.load_files(spark, files, {"k": F.col("k"), "label": F.upper("name")}, target, table="t")
-    status = {r["file"]: (r["status"], r["rows_parsed"], r["row_loaded"], r["errors_seen"]) for r in result["status"].collect()}
+    control = str(tmp_path / "control")
+    fields = {"k": F.col("k"), "label": F.upper("name")}
+    result = feedback.load_files(spark, files, fields, target, control, table="t")
+    stored = feedback.read_control(spark, control, "status").collect()
+    status = {r["file"]: (r["status"], r["rows_parsed"], r["row_loaded"], r["errors_seen"]) for r in stored}
+    first = {r["file"]: (r["first_error"], r["first_error_line"], r["first_error_column_name"]) for r in stored}
+    assert first["mixed.csv"] == ("expected 3 values, found 2", 3, None) and first["good.csv"] == (None, None, None)
+    assert first["bad.csv"] == ("a value does not fit its column type", 2, "k")
     assert status == {
         "good.csv": ("LOADED", 2, 2, 0),
-        "mixed.csv": ("PARTIALLY_LOADED", 5, 2, 3),
+        "mixed.csv": ("PARTIALLY_LOADED", 6, 2, 4),
         "bad.csv": ("LOAD_FAILED", 1, 0, 1),
-        "empty.csv": ("LOADED", 0, 0, 0),
     }
-    rejects = {(r["file"], r["rejected_record"]): (r["category"], r["error"]) for r in result["rejects"].collect()}
+    rejected = feedback.read_control(spark, control, "rejects").collect()
+    rejects = {(r["file"], r["rejected_record"]): (r["category"], r["error"]) for r in rejected}
+    places = {r["rejected_record"]: (r["line"], r["character"], r["column_name"]) for r in rejected}
+    assert places["6,f,x"] == (5, 5, "n") and places['7,"g,h",x'] == (7, 9, "n") and places["x,y,z"] == (2, 1, "k")
+    assert rejects[("mixed.csv", '7,"g,h",x')][0] == "conversion"
     assert rejects[("mixed.csv", "4,d")] == ("parsing", "expected 3 values, found 2")
     assert rejects[("mixed.csv", "6,f,x")][0] == "conversion"
-    loaded = sorted(map(tuple, spark.read.parquet(target).collect()))
-    assert loaded == [(1, "A"), (2, "B"), (3, "C"), (7, "G,H")]
-    assert result["verdict"].first()["outcome"] == "not all rows loaded"
+    assert result.first()["outcome"] == "not all rows loaded"
+
+    def loaded():
+        return sorted(map(tuple, tables.read_runs(spark, target).collect()))
+
+    assert loaded() == [(1, "A"), (2, "B"), (3, "C"), (7, "G,H")]
+    again = feedback.load_files(spark, files, fields, target, control, table="t").first()
+    assert again["outcome"] == "no files processed" and len(loaded()) == 4
+    (source / "later.csv").write_text("k,name,n\n8,i,8\n")
+    assert feedback.load_files(spark, files, fields, target, control, table="t").first()["outcome"] == "loaded"
+    assert loaded()[-1] == (8, "I") and len(loaded()) == 5
+
+
+def test_a_load_that_died_is_repeated_without_doubling(spark, tmp_path, monkeypatch):
+    source, target, control = tmp_path / "in", str(tmp_path / "target"), str(tmp_path / "control")
+    source.mkdir()
+    (source / "a.csv").write_text("1,a,1\n")
+    files = delimited.StagedFiles(str(source), "*.csv", STAGED, {})
+    with monkeypatch.context() as broken:
+        broken.setattr(delimited, "load_status", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            feedback.load_files(spark, files, {"k": F.col("k")}, target, control, table="t")
+    assert tables.read_runs(spark, target).count() == 1  # the rows were added, the files not logged
+    (source / "b.csv").write_text("2,b,2\n")
+    for outcome in ("loaded", "loaded", "no files processed"):
+        assert feedback.load_files(spark, files, {"k": F.col("k")}, target, control, table="t").first()["outcome"] == outcome
+    assert sorted(r["k"] for r in tables.read_runs(spark, target).collect()) == [1, 2]
 
 
 def test_replace_is_idempotent_and_resumes(spark):
@@ -114,6 +193,45 @@ def test_replace_resumes_after_a_lost_partition(spark):
     assert sorted(map(tuple, tables.read_keyed(spark, target).collect())) == [("a", 3), ("b", 2)]
 
 
+def test_another_bucket_count_is_refused(spark):
+    rows = spark.createDataFrame([(str(i), i) for i in range(20)], "k string, v int")
+    target, copy = session.scratch_path(spark, "t"), session.scratch_path(spark, "t")
+    tables.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"), buckets=8)
+    with pytest.raises(ValueError):
+        tables.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"), buckets=64)
+    tables.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"))
+    tables.rebucket(spark, target, copy, ["k"], 3)
+    tables.replace_keys(rows, copy, ["k"], session.scratch_path(spark, "s"))
+    assert tables.stored_buckets(spark, copy) == 3
+    assert tables.read_keyed(spark, target).count() == tables.read_keyed(spark, copy).count() == 20
+
+
+def test_null_and_emptied_slices_are_refreshed(spark, tmp_path):
+    target = str(tmp_path / "t")
+    layout = "v int, s string"
+    tables.replace_slices(spark.createDataFrame([(1, "a b/c%d"), (2, None), (3, "k")], layout), target, ["s"])
+    changed = spark.createDataFrame([("a b/c%d",), (None,), ("new",)], "s string")
+    tables.replace_slices(spark.createDataFrame([(9, "new")], layout), target, ["s"], changed)
+    assert sorted(map(tuple, spark.read.parquet(target).select("v", "s").collect())) == [(3, "k"), (9, "new")]
+
+
+def test_history_of_a_day_is_not_doubled(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "2024-01-01")], "x string, load_dt string")
+    for _ in range(2):
+        tables.append_history(rows, str(tmp_path / "h"))
+    assert spark.read.parquet(str(tmp_path / "h")).count() == 1
+
+
+def test_work_folders_are_emptied(spark):
+    kept = []
+    with pytest.raises(ZeroDivisionError), session.workspace(spark) as settle:
+        frame = settle(spark.range(5), "x")
+        kept += frame.inputFiles()
+        assert frame.count() == 5
+        1 / 0
+    assert kept and not any(os.path.exists(f.removeprefix("file:")) for f in kept)
+
+
 def test_hot_key_keeps_all_rows(spark):
     """A third of the rows share one key; nothing is dropped and order columns decide."""
     rows = spark.range(30000).selectExpr("if(id % 3 = 0, 0, id) as k", "cast(id % 100 as int) as clock", "id")
@@ -136,6 +254,27 @@ CONFIG = (
 )
 
 
+def test_a_failed_copy_leaves_the_others_done(spark, tmp_path):
+    good, bad = CONFIG_ROW, (*CONFIG_ROW[:2], "two", "t", "m", "other", *CONFIG_ROW[6:])
+    spark.range(3).write.parquet(str(tmp_path / "one"))
+    control = str(tmp_path / "control")
+    totals = spark.createDataFrame([("x", "N")], "t string, archive_status string")
+    archive.store_control(spark, control, spark.createDataFrame([good, bad], CONFIG), totals)
+    words = spark.createDataFrame([], "table_name string, extract_field_name string, field_desc string")
+    places = archive.Places(lambda database, schema, name: str(tmp_path / name))
+    for attempt in (1, 2):
+        result = archive.run_archive(spark, control, words, places, F.current_date())
+        audit = sorted((r["table_name"], r["status"]) for r in result["audit"].collect())
+        assert audit == [("copy", "LOADED")] + [("other", "FAILED")] * attempt
+        assert {r["target_table_name"]: r["run_backup_trigger_ind"] for r in result["config"].collect()} == {"copy": False, "other": True}
+    assert tables.read_runs(spark, str(tmp_path / "copy")).count() == 3
+    assert result["totals"].first()["archive_status"] == "Y"
+    spark.range(4).write.parquet(str(tmp_path / "two"))
+    result = archive.run_archive(spark, control, words, places, F.current_date())
+    assert tables.read_runs(spark, str(tmp_path / "other")).count() == 4
+    assert not any(r["run_backup_trigger_ind"] for r in result["config"].collect())
+
+
 def test_control_totals_close_only_without_pending_full_copies(spark):
     totals = spark.createDataFrame([("x", "N"), ("y", "Y")], "t string, archive_status string")
 
