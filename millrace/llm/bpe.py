@@ -13,17 +13,23 @@ import heapq
 import json
 import re
 import unicodedata
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-CACHE_WORDS = 400_000  # words that one Python worker remembers
+from millrace.llm.text import free_name
+
+CACHE_WORDS = 600_000  # words that one Python worker remembers
+PACK = 32  # bits of a symbol in a packed pair
+SLICE = 512  # documents whose results leave a task together
 BATCH_WORDS = 50_000  # new words that are merged together
-HELD_WORDS = 1_000_000  # words of cut-up texts that are held at a time, or one text
+HELD_WORDS = 400_000  # words of cut-up texts that are held at a time, or one text
 
 
 def byte_symbols() -> dict[int, str]:
@@ -40,15 +46,18 @@ class Vocabulary:
         spec = json.loads(description)
         self.description = json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []})
         model = spec["model"]
-        if model["type"] != "BPE" or model.get("byte_fallback") or model.get("dropout") or spec.get("decoder"):
+        if model["type"] != "BPE" or model.get("byte_fallback") or model.get("dropout") or spec.get("decoder") or model.get("ignore_merges"):
             raise ValueError("a BPE file without byte fallback, dropout and decoder is needed")
         self.ids: dict[str, int] = model["vocab"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
         self.unknown = self.ids.get(model.get("unk_token") or "")
-        self.ignore_merges = bool(model.get("ignore_merges"))
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # by rank: left and right symbol and what they become; the rank of a pair, packed into one number
+        self.pairs: list[tuple[int, int, int]] = []
+        self.ranks: dict[int, int] = {}
         for rank, (left, right) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
-            self.merges.setdefault((self.ids[left], self.ids[right]), (rank, self.ids[left + right]))
+            a, b = self.ids[left], self.ids[right]
+            self.pairs.append((a, b, self.ids[left + right]))
+            self.ranks.setdefault(a << PACK | b, rank)
         self.tokens: dict[int, str] = {i: t for t, i in self.ids.items()}
         added = spec.get("added_tokens") or []
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
@@ -56,17 +65,28 @@ class Vocabulary:
         self.added = {t["content"]: t["id"] for t in added}
         self.tokens.update({t["id"]: t["content"] for t in added})
         longest = sorted(self.added, key=len, reverse=True)
-        self.marks = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
+        self.marks = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.steps = _flat(spec.get("normalizer"), "normalizers")
         cuts = _flat(spec.get("pre_tokenizer"), "pretokenizers")
         if [c["type"] for c in cuts] != ["Split", "ByteLevel"] or cuts[1]["use_regex"] or cuts[1]["add_prefix_space"]:
             raise ValueError("the words must come from one pattern, then bytes")
         if cuts[0]["behavior"] != "Removed" or not cuts[0]["invert"]:
             raise ValueError("the pattern must match the words")
-        self.word = regex.compile(cuts[0]["pattern"]["Regex"])
+        self.pattern = cuts[0]["pattern"]["Regex"]
+        self.ascii_word, self.word = _compiled(self.pattern, True), _compiled(self.pattern, False)
         symbols = byte_symbols()
-        self.inner = [self.ids.get(symbols[b], self.unknown) for b in range(256)]
-        self.last = [self.ids.get(symbols[b] + self.suffix, self.unknown) for b in range(256)]
+        inner = [self.ids.get(symbols[b], self.unknown) for b in range(256)]
+        last = [self.ids.get(symbols[b] + self.suffix, self.unknown) for b in range(256)]
+        # symbol of each byte, from 256 on at a word's end; -1 where there is none
+        self.byte_ids = np.array([-1 if i is None else i for i in inner + last], np.int64)
+        by_symbol: dict[int, list[int]] = {}
+        for code, symbol in enumerate(self.byte_ids.tolist()):
+            by_symbol.setdefault(symbol, []).append(code)
+        self.byte_ranks = np.full((512, 512), -1, np.int64)  # rank of each pair of them
+        for pair, rank in self.ranks.items():
+            for a in by_symbol.get(pair >> PACK, ()):
+                for b in by_symbol.get(pair & ((1 << PACK) - 1), ()):
+                    self.byte_ranks[a, b] = rank
 
     def normalise(self, text: str) -> str:
         for step in self.steps:
@@ -76,47 +96,69 @@ class Vocabulary:
             elif kind == "Lowercase":
                 # letter by letter: a capital sigma does not look at its neighbours
                 text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
-            elif kind == "Replace":
-                pattern = step["pattern"]
-                if "Regex" in pattern:
-                    text = regex.sub(pattern["Regex"], lambda _: step["content"], text)
-                else:
-                    text = text.replace(pattern["String"], step["content"])
-            else:
-                raise ValueError(f"unknown normalizer {kind}")
+            elif kind != "Replace" or step["pattern"] != {"Regex": r"\s+"} or step["content"] != " ":
+                raise ValueError(f"unknown normalizer {step}")
+            # folding white space changes no word: it is never part of one
         return text
 
-    def words(self, text: str) -> list:
-        """Words (str) and ids of added tokens (int) in order."""
-        if self.marks is None or not self.marks.search(text):
-            return self._cut(text)
+    def words(self, text: str, careful: bool = False) -> list:
+        """Words (str) and ids of added tokens (int) in order.
+
+        Python and the library know different Unicode versions. `careful` asks the library about
+        letters and lower case, for texts with code points that Python does not know (`is_newer`).
+        """
+        cut = self._cut_carefully if careful else self._cut
+        if not any(mark in text for mark in self.added):
+            return cut(text)
         found: list = []
         for piece in self.marks.split(text):
             if piece in self.added:
                 found.append(self.added[piece])
             elif piece:
-                found += self._cut(piece)
+                found += cut(piece)
         return found
 
     def _cut(self, text: str) -> list[str]:
-        if text.isascii() or not _newer().search(text):
-            return self.word.findall(self.normalise(text))
-        # Python, `regex` and the library know different Unicode versions: ask the library about
-        # letters and lower case where a text has code points that Python does not know
+        return (self.ascii_word if text.isascii() else self.word).findall(self.normalise(text))
+
+    def _cut_carefully(self, text: str) -> list[str]:
         from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-        split = pre_tokenizers.Split(Regex(self.word.pattern), "removed", invert=True)
+        split = pre_tokenizers.Split(Regex(self.pattern), "removed", invert=True)
         normalised = Tokenizer.from_str(self.description).normalizer.normalize_str(text)
         return [word for word, _ in split.pre_tokenize_str(normalised)]
 
 
+def _ranges(codes: list[int]) -> str:
+    """A regular expression's set of the code points (ascending), without the brackets."""
+    starts = [c for c, before in zip(codes, [-2, *codes]) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], -2]) if after != c + 1]
+    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends))
+
+
+def _compiled(pattern: str, ascii_only: bool) -> re.Pattern:
+    """A pattern with \\p{L}, \\p{N} and \\s for Python's `re`, which knows no such classes."""
+    limit = 0x80 if ascii_only else 0x110000
+    classes = {r"\p{L}": [], r"\p{N}": [], r"\s": []}
+    for code in range(limit):
+        kind = unicodedata.category(chr(code))
+        if kind[0] in "LN":
+            classes[f"\\p{{{kind[0]}}}"].append(code)
+        elif kind[0] == "Z" or 9 <= code <= 13 or code == 0x85:
+            classes[r"\s"].append(code)
+    for name, codes in classes.items():
+        pattern = pattern.replace(name, _ranges(codes))
+    return re.compile(pattern)
+
+
 @lru_cache(maxsize=1)
 def _newer() -> re.Pattern:
-    """Finds code points that Python's Unicode version does not know."""
-    unknown = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
-    starts = [c for c, before in zip(unknown, [-2, *unknown]) if c != before + 1]
-    ends = [c for c, after in zip(unknown, [*unknown[1:], -2]) if after != c + 1]
-    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends)) + "]")
+    return re.compile("[" + _ranges([c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]) + "]")
+
+
+def is_newer(word) -> bool:
+    """Whether a word has a code point that Python's Unicode version does not know."""
+    return isinstance(word, str) and not word.isascii() and _newer().search(word) is not None
 
 
 def _flat(step: dict | None, inside: str) -> list[dict]:
@@ -125,38 +167,38 @@ def _flat(step: dict | None, inside: str) -> list[dict]:
     return [s for x in step[inside] for s in _flat(x, inside)] if step["type"] == "Sequence" else [step]
 
 
-def merge_words(vocabulary: Vocabulary, words: list[str]) -> list[list[int]]:
-    """Ids of each word; the words are merged together over one pair occurrence index."""
-    symbols: list[int] = []
-    starts = [0]
-    inner, last = vocabulary.inner, vocabulary.last
-    for word in words:
-        data = word.encode("utf-8")
-        whole = vocabulary.ids.get("".join(_SYMBOLS[b] for b in data) + vocabulary.suffix) if vocabulary.ignore_merges else None
-        if whole is not None:
-            symbols.append(whole)
-        else:
-            symbols += [i for i in (*map(inner.__getitem__, data[:-1]), last[data[-1]]) if i is not None]
-        starts.append(len(symbols))
-    after = list(range(1, len(symbols) + 1))
-    before = list(range(-1, len(symbols) - 1))
-    for start, end in zip(starts, starts[1:]):
-        if end > start:
-            before[start] = -1
-            after[end - 1] = -1
-
-    merges = vocabulary.merges
-    index: dict[tuple[int, int], list[int]] = {}
-    for i, j in enumerate(after):
-        if j >= 0 and (pair := (symbols[i], symbols[j])) in merges:
-            index.setdefault(pair, []).append(i)
-    ranks = [(merges[pair][0], pair) for pair in index]
-    heapq.heapify(ranks)
-    while ranks:
-        rank, pair = heapq.heappop(ranks)
-        left, right = pair
-        new = merges[pair][1]
-        places = sorted(index.pop(pair, ()))
+def merge_words(vocabulary: Vocabulary, words: list[str]) -> list[bytes]:
+    """Ids of each word as bytes; the words are merged together over one pair occurrence index."""
+    data = [w.encode("utf-8") for w in words]
+    ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
+    codes = np.frombuffer(b"".join(data), np.uint8).astype(np.int64)
+    final = np.zeros(len(codes), bool)
+    final[ends - 1] = True
+    codes[final] += 256
+    known = vocabulary.byte_ids[codes] >= 0  # bytes without a symbol are left out
+    ends = np.cumsum(known)[ends - 1]
+    codes, final = codes[known], np.zeros(int(known.sum()), bool)
+    final[ends[ends > 0] - 1] = True
+    start = np.arange(len(codes))
+    symbols = vocabulary.byte_ids[codes].tolist()
+    after = np.where(final, -1, start + 1).tolist()
+    before = np.where(np.concatenate([[True], final[:-1]]), -1, start - 1).tolist() if len(codes) else []
+
+    rank_of, pairs = vocabulary.ranks.get, vocabulary.pairs
+    index: dict[int, list[int]] = {}  # rank of a pair: its places
+    ranks = np.where(final[:-1], -1, vocabulary.byte_ranks[codes[:-1], codes[1:]])
+    places = np.argsort(ranks, kind="stable")
+    places = places[np.searchsorted(ranks[places], 0) :]
+    values, firsts = np.unique(ranks[places], return_index=True)
+    index = dict(zip(values.tolist(), map(np.ndarray.tolist, np.split(places, firsts[1:])))) if len(values) else {}
+    active = list(index)
+    heapq.heapify(active)
+    while active:
+        now = heapq.heappop(active)
+        left, right, new = pairs[now]
+        places = index.pop(now, ())
+        if len(places) > 1:
+            places = sorted(places)
         for n, i in enumerate(places):
             j = after[i]
             if symbols[i] != left or j < 0 or symbols[j] != right:
@@ -166,32 +208,31 @@ def merge_words(vocabulary: Vocabulary, words: list[str]) -> list[list[int]]:
             lower = False
             if k >= 0:
                 before[k] = i
-                lower |= _note(merges, index, ranks, (new, symbols[k]), i, rank)
+                if (rank := rank_of(new << PACK | symbols[k])) is not None:
+                    if rank in index:
+                        index[rank].append(i)
+                    else:
+                        index[rank] = [i]
+                        heapq.heappush(active, rank)
+                    lower = rank < now
             h = before[i]
-            if h >= 0:
-                lower |= _note(merges, index, ranks, (symbols[h], new), h, rank)
+            if h >= 0 and (rank := rank_of(symbols[h] << PACK | new)) is not None:
+                if rank in index:
+                    index[rank].append(h)
+                else:
+                    index[rank] = [h]
+                    heapq.heappush(active, rank)
+                lower = lower or rank < now
             if lower and n + 1 < len(places):  # a lower rank has become active: the rest waits
-                index.setdefault(pair, [])[:0] = places[n + 1 :]
-                heapq.heappush(ranks, (rank, pair))
+                if now not in index:
+                    heapq.heappush(active, now)
+                index[now] = places[n + 1 :] + index.get(now, [])
                 break
-    return [[s for s in symbols[a:b] if s >= 0] for a, b in zip(starts, starts[1:])]
-
-
-_SYMBOLS = byte_symbols()
-
-
-def _note(merges, index, ranks, pair, place, rank) -> bool:
-    """Enter a new pair into the index; whether its rank is below the one being applied."""
-    found = merges.get(pair)
-    if found is None:
-        return False
-    places = index.get(pair)
-    if places is None:
-        index[pair] = [place]
-        heapq.heappush(ranks, (found[0], pair))
-    else:
-        places.append(place)
-    return found[0] < rank
+    merged = np.array(symbols, np.int64)
+    alive = merged >= 0
+    ids = merged[alive].astype("<u4").tobytes()
+    stops = (4 * np.concatenate([[0], np.cumsum(alive)])[np.concatenate([[0], ends])]).tolist()
+    return [ids[a:b] for a, b in zip(stops, stops[1:])]
 
 
 class Codec:
@@ -200,19 +241,26 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict = {}
+        self.older: dict = {}  # the generation before
         self.tokens = np.full(max(vocabulary.tokens) + 2, None, object)  # the last one is unknown
         for number, token in vocabulary.tokens.items():
             self.tokens[number] = token
 
-    def _learn(self, words) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        for start in range(0, len(new), BATCH_WORDS):
-            batch = [w for w in new[start : start + BATCH_WORDS] if isinstance(w, str)]
-            for word, ids in zip(batch, merge_words(self.vocabulary, batch)):
-                self.known[word] = np.array(ids, "<u4").tobytes()
-        for word in new:
-            if not isinstance(word, str):
-                self.known[word] = np.array([word], "<u4").tobytes()
+    def _coded(self, words: list) -> dict:
+        """The ids of words (and of added tokens, which are their ids) as bytes."""
+        plain = [w for w in words if isinstance(w, str)]
+        coded = {w: np.array([w], "<u4").tobytes() for w in words if not isinstance(w, str)}
+        for start in range(0, len(plain), BATCH_WORDS):
+            batch = plain[start : start + BATCH_WORDS]
+            coded.update(zip(batch, merge_words(self.vocabulary, batch)))
+        return coded
+
+    def _learn(self, fresh: set) -> None:
+        if len(self.known) + len(fresh) > CACHE_WORDS // 2:
+            self.known, self.older = {}, self.known
+        older = self.older
+        self.known.update((w, older[w]) for w in fresh if w in older)
+        self.known.update(self._coded([w for w in fresh if w not in older]))
 
     def encode(self, texts: list[str | None]):
         """Ids of each text as little-endian unsigned 32-bit integers, some texts at a time."""
@@ -220,18 +268,27 @@ class Codec:
         while start < len(texts):
             cut, found, fresh, held = start, [], set(), 0
             while cut < len(texts) and len(fresh) < BATCH_WORDS and held < HELD_WORDS:
-                words = self.vocabulary.words(texts[cut] or "")
-                fresh.update(w for w in words if w not in self.known)
-                found.append(words)
+                text = texts[cut] or ""
+                words = self.vocabulary.words(text)
+                known = self.known
+                new = {w for w in words if w not in known and w not in fresh}
+                if any(map(is_newer, new)):
+                    # never remembered, so that the next text with such a word comes here as well
+                    words = self.vocabulary.words(text, careful=True)
+                    coded = self._coded(list(dict.fromkeys(words)))
+                    found.append([coded[w] for w in words])
+                else:
+                    fresh |= new
+                    found.append(words)
                 held += len(words)
                 cut += 1
-            if len(self.known) + len(fresh) > CACHE_WORDS:
-                self.known.clear()
-                self._learn(w for words in found for w in words)
-            else:
-                self._learn(fresh)
+            if len(self.known) + len(fresh) > CACHE_WORDS // 2:
+                # the words known so far are about to become the older generation
+                fresh = {w for words in found for w in words if not isinstance(w, bytes)}
+            self._learn(fresh)
+            known = self.known
             for words in found:
-                yield b"".join(map(self.known.__getitem__, words))
+                yield b"".join(words if words and isinstance(words[0], bytes) else map(known.__getitem__, words))
             start = cut
 
     def decode(self, ids: bytes) -> str:
@@ -280,25 +337,38 @@ class _Shared:
         self.text = text
 
 
-def digests(text: Column, description: str, with_ids: bool = False) -> Column:
-    """Struct (n_tokens, ids_sha256, decoded_sha256) of every whole text, encoded and decoded again.
+def code(
+    docs: DataFrame, description: str, text: str = "text", keep: Sequence[str] = ("doc_id",), with_ids: bool = False
+) -> DataFrame:
+    """Columns `keep` of each row with n_tokens, ids_sha256 and decoded_sha256 of its whole text, encoded and decoded again.
 
-    `with_ids` puts the ids themselves in front, as from `encode`.
+    ids_sha256 is of the ids as little-endian unsigned 32-bit integers, which `with_ids` adds as
+    `ids`; decoded_sha256 of the decoded text in UTF-8. NULL texts count as empty; repeated rows come
+    back repeated; an empty table gives an empty result. A number is added to a new name that `keep`
+    has. Rows are handled SLICE at a time, so that a task holds few texts and ids whatever their number.
     """
     shared = _Shared(description)
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    columns = ["n_tokens", "ids_sha256", "decoded_sha256"]
-
-    @F.pandas_udf(f"ids binary, {schema}" if with_ids else schema)
-    def digested(texts: pd.Series) -> pd.DataFrame:
+    held = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(free_name(keep, "coded_text")))
+    names = (["ids"] if with_ids else []) + ["n_tokens", "ids_sha256", "decoded_sha256"]
+    kinds = {"ids": T.BinaryType(), "n_tokens": T.LongType()}
+    schema = T.StructType(
+        [*held.schema.fields[:-1], *[T.StructField(free_name(keep, n), kinds.get(n, T.StringType())) for n in names]]
+    )
+    fields = schema.names
+
+    def coded(batches):
         codec = _codec(shared.text)
-        rows = [
-            (*[ids] * with_ids, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest())
-            for ids in codec.encode(texts.tolist())
-        ]
-        return pd.DataFrame(rows, columns=["ids"] * with_ids + columns)
-
-    return digested(text)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                rows = [
+                    ((ids,) if with_ids else ())
+                    + (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+                    for ids in codec.encode(part.column(part.num_columns - 1).to_pylist())
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *map(pa.array, zip(*rows))], names=fields)
+
+    return held.mapInArrow(coded, schema)
 
 
 def read_description(path: str | None = None) -> str:

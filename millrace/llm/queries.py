@@ -210,5 +210,4 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return docs.select("doc_id", bpe.digests(F.col("text"), bpe.read_description()).alias("d")).select("doc_id", "d.*")
+    return bpe.code(table(spark, folder, "documents"), bpe.read_description())

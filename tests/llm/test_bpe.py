@@ -88,4 +88,8 @@ def test_columns(spark, library):
     found = docs.withColumn("coded", bpe.encode(F.col("text"), bpe.read_description()))
     found = found.withColumn("n", bpe.token_count(F.col("coded"))).withColumn("back", bpe.decode("coded", bpe.read_description()))
     assert sorted((r.ids, r.n, r.back) for r in found.collect()) == [(3, 3, "a</w> test</w> <|endoftext|>"), (4, 0, ""), (5, 0, "")]
-    assert docs.limit(0).select(bpe.digests(F.col("text"), bpe.read_description())).count() == 0
+    assert bpe.code(docs.limit(0), bpe.read_description()).count() == 0
+    coded = bpe.code(docs, bpe.read_description(), keep=["ids", "text"], with_ids=True)
+    assert coded.columns == ["ids", "text", "ids_1", "n_tokens", "ids_sha256", "decoded_sha256"]
+    packed = {r.ids: bytes(r.ids_1) for r in coded.collect()}
+    assert packed == {r.ids: bytes(r.coded) for r in found.collect()}
