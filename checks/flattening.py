@@ -83,7 +83,7 @@ def flatten_bundle(spark: SparkSession, folder: str) -> DataFrame:
         'tags', transform(sequence(1, j + 1), t -> concat('v', t)))))))"""
     schema = "struct<entry:array<struct<resource:struct<id:string,name:string,tags:array<string>>>>>"
     bundles = table(spark, folder, "customer").select("c_custkey", F.from_json(F.expr(doc), schema).alias("doc"))
-    entries = flatten.flatten_entries(bundles, F.col("doc.entry"), "entry")
+    entries = flatten.flatten_outer(bundles, F.col("doc.entry"), "entry")
     rows = flatten.flatten_outer(entries, F.col("entry.resource.tags"), "tag")
     return rows.select("c_custkey", "entry.resource.id", "entry.resource.name", "tag")
 

@@ -50,8 +50,3 @@ def flatten_set(rows: DataFrame, values: Column, name: str) -> DataFrame:
 def flatten_tokens(rows: DataFrame, col: Column, delimiters: str, name: str) -> DataFrame:
     """One row per non-empty token."""
     return rows.withColumn(name, F.explode(text.tokens(col, delimiters)))
-
-
-def flatten_entries(rows: DataFrame, entries: Column, name: str) -> DataFrame:
-    """One row per entry of a bundle; an empty bundle gives one NULL entry."""
-    return flatten_outer(rows, entries, name)
