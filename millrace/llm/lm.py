@@ -37,17 +37,22 @@ _END = np.uint64(xxhash.xxh64_intdigest(b" end"))  # no word has a blank
 _SCHEMA = "block long, part int, words binary, word_counts binary, pairs binary, pair_counts binary"
 
 
+class _Numbers(dict):
+    """Numbers words from 1 on in the order they are asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self) + 1
+        return number
+
+
 def _tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Token numbers of the texts in one array, an end (0) after each; the ends' places; the words from 1 on."""
-    known: dict[bytes, int] = {}
+    known = _Numbers()
     pieces, ends, place = [], [], 0
+    end = np.zeros(1, np.int64)
     for text in texts:
         words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        for word in words:
-            if word not in known:
-                known[word] = len(known) + 1
-        pieces.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-        pieces.append(np.zeros(1, np.int64))
+        pieces += (np.fromiter(map(known.__getitem__, words), np.int64, len(words)), end)
         place += len(words) + 1
         ends.append(place)
     return np.concatenate(pieces) if pieces else np.zeros(0, np.int64), np.array(ends, np.int64), list(known)
@@ -79,21 +84,18 @@ class _Block:
         self.size = len(hashes)
         self.word_order = np.argsort(hashes, kind="stable")
         self.word_keys = hashes[self.word_order]
-        self.pairs = _contexts(self.tokens) * self.size + self.tokens
-        numbers = np.unique(self.pairs)
-        keys = _pair_keys(hashes[numbers // self.size], hashes[numbers % self.size])
-        order = np.argsort(keys, kind="stable")
-        self.pair_numbers, self.pair_keys = numbers[order], keys[order]
+        # `arcs` gives each token's pair by its place among the distinct pairs
+        pairs = _contexts(self.tokens) * self.size + self.tokens
+        self.pairs, self.arcs = np.unique(pairs, return_inverse=True)
+        keys = _pair_keys(hashes[self.pairs // self.size], hashes[self.pairs % self.size])
+        self.pair_order = np.argsort(keys, kind="stable")
+        self.pair_keys = keys[self.pair_order]
 
     def counts(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Occurrences in the training texts, in the order of the keys."""
         learned = np.repeat(train, np.diff(self.ends, prepend=0))
         words = np.bincount(self.tokens[learned], minlength=self.size)[self.word_order]
-        values, found = np.unique(self.pairs[learned], return_counts=True)
-        pairs = np.zeros(len(self.pair_numbers), np.int64)
-        if len(values):
-            at = np.minimum(np.searchsorted(values, self.pair_numbers), len(values) - 1)
-            pairs = np.where(values[at] == self.pair_numbers, found[at], 0)
+        pairs = np.bincount(self.arcs[learned], minlength=len(self.pairs))[self.pair_order]
         return words, pairs
 
 
@@ -183,7 +185,7 @@ class Automaton:
     def __init__(self, block: _Block, words: np.ndarray, pairs: np.ndarray, n: int, types: int, discount: float):
         counts = np.empty(block.size, np.int64)
         counts[block.word_order] = words
-        self.counts, self.size = counts, block.size
+        self.counts = counts
         if n:
             root = np.maximum(counts - discount, 0) / n + discount * types / n / (types + 1)
         else:
@@ -191,19 +193,21 @@ class Automaton:
         trust = TRUST * counts / (counts + DOUBT)
         self.root = np.log10(root).tolist()  # arcs of the root
         self.failure = np.log10(1 - trust).tolist()  # of each state
-        seen = pairs > 0
-        numbers = block.pair_numbers[seen]
-        before, after = numbers // block.size, numbers % block.size
-        weights = np.log10(trust[before] * pairs[seen] / counts[before] + (1 - trust[before]) * root[after])
-        self.arcs = dict(zip(numbers.tolist(), weights.tolist()))
-
-    def score(self, tokens: list[int]) -> float:
-        """log10 probability of a text's tokens, the end mark last."""
-        arcs, failure, root, size = self.arcs.get, self.failure, self.root, self.size
+        seen = np.empty(len(pairs), np.int64)
+        seen[block.pair_order] = pairs
+        before, after = block.pairs // block.size, block.pairs % block.size
+        own = trust[before] * seen / np.maximum(counts[before], 1)
+        weights = np.log10(own + (1 - trust[before]) * root[after]).astype(object)
+        weights[seen == 0] = None  # no such arc
+        self.arcs = weights.tolist()
+
+    def score(self, tokens: list[int], arcs: list[int]) -> float:
+        """log10 probability of a text's tokens, the end mark last; `arcs` number the pairs it goes through."""
+        weight_of, failure, root = self.arcs, self.failure, self.root
         state, total = 0, 0.0
-        for token in tokens:
-            weight = arcs(state * size + token)
-            if weight is None:  # no arc here: fall back to the root
+        for token, arc in zip(tokens, arcs):
+            weight = weight_of[arc]
+            if weight is None:  # the state has no arc for the token: fall back to the root
                 weight = failure[state] + root[token]
             total += weight
             state = token
@@ -227,10 +231,9 @@ def _score(n: int, types: int, discount: float):
         base = np.log10((model.counts + 1.0) / (n + types + 1.0))
         rows = []
         for start, end in zip([0, *block.ends.tolist()], block.ends.tolist()):
-            tokens = block.tokens[start:end]
-            rows.append((
-                len(tokens), int((model.counts[tokens] > 0).sum()), float(base[tokens].sum()), model.score(tokens.tolist())
-            ))
+            tokens, arcs = block.tokens[start:end], block.arcs[start:end]
+            score = model.score(tokens.tolist(), arcs.tolist())
+            rows.append((len(tokens), int((model.counts[tokens] > 0).sum()), float(base[tokens].sum()), score))
         out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score"])
         out.insert(0, "doc_id", texts["doc_id"].to_numpy())
         out.insert(1, "train", texts["train"].to_numpy())
