@@ -13,7 +13,8 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 def words(text: Column) -> Column:
     """The words of a text; none for NULL."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK_RUN), lambda w: w != "")
+    inner = F.btrim(text, F.lit(BLANKS))
+    return F.when(F.length(inner) > 0, F.split(inner, BLANK_RUN)).otherwise(F.array().cast("array<string>"))
 
 
 def word_count(text: Column) -> Column:
