@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from millrace import session
 
-BLOCK_BYTES = 8 << 20  # text of a block; a longer text is a block of its own
-PART_BYTES = 24 << 20  # text for each part of the n-gram space
+BLOCK_BYTES = 4 << 20  # text of a block; a longer text is a block of its own
+SLICE = 256  # rows that become Python objects at a time
+PART_BYTES = 8 << 20  # text for each part of the n-gram space
 LEAST_PARTS = 64
 TRUST = 0.6  # most that a context's own counts weigh against the root
 DOUBT = 3.0  # occurrences of a context at which it gets half of that
@@ -103,14 +104,14 @@ def _blocks(batches, columns: int):
     """(block number, its rows as one list for each column): rows in their order, BLOCK_BYTES of text at least."""
     first, held, size, rows = TaskContext.get().partitionId() << 32, 0, 0, [[] for _ in range(columns)]
     for batch in batches:
-        values = [c.to_pylist() for c in batch.columns]
-        for row in zip(*values):
-            for kept, value in zip(rows, row):
-                kept.append(value)
-            size += len(row[0] or "") + 1
-            if size >= BLOCK_BYTES:
-                yield first + held, rows
-                held, size, rows = held + 1, 0, [[] for _ in range(columns)]
+        for start in range(0, batch.num_rows, SLICE):
+            for row in zip(*(c.to_pylist() for c in batch.slice(start, SLICE).columns)):
+                for kept, value in zip(rows, row):
+                    kept.append(value)
+                size += len(row[0] or "") + 1
+                if size >= BLOCK_BYTES:
+                    yield first + held, rows
+                    held, size, rows = held + 1, 0, [[] for _ in range(columns)]
     if rows[0]:
         yield first + held, rows
 
