@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace import session
+
 BLOCK = 1024  # lengths that share a block of the two-step suffix sums
 
 
@@ -128,4 +130,5 @@ def token_counts(docs: DataFrame, text: str = "text", ranks: str | None = None)
     NULL and empty texts have length 0; repeated rows count; other columns are not read; an empty
     table gives an empty result.
     """
-    return suffix_sums(length_histogram(docs, encoded_length(F.col(text), ranks)))
+    histogram = length_histogram(docs, encoded_length(F.col(text), ranks))
+    return suffix_sums(session.settle(histogram, "lengths"))  # the sums read it twice
