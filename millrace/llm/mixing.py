@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.llm.text import free_name, word_count
 
 MAX_REPEATS = 3
@@ -77,7 +78,8 @@ def plan_mix(
         docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("n"))
         .groupBy("source").agg(F.sum("n").alias("source_size"))
     )
-    targets = source_targets(sums, cycled_weight(), max_repeats).select(
+    # stored, so that the size of its file decides whether it is broadcast, before any text is shuffled
+    targets = session.settle(source_targets(sums, cycled_weight(), max_repeats), "source-targets").select(
         F.col("source").alias(at), F.col("source_size").alias(of), F.col("target").alias(target)
     )
     rate = F.when(F.col(of) > 0, F.least(F.col(target) / F.col(of), F.lit(float(max_repeats)))).otherwise(0.0)
