@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace import session
 
-BLOCK = 1024  # lengths that share a block of the two-step suffix sums
+BLOCK = 128  # lengths that share a block of the two-step suffix sums
 
 
 @lru_cache(maxsize=2)
