@@ -36,7 +36,7 @@ def _matrix(rows, width: int) -> np.ndarray:
 
 
 def threshold_search(ids: np.ndarray, vectors: np.ndarray, query_id, query: np.ndarray, order: np.ndarray, k: int):
-    """The k best (score, id) of one query in one block, ties to the lesser id; `order` sorts each column.
+    """The k best (score, id) of one query in one block, ties to the lesser id; `order` has a sorted list for each column.
 
     Also returns how many vectors were scored.
     """
@@ -47,11 +47,10 @@ def threshold_search(ids: np.ndarray, vectors: np.ndarray, query_id, query: np.n
     best_scores, best_ids = query[:0], ids[:0]
     while True:
         reach = min(n, max(4 * depth, n // FIRST_DEPTH, k)) if len(up) + len(down) else n
-        fresh = np.zeros(n, bool)
-        fresh[order[n - reach : n - depth, up]] = True
-        fresh[order[depth:reach, down]] = True
-        if reach == n:
-            fresh[:] = True
+        fresh = np.full(n, reach == n)  # to the end of the lists: every vector is met
+        if reach < n:
+            fresh[order[up, n - reach : n - depth]] = True
+            fresh[order[down, depth:reach]] = True
         fresh = np.flatnonzero(fresh & ~met)
         met[fresh] = True
         scored += len(fresh)
@@ -66,8 +65,8 @@ def threshold_search(ids: np.ndarray, vectors: np.ndarray, query_id, query: np.n
         if depth == n:
             break
         if len(best_scores) == k:
-            bound = (query[up] * vectors[order[n - 1 - depth, up], up]).sum()
-            bound += (query[down] * vectors[order[depth, down], down]).sum()
+            bound = (query[up] * vectors[order[up, n - 1 - depth], up]).sum()
+            bound += (query[down] * vectors[order[down, depth], down]).sum()
             if bound < best_scores[-1]:
                 break
     return best_scores, best_ids, scored
@@ -81,7 +80,7 @@ def _search(k: int):
         width = max(max(map(len, candidates["v"])), max(map(len, queries["v"])), 1)
         vectors, asked = _matrix(candidates["v"], width), _matrix(queries["v"], width)
         ids = candidates["id"].to_numpy()
-        order = np.argsort(vectors, axis=0, kind="stable")
+        order = np.argsort(vectors.T, axis=1, kind="stable")
         limit = max(abs(int(vectors.min())), int(vectors.max())) * max(abs(int(asked.min())), int(asked.max())) * width
         # floats are exact and fast below 2**53; beyond, Python's integers
         kind = np.float64 if limit < _EXACT else object

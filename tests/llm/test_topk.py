@@ -56,7 +56,7 @@ def test_odd_vectors(spark):
 def test_it_stops_before_reading_everything():
     rnd = np.random.default_rng(4)
     vectors = np.floor(rnd.pareto(1.2, size=(4000, 3)) * 10)
-    ids, order = np.arange(4000), np.argsort(vectors, axis=0, kind="stable")
+    ids, order = np.arange(4000), np.argsort(vectors.T, axis=1, kind="stable")
     query = np.array([3.0, 1.0, 2.0])
     scores, found, scored = topk.threshold_search(ids, vectors, -1, query, order, 5)
     want = sorted((-float(v @ query), i) for i, v in enumerate(vectors))[:5]
