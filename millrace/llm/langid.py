@@ -22,7 +22,7 @@ UNKNOWN = "und"
 SIZES = (2, 3, 4)  # characters of an n-gram; a word's edge counts as one character
 SLOT_BITS = 20  # 2**20 slots: 8 MB for up to 64 languages, whatever the corpus
 HASHES = 3
-SAMPLE_DOCS = 3000  # learning documents per language, about; picked by a hash of the text
+SAMPLE_DOCS = 3000  # distinct learning texts per language, about; picked by a hash of the text
 LANGUAGES = 1024  # most frequent languages that are learned
 TOP_GRAMS = 30_000  # most frequent n-grams that one language may put into its filter
 LEAST_SHARE = 0.5  # of the n-gram's largest frequency among languages; below, it says too little
@@ -147,20 +147,27 @@ def _count(batches):
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Filters from the rows of `docs` with a language: about `sample_docs` documents for each one.
+    """Filters from the rows of `docs` with a language: about `sample_docs` distinct texts for each one.
 
+    Copies count once, so every language with a text is learned and no text outweighs the others.
     N-grams are counted by Spark; a language keeps those that it uses at least LEAST_SHARE as often
     as the language that uses them most, the TOP_GRAMS most frequent of them. So the model's size
     depends on the number of languages alone.
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.col("rows").desc(), "lang").limit(LANGUAGES)
-    sizes = {r.lang: r.rows for r in sizes.collect()}
+    known = known.withColumn("digest", F.xxhash64("text", F.lit(8)))
+    sizes = (
+        known.groupBy("lang", "digest").agg(F.count("*").alias("rows"))
+        .groupBy("lang").agg(F.sum("rows").alias("rows"), F.count("*").alias("texts"))
+        .orderBy(F.col("rows").desc(), "lang").limit(LANGUAGES)
+    )
+    sizes = {r.lang: r.texts for r in sizes.collect()}
     if not sizes:
         return Model([])
-    parts = [F.lit(x) for name, rows in sizes.items() for x in (name, min(10**6, -(-sample_docs * 10**6 // rows)))]
+    parts = [F.lit(x) for name, n in sizes.items() for x in (name, min(10**6, -(-sample_docs * 10**6 // n)))]
     parts = F.create_map(*parts)
-    picked = known.where(F.pmod(F.xxhash64("text", F.lit(8)), F.lit(10**6)) < F.try_element_at(parts, F.col("lang")))
+    picked = known.where(F.pmod("digest", F.lit(10**6)) < F.try_element_at(parts, F.col("lang")))
+    picked = picked.dropDuplicates(["lang", "digest"])
     counted = picked.select("text", "lang").mapInArrow(_count, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))

@@ -66,6 +66,16 @@ def test_learning_and_odd_texts(spark):
     assert langid.identify(odd.limit(0), model).count() == 0
 
 
+def test_copies_count_once(spark):
+    # a language of a few texts in many copies, and copies that would drown the other texts of theirs
+    texts = [("susu rusu", "zz", 30_000), ("mini mono nomi", "yy", 20_000), *((f"omin imono nimon {'nomi ' * k}", "yy", 1) for k in range(40))]
+    docs = spark.createDataFrame(texts, "text string, lang string, n int").selectExpr("text", "lang", "explode(sequence(1, n))")
+    every = langid.learn(docs.dropDuplicates(["text"]), sample_docs=100)
+    model = langid.learn(docs, sample_docs=100)
+    assert model.languages == ["yy", "zz"]
+    assert all((a == b).all() for a, b in zip(model.tables, every.tables))
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
