@@ -8,20 +8,19 @@ inverted index from each rule's rarest token to the rules.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import combinations
 
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.llm.text import free_name
 
 ALLOW, BLOCK = "allow", "block"
 SUPPORT = 0.01  # least share of the labelled urls that hold a combination and its label
 CONFIDENCE = 0.9  # least share of a combination's urls that have the label
-LEARN_URLS = 500_000  # labelled urls that are mined, about; picked by a hash of the url
-MAX_RULES = 10_000  # surest rules that are kept; they travel with the tasks
+LEARN_URLS = 500_000  # distinct labelled urls that are mined, about; picked by a hash of the url
 LABEL = "label="
 
 
@@ -113,17 +112,24 @@ class Rules:
 
 def mine(
     labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, learn_urls: int = LEARN_URLS,
-    max_rules: int = MAX_RULES,
 ) -> Rules:
-    """Rules from `labelled` (url, tokens, verdict). NULL verdicts are left out; an empty table allows everything."""
+    """Rules from `labelled` (url, tokens, verdict). NULL verdicts are left out; an empty table allows everything.
+
+    Copies of a url count once. Every rule without a shorter one that is as sure is kept; they travel
+    with the tasks.
+    """
     labelled = labelled.where(F.col("verdict").isin(ALLOW, BLOCK))
-    sizes = {r.verdict: r["count"] for r in labelled.groupBy("verdict").count().collect()}
-    total = sum(sizes.values())
-    if not total:
+    labelled = labelled.withColumn("digest", F.xxhash64("url", F.lit(4)))
+    sizes = (
+        labelled.groupBy("verdict", "digest").agg(F.count("*").alias("rows"))
+        .groupBy("verdict").agg(F.sum("rows").alias("rows"), F.count("*").alias("urls")).collect()
+    )
+    if not sizes:
         return Rules([], ALLOW)
-    default = max(sorted(sizes), key=sizes.get)
-    share = min(10**6, -(-learn_urls * 10**6 // total))
-    picked = labelled.where(F.pmod(F.xxhash64("url", F.lit(4)), F.lit(10**6)) < share)
+    default = max(sorted(sizes, key=lambda r: r.verdict), key=lambda r: r.rows).verdict
+    share = min(10**6, -(-learn_urls * 10**6 // sum(r.urls for r in sizes)))
+    picked = labelled.where(F.pmod("digest", F.lit(10**6)) < share).dropDuplicates(["verdict", "digest"])
+    picked = session.settle(picked.select("tokens", "verdict"), "labelled-urls")
     # a token that every url has tells nothing and would double every combination
     baskets = picked.select(F.concat("tokens", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
     counts = baskets.select(F.explode("items").alias("t")).groupBy("t").count()
@@ -137,22 +143,40 @@ def mine(
     found = (
         model.associationRules.where(F.col("consequent")[0].startswith(LABEL))
         .where(~F.exists("antecedent", lambda t: t.startswith(LABEL)))
-        .select(F.array_sort("antecedent").alias("tokens"), F.col("consequent")[0].alias("label"), "confidence", "support")
-        .orderBy(F.col("confidence").desc(), F.col("support").desc(), F.size("tokens"), "tokens", "label").limit(max_rules)
-        .collect()
+        .select(
+            F.array_sort("antecedent").alias("tokens"),
+            F.expr(f"substring(consequent[0], {len(LABEL) + 1})").alias("verdict"),
+            "confidence", "support", F.size("antecedent").alias("size"),
+        )
     )
+    found = session.settle(found, "url-rules")
     kept: list[tuple[tuple[str, ...], str, float, float]] = []
-    sure: dict[tuple[frozenset, str], float] = {}
-    for r in sorted(found, key=lambda r: len(r.tokens)):
-        verdict = r.label.removeprefix(LABEL)
-        parts = (frozenset(p) for n in range(1, len(r.tokens)) for p in combinations(r.tokens, n))
-        if any(sure.get((p, verdict), 0.0) >= r.confidence for p in parts):
-            continue  # a shorter rule is as sure
-        sure[frozenset(r.tokens), verdict] = r.confidence
-        kept.append((tuple(r.tokens), verdict, r.confidence, r.support))
+    for size in sorted(r["size"] for r in found.select("size").distinct().collect()):
+        rows = found.where(F.col("size") == size)
+        if kept:
+            rows = rows.where(~_implied(F.col("tokens"), F.col("verdict"), F.col("confidence"), Rules(kept, default)))
+        kept += [(tuple(r.tokens), r.verdict, r.confidence, r.support) for r in rows.collect()]
     return Rules(kept, default)
 
 
+def _implied(tokens: Column, verdict: Column, confidence: Column, shorter: Rules) -> Column:
+    """Whether a shorter rule with a part of the tokens is as sure of the verdict."""
+    index = shorter.index()
+
+    @F.pandas_udf("boolean")
+    def implied(held: pd.Series, verdicts: pd.Series, sure: pd.Series) -> pd.Series:
+        out = []
+        for all_tokens, label, least in zip(held, verdicts, sure):
+            whole = frozenset(all_tokens)
+            out.append(any(
+                rank[3] == label and rank[0] >= least and needed <= whole
+                for t in whole for needed, rank in index.get(t, ())
+            ))
+        return pd.Series(out, dtype=bool)
+
+    return implied(tokens, verdict, confidence)
+
+
 def mined_verdict(tokens: Column, rules: Rules) -> Column:
     """Struct (verdict, matched): the surest matching rule's verdict and tokens, else the default and NULL."""
     index, default = rules.index(), rules.default

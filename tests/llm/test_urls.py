@@ -79,6 +79,18 @@ def test_mined_rules(spark):
         assert r.m.verdict == (max(hits)[1] if hits else found.default) or len({v for _, v in hits}) > 1
 
 
+def test_many_common_tokens_leave_the_other_rules(spark):
+    rows = [("allow", [f"key:{k}" for k in range(14)])] * 20  # 16,383 combinations that are as sure as their tokens
+    rows += [("block" if i % 20 else "allow", ["path0:spam", f"host0:{i % 7}"]) for i in range(400)]
+    rows += [("allow", ["path0:en", f"host0:{i % 7}"]) for i in range(580)]
+    frame = spark.createDataFrame([(f"http://u/{i}", t, v) for i, (v, t) in enumerate(rows)], "url string, tokens array<string>, verdict string")
+    found = {(t, v): c for t, v, c, _ in urls.mine(frame).rules}
+    assert found[("path0:spam",), "block"] == 0.95
+    assert {t for t, v in found if any(x.startswith("key:") for x in t)} == {(f"key:{k}",) for k in range(14)}
+    copies = frame.unionByName(frame.where("verdict = 'block'").selectExpr("url", "tokens", "verdict", "explode(sequence(1, 50))").drop("col"))
+    assert {(t, v): c for t, v, c, _ in urls.mine(copies).rules} == found
+
+
 def test_odd_rows(spark):
     schema = "page_id long, url string, verdict string, tokens string"
     pages = spark.createDataFrame([(None, None, None, ""), (1, "", "", ""), (1, "http://a.org/" + "x/" * 50_000, "", ""), (1, "http://q.net/", "", "")], schema)
