@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, licenses, lm, mixing, quality, simhash, tokens, topk, urls
+from millrace.llm import bpe, langid, licenses, lm, mixing, quality, simhash, tokens, topk, urls, whiten
 from millrace.llm.text import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,3 +211,8 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.code(table(spark, folder, "documents"), bpe.read_description())
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten.whiten(table(spark, folder, "embeddings"))
