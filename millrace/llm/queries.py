@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, licenses, lm, mixing, quality, simhash, tokens, topk, urls, whiten
+from millrace.llm import bpe, langid, licenses, lm, mixing, quality, simhash, suffixes, tokens, topk, urls, whiten
 from millrace.llm.text import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,3 +216,12 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_whitening")
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op13_suffixes")
+def op13_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, folder, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda total, run: total + run["end"] - run["start"])
+    return found.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )

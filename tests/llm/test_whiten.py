@@ -68,7 +68,7 @@ def test_odd_vectors(spark):
     check(spark, rows)
     frame = spark.createDataFrame([(i, v, "", "") for i, v in [*rows, (9, [1.0]), (10, []), (11, [1e30, 1.0, 1.0])]], SCHEMA)
     plain = spark.createDataFrame([(i, v, "", "") for i, v in rows], SCHEMA)
-    first, second = (sorted(map(str, whiten.whiten(f).drop("identity_error").collect())) for f in (frame, plain))
+    first, second = (sorted(map(str, whiten.whiten(f).select("vec_id", "component", "n", "deviation").collect())) for f in (frame, plain))
     assert first == second
 
 
