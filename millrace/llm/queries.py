@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, licenses, lm, mixing, quality, simhash, suffixes, tokens, topk, urls, whiten
+from millrace.llm import bpe, langid, lexical, licenses, lm, mixing, quality, simhash, suffixes, tokens, topk, urls, whiten
 from millrace.llm.text import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,12 +213,73 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.code(table(spark, folder, "documents"), bpe.read_description())
 
 
+@query(
+    "op11_lexical",
+    r"""
+    with words as (
+      select rid, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+      from (select row_number() over () as rid, doc_id as id, text from documents)
+    ), sizes as (
+      select rid, any_value(id) as doc_id, count(*)::bigint as n from words group by rid
+    ), corpus as (
+      select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from sizes
+    ), counted as (
+      select rid, term, count(*)::bigint as tf from words group by rid, term
+    ), weights as (
+      select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+      from counted, corpus group by term, n_docs
+    ), asked as (
+      select distinct iid, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+      from (select row_number() over () as iid, item_id, text from benchmark)
+    ), scored as (
+      select a.iid, a.item_id, c.rid, s.doc_id,
+        sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (10 + (90 * s.n * k.n_docs) // k.n_terms))))::bigint as score
+      from asked a join counted c using (term) join weights w using (term) join sizes s on s.rid = c.rid, corpus k
+      group by a.iid, a.item_id, c.rid, s.doc_id
+    ), ranked as (
+      select *, row_number() over (partition by iid order by score desc, doc_id nulls last)::int as rank from scored where score > 0
+    )
+    select item_id, rank, doc_id, score from ranked where rank <= 10
+    """,
+)
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op12_whitening")
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten.whiten(table(spark, folder, "embeddings"))
 
 
-@query("op13_suffixes")
+@query(
+    "op13_suffixes",
+    """
+    with docs as (
+      select row_number() over () as rid, doc_id, hex(encode(coalesce(text, ''))) as bytes from documents
+    ), starts as (
+      select rid, p, md5(substr(bytes, 2 * p + 1, 800)) as string
+      from (select rid, bytes, unnest(range(0, len(bytes) // 2 - 399)) as p from docs where len(bytes) >= 800)
+    ), twice as (
+      select rid, p from (select rid, p, count(*) over (partition by string) as n from starts) where n > 1
+    ), marked as (
+      select rid, p, case when p <= lag(p) over (partition by rid order by p) + 400 then 0 else 1 end as new from twice
+    ), runs as (
+      select rid, run, min(p) as a, max(p) + 400 as b
+      from (select rid, p, sum(new) over (partition by rid order by p) as run from marked) group by rid, run
+    ), edges as (
+      select rid, a, b, coalesce(lag(b) over (partition by rid order by a), 0) as c from runs
+    ), kept as (
+      select d.rid, sum(b - a) as gone, count(*) as n,
+        string_agg(substr(bytes, 2 * c + 1, 2 * (a - c)), '' order by a) || any_value(substr(bytes, 2 * last + 1)) as bytes
+      from docs d join edges using (rid) join (select rid, max(b) as last from runs group by rid) using (rid) group by d.rid
+    )
+    select doc_id, (len(d.bytes) // 2)::bigint as n_bytes, coalesce(k.gone, 0)::bigint as n_removed, coalesce(k.n, 0)::bigint as n_spans,
+      sha256(unhex(coalesce(k.bytes, d.bytes))) as kept_sha256
+    from docs d left join kept k using (rid)
+    """,
+)
 def op13_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.remove_repeats(table(spark, folder, "documents"))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda total, run: total + run["end"] - run["start"])
