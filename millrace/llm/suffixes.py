@@ -162,13 +162,13 @@ def _positions(length: int, window: int, ends: list[int]):
     return find
 
 
-def _ranked_again(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+def _ranked_again(rows: DataFrame, by: Sequence[str], settle) -> DataFrame:
     """Rows whose values in `by` another row has as well, with a new rank that names those values.
 
-    Sorted counts, combined before the shuffle, are joined back, so that a rank that very many rows
-    share is split like any skewed join.
+    Sorted counts, combined before the shuffle, are written and joined back: between two plain
+    exchanges Spark splits a rank that very many rows share, over an aggregate it would not.
     """
-    often = rows.groupBy(*by).agg(F.count("*").alias("times")).where("times > 1").drop("times")
+    often = settle(rows.groupBy(*by).agg(F.count("*").alias("times")).where("times > 1").drop("times"), "shared-ranks")
     kept = rows.join(often, list(by))
     return kept.withColumn("rank", F.xxhash64(*by)) if list(by) != ["rank"] else kept
 
@@ -219,11 +219,12 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     named = texts.where(F.octet_length("data") >= length).select("data", hashed.alias("text_hash"), summed.alias("text_sum"))
     schema = T.StructType([*_POSITIONS.fields, *[T.StructField(f"piece{n}", T.LongType()) for n in range(len(ends))]])
     with session.workspace(texts.sparkSession) as settle:
-        rows = settle(named.mapInArrow(_positions(length, window, ends), schema), "positions")
-        rows = rows.withColumnRenamed("piece0", "rank")
-        for n in range(len(ends)):
-            rows = _ranked_again(rows, ["rank"] if n == 0 else ["rank", f"piece{n}"]).drop(f"piece{n}")
-            rows = settle(rows, "ranked")
+        with session.workspace(texts.sparkSession) as early:
+            rows = early(named.mapInArrow(_positions(length, window, ends), schema), "positions")
+            rows = rows.withColumnRenamed("piece0", "rank")
+            for n in range(len(ends)):
+                rows = _ranked_again(rows, ["rank"] if n == 0 else ["rank", f"piece{n}"], early).drop(f"piece{n}")
+                rows = (early if n + 1 < len(ends) else settle)(rows, "ranked")
         ranked = rows
         place = F.struct("text_hash", "text_sum", "place", "starts")
         groups = settle(
@@ -235,7 +236,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         repeats = both.select("text_hash", "text_sum", start.alias("start"), (start + F.col("starts") - 1 + length).alias("end"))
 
         single = groups.where("times = 1").select("rank", "one.*").withColumn("item", F.monotonically_increasing_id())
-        open_ranks = single.select("rank").distinct()
+        open_ranks = settle(single.select("rank").distinct(), "open-ranks")
         shown = twice.select("rank", "one.*").join(open_ranks, "rank", "left_semi").withColumn("item", F.lit(-1).cast("long"))
         wanted = settle(single.unionByName(shown), "wanted")
         lists = wanted.groupBy("text_hash", "text_sum").agg(F.collect_list(F.struct("rank", "place", "starts", "item")).alias("wanted"))
@@ -244,7 +245,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         strings = settle(spelled.mapInArrow(_strings(length), "rank long, string long, item long"), "strings")
         known = F.coalesce(F.max((F.col("item") < 0).cast("int")), F.lit(0))
         often = strings.groupBy("rank", "string").agg(F.count("*").alias("times"), known.alias("known"))
-        often = often.where("times > 1").select("rank", "string")
+        often = settle(often.where("times > 1").select("rank", "string"), "shared-strings")
         found = strings.where("item >= 0").join(often, ["rank", "string"]).select(
             F.shiftright("item", 8).alias("item"), F.col("item").bitwiseAND(255).alias("step")
         )
