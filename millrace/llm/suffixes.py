@@ -14,8 +14,9 @@ two strings can only be equal if their owners' suffixes are.
 3. The strings of the other positions are ranked one by one, against each other and against one
    position of each group settled in step 2.
 
-Only ranks, hashes and places are shuffled in 1 and 2. Counts are combined before each shuffle and
-joined back by rank, so that no group of equal positions is gathered in one task.
+Only ranks, hashes and places are shuffled in 1 and 2. Positions whose common bytes occur twice in one
+block of texts go on as one, their strings being repeats already; counts are combined before each
+shuffle and joined back by rank, so that no group of equal positions is gathered in one task.
 """
 
 from __future__ import annotations
@@ -125,10 +126,13 @@ def _offsets(length: int, window: int) -> list[int]:
 
 
 #: text_hash, text_sum: the text; place: owner, steps back to its first start, starts owned; pieces: a
-#: hash for each offset; whole: hash of all the bytes of the owned strings and of how they lie
+#: hash for each offset; whole: hash of all the bytes of the owned strings and of how they lie; times:
+#: 2 if a block has the same bytes more than once. Rows with an end are repeats found inside a block,
+#: from place to end.
 _POSITIONS = T.StructType([
     T.StructField("text_hash", T.LongType()), T.StructField("text_sum", T.LongType()), T.StructField("place", T.LongType()),
-    T.StructField("starts", T.IntegerType()), T.StructField("whole", T.LongType()),
+    T.StructField("starts", T.IntegerType()), T.StructField("whole", T.LongType()), T.StructField("times", T.IntegerType()),
+    T.StructField("end", T.LongType()),
 ])
 
 
@@ -153,22 +157,50 @@ def _positions(length: int, window: int, ends: list[int]):
                 before = end
             # the owner's place in its text, and in the lower byte how far its first string starts before it
             place = (owner - begin[number]) << 8 | back
+            hashes, sums = np.array(hashes, np.int64), np.array(sums, np.int64)
+            kept, times = _once(np.array(wholes, np.uint64), np.array(pieces[-1], np.uint64))
             arrays = [
-                np.array(hashes, np.int64)[number], np.array(sums, np.int64)[number], place, (last - first + 1).astype(np.int32),
-                *[np.array(p, np.uint64).view(np.int64) for p in (wholes, *pieces)],
+                hashes[number], sums[number], place, (last - first + 1).astype(np.int32), np.array(wholes, np.uint64).view(np.int64), times,
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=names)
+            pieces = [np.array(p, np.uint64).view(np.int64)[kept] for p in pieces]
+            held = [pa.array(a[kept]) for a in arrays]
+            yield pa.RecordBatch.from_arrays([*held, pa.nulls(len(kept), pa.int64()), *map(pa.array, pieces)], names=names)
+            text, start, end = _joined(number, first - begin[number], last - begin[number] + length, times > 1)
+            none = [pa.nulls(len(text), kind) for kind in (pa.int32(), pa.int64(), pa.int32())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[text]), pa.array(sums[text]), pa.array(start), *none, pa.array(end), *[none[1]] * len(ends)], names=names
+            )
 
     return find
 
 
+def _once(whole: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first row of each pair of values, and for every row 2 if another has its pair, else 1."""
+    order = np.lexsort((piece, whole))
+    new = np.ones(len(order), bool)
+    new[1:] = (whole[order][1:] != whole[order][:-1]) | (piece[order][1:] != piece[order][:-1])
+    group = np.cumsum(new) - 1
+    times = np.empty(len(order), np.int32)
+    times[order] = np.minimum(np.bincount(group, minlength=1), 2)[group]
+    return np.sort(order[new]), times
+
+
+def _joined(text: np.ndarray, start: np.ndarray, end: np.ndarray, chosen: np.ndarray):
+    """The chosen spans (in order, of one length about), those that overlap in one text as one."""
+    text, start, end = text[chosen], start[chosen], end[chosen]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (start[1:] > end[:-1])
+    first = np.flatnonzero(new)
+    return text[first], start[first], np.maximum.reduceat(end, first) if len(first) else end
+
+
 def _ranked_again(rows: DataFrame, by: Sequence[str], settle) -> DataFrame:
     """Rows whose values in `by` another row has as well, with a new rank that names those values.
 
     Sorted counts, combined before the shuffle, are written and joined back: between two plain
     exchanges Spark splits a rank that very many rows share, over an aggregate it would not.
     """
-    often = settle(rows.groupBy(*by).agg(F.count("*").alias("times")).where("times > 1").drop("times"), "shared-ranks")
+    often = settle(rows.groupBy(*by).agg(F.sum("times").alias("all")).where("all > 1").drop("all"), "shared-ranks")
     kept = rows.join(often, list(by))
     return kept.withColumn("rank", F.xxhash64(*by)) if list(by) != ["rank"] else kept
 
@@ -221,14 +253,15 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     with session.workspace(texts.sparkSession) as settle:
         with session.workspace(texts.sparkSession) as early:
             rows = early(named.mapInArrow(_positions(length, window, ends), schema), "positions")
-            rows = rows.withColumnRenamed("piece0", "rank")
+            inside = settle(rows.where("end is not null").select("text_hash", "text_sum", F.col("place").alias("start"), "end"), "inside")
+            rows = rows.where("end is null").drop("end").withColumnRenamed("piece0", "rank")
             for n in range(len(ends)):
                 rows = _ranked_again(rows, ["rank"] if n == 0 else ["rank", f"piece{n}"], early).drop(f"piece{n}")
                 rows = (early if n + 1 < len(ends) else settle)(rows, "ranked")
         ranked = rows
         place = F.struct("text_hash", "text_sum", "place", "starts")
         groups = settle(
-            ranked.groupBy("rank", "whole", "starts").agg(F.count("*").alias("times"), F.min(place).alias("one")), "groups"
+            ranked.groupBy("rank", "whole", "starts").agg(F.sum("times").alias("times"), F.min(place).alias("one")), "groups"
         )
         twice = groups.where("times > 1")
         both = ranked.join(twice.select("rank", "whole", "starts"), ["rank", "whole", "starts"], "left_semi")
@@ -254,7 +287,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         pieces = wanted.where("item >= 0").join(steps, "item").select(
             "text_hash", "text_sum", start.alias("start"), F.explode("steps").alias("step")
         ).select("text_hash", "text_sum", (F.col("start") + F.col("step")).alias("start"), (F.col("start") + F.col("step") + length).alias("end"))
-        spans = repeats.unionByName(pieces).groupBy("text_hash", "text_sum").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+        spans = inside.unionByName(repeats).unionByName(pieces).groupBy("text_hash", "text_sum").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
         return session.settle(spans, "spans")
 
 
