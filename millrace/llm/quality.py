@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace import session
@@ -13,12 +13,8 @@ MIN_WORDS = 20  # shorter documents fail
 MAX_REPEAT_PERCENT = 30  # of words in repeated windows; above, the document fails
 WINDOW = 8  # words in a repeated window
 
-#: A line is boilerplate on its host if more than LINE_DOCS documents have it, and more than
-#: LINE_SHARE of the host's documents.
+#: A line is boilerplate on its host if more than so many distinct texts there have it, however large the host is.
 LINE_DOCS = 20
-LINE_SHARE = 0.01
-#: Documents with under this share of their words outside lines of more than LINE_DOCS documents are near copies.
-OWN_SHARE = 0.25
 #: A document is depleted if fewer than this share of its words is left.
 MIN_LEFT = 0.25
 
@@ -74,12 +70,10 @@ def repeated_words(found: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(found) <= window, 0).otherwise(bind(bind(ids, windows), count)).cast("long")
 
 
-def line_table(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", host: str = "source", kin: bool = False) -> DataFrame:
-    """One row for each line with a word: (removed_id, removed_digest, host, first, place, line, words, total).
+def line_table(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", host: str = "source") -> DataFrame:
+    """One row for each line with a word: (removed_id, removed_digest, host, place, line, words).
 
-    place counts the lines of the text from 0, first marks the first with a word, total is the words
-    of the text. With `kin` the last column is kin instead: the least hash among the document's
-    other lines. Written once, as counting and cutting both read it.
+    place counts the lines of the text from 0. Written once, as counting and cutting both read it.
     """
     numbered = F.filter(
         F.transform(
@@ -94,109 +88,67 @@ def line_table(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", host
         F.col(host).alias("host"),
         numbered.alias("found"),
     )
-    names = ["total"]
-    if kin:
-        names = ["least", "next"]
-        held = held.withColumn("least", F.array_min("found.line"))
-        held = held.withColumn("next", F.array_min(F.filter("found.line", lambda k: k != F.col("least"))))
-    else:
-        held = held.withColumn("total", F.aggregate("found", F.lit(0).cast("long"), lambda a, x: a + x["words"]))
-    held = held.withColumn("first", F.get("found", 0)["place"])
     # outer, as the optimizer would compute the lines twice to keep empty arrays from an inner one
-    rows = held.select("removed_id", "removed_digest", "host", *names, "first", F.inline_outer("found"))
-    rows = rows.where("line is not null").withColumn("first", F.col("place") == F.col("first"))
-    if kin:
-        other = F.when(F.col("line") == F.col("least"), F.coalesce("next", "least")).otherwise(F.col("least"))
-        rows = rows.withColumn("kin", other).drop(*names)
-    return session.settle(rows, "lines")
-
-
-def frequent_lines(lines: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
-    """Boilerplate lines (host, line) that more documents of their host have than the limits allow.
-
-    Equal texts count once, and so do all near copies together: texts with under OWN_SHARE of their
-    words outside lines that more than `line_docs` texts of the host have. So copies and near copies
-    do not make a line boilerplate, while pages that share a menu count one by one. With a column kin
-    the documents of one kin count once instead. A NULL host is a host of its own. Counts are
-    combined before each shuffle.
-    """
-    if "kin" in lines.columns:
-        counted = lines.groupBy("host", "line", "kin").agg(F.lit(1).alias("one"))
-        return _over_limits(counted.groupBy("host", "line").agg(F.count("*").alias("docs")), lines, line_docs, line_share)
-    return _boilerplate(_common_lines(lines, line_docs), lines, line_docs, line_share)
-
-
-def _common_lines(lines: DataFrame, line_docs: int) -> DataFrame:
-    """The rows of `lines` whose line more than `line_docs` distinct texts of the host have."""
-    often = (
-        lines.groupBy("host", "line", "removed_digest").agg(F.lit(1).alias("one"))
-        .groupBy("host", "line").agg(F.count("*").alias("docs"))
-        .where(F.col("docs") > line_docs)
-        .select(F.col("host").alias("at"), F.col("line").alias("often"))
-    )
-    found = lines.join(often, F.col("host").eqNullSafe(F.col("at")) & (F.col("line") == F.col("often")))
-    return session.settle(found.drop("at", "often"), "common-lines")
+    rows = held.select("removed_id", "removed_digest", "host", F.inline_outer("found"))
+    return session.settle(rows.where("line is not null"), "lines")
 
 
-def _boilerplate(common: DataFrame, lines: DataFrame, line_docs: int, line_share: float) -> DataFrame:
-    held = common.select("host", "removed_digest", "place", "line", "words", "total").distinct()
-    shared = F.sum("words").over(Window.partitionBy("host", "removed_digest"))
-    held = held.withColumn("own", F.col("total") - shared >= F.col("total") * OWN_SHARE)
-    votes = F.sum(F.col("own").cast("long")) + F.max((~F.col("own")).cast("long"))
-    counted = held.select("host", "line", "removed_digest", "own").distinct().groupBy("host", "line").agg(votes.alias("docs"))
-    return _over_limits(counted, lines, line_docs, line_share)
+def frequent_lines(lines: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
+    """Boilerplate lines (host, line): those that more than `line_docs` distinct documents of their host have.
 
-
-def _over_limits(counted: DataFrame, lines: DataFrame, line_docs: int, line_share: float) -> DataFrame:
-    sizes = lines.where("first").groupBy(F.col("host").alias("of")).agg(F.count("*").alias("host_docs"))
-    return (
-        counted.where(F.col("docs") > line_docs).join(sizes, F.col("host").eqNullSafe(F.col("of")))
-        .where(F.col("docs") > line_share * F.col("host_docs"))
-        .select("host", "line")
-    )
+    Documents are told apart by their whole text, so exact copies count once. A NULL host is a host
+    of its own. Both counts are combined before their shuffle.
+    """
+    once = lines.groupBy("host", "line", "removed_digest").agg(F.lit(1).alias("one"))
+    counted = once.groupBy("host", "line").agg(F.count("*").alias("docs"))
+    return counted.where(F.col("docs") > line_docs).select("host", "line")
 
 
-def _removed(
-    docs: DataFrame, text: str, doc_id: str, host: str, line_docs: int, line_share: float, kin: bool = False
-) -> DataFrame:
+def _removed(docs: DataFrame, text: str, doc_id: str, host: str, line_docs: int) -> DataFrame:
     """(removed_id, removed_digest, cut): for documents with boilerplate the (place, words) of each such line.
 
-    A set, so that rows that repeat a document do not count its lines twice.
+    A set, so that rows that repeat a document do not count its lines twice; in order of place.
     """
-    lines = line_table(docs, text, doc_id, host, kin)
-    if kin:
-        often = frequent_lines(lines, line_docs, line_share)
-    else:
-        whole, lines = lines, _common_lines(lines, line_docs)
-        often = _boilerplate(lines, whole, line_docs, line_share)
-    often = often.toDF("at", "often")
+    lines = line_table(docs, text, doc_id, host)
+    # written, so that the join stands between two exchanges and a hot line is split
+    often = session.settle(frequent_lines(lines, line_docs).toDF("at", "often"), "frequent-lines")
     return (
         lines.join(often, F.col("host").eqNullSafe(F.col("at")) & (F.col("line") == F.col("often")))
         .groupBy("removed_id", "removed_digest")
-        .agg(F.collect_set(F.struct("place", "words")).alias("cut"))
+        .agg(F.sort_array(F.collect_set(F.struct("place", "words"))).alias("cut"))
     )
 
 
+def _without(lines: Column, gone: Column) -> Column:
+    """The lines whose places (ascending) are not in `gone`: the stretches between them, each copied once."""
+
+    def stretch(place: Column, n: Column) -> Column:
+        start = F.coalesce(F.get(gone, n - 1), F.lit(-1)) + 1
+        return F.slice(lines, start + 1, place - start)
+
+    ends = F.concat(gone, F.array(F.size(lines)))
+    return F.flatten(F.transform(ends, stretch))
+
+
 def judge(
     docs: DataFrame,
     text: str = "text",
     doc_id: str = "doc_id",
     host: str = "source",
     line_docs: int = LINE_DOCS,
-    line_share: float = LINE_SHARE,
     min_left: float = MIN_LEFT,
-    kin: bool = False,
 ) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words, base_failed, kept) per row.
 
     base_failed: under MIN_WORDS words, or over MAX_REPEAT_PERCENT of them inside repeated windows.
     kept: not base_failed, and at least `min_left` of the words stand outside boilerplate lines
-    (`frequent_lines`; `kin` chooses how it counts documents). NULL and blank texts have no words and fail. Repeated rows are judged alike
-    and come back repeated; an empty table gives an empty result; other columns are not read.
+    (`frequent_lines`). NULL and blank texts have no words and fail. Texts of any length are read
+    whole. Repeated rows are judged alike and come back repeated; an empty table gives an empty
+    result; other columns are not read.
     """
     key, digest = F.col(doc_id), F.xxhash64(F.col(text))
     rows = _statistics(docs.select(key.alias("doc_id"), F.col(text).alias("text"), digest.alias("digest")))
-    cut = _removed(docs, text, doc_id, host, line_docs, line_share, kin).select(
+    cut = _removed(docs, text, doc_id, host, line_docs).select(
         "removed_id", "removed_digest", F.aggregate("cut", F.lit(0).cast("long"), lambda a, x: a + x["words"]).alias("cut")
     )
     joined = rows.join(
@@ -230,16 +182,19 @@ def clean(
     doc_id: str = "doc_id",
     host: str = "source",
     line_docs: int = LINE_DOCS,
-    line_share: float = LINE_SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
-    """The documents that `judge` keeps, their boilerplate lines taken out of the text; same columns."""
+    """The documents that `judge` keeps, their boilerplate lines taken out of the text; same columns.
+
+    Work grows with a text's length, not with its lines times those taken out. For NULL, empty and
+    very long texts, repeated rows and empty tables see `judge`; columns with any other names stay.
+    """
     names = {x: free_name(docs.columns, x) for x in ("digest", "cut", "pair", "removed_id", "removed_digest")}
-    cut = _removed(docs, text, doc_id, host, line_docs, line_share).withColumnsRenamed(names)
+    cut = _removed(docs, text, doc_id, host, line_docs).withColumnsRenamed(names)
     body, gone = F.col(text), F.col(names["cut"])
     pair = F.col(names["pair"])
-    places = F.transform(gone, lambda x: x["place"])
-    rest = F.array_join(F.filter(_lines(body), lambda _, i: ~F.array_contains(places, i)), "\n")
+    held = bind(F.struct(_lines(body).alias("lines"), F.transform(gone, lambda x: x["place"]).alias("gone")),
+                lambda x: F.array_join(_without(x["lines"], x["gone"]), "\n"))
     lost = F.coalesce(F.aggregate(gone, F.lit(0).cast("long"), lambda a, x: a + x["words"]), F.lit(0))
     return (
         docs.withColumn(names["digest"], F.xxhash64(body))
@@ -256,6 +211,6 @@ def clean(
         )
         .where(pair["n"] - lost >= pair["n"] * min_left)
         .select(*[
-            F.when(gone.isNull(), body).otherwise(rest).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns
+            F.when(gone.isNull(), body).otherwise(held).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns
         ])
     )

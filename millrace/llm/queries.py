@@ -94,19 +94,9 @@ def op4_urls(spark: SparkSession, folder: str) -> DataFrame:
       from lines where words > 0
     ), dups as (
       select rid, count(*) - count(distinct line) as n from keyed group by rid
-    ), least as (
-      select rid, source, min(key) as lo from keyed group by rid, source
-    ), kin as (
-      select l.rid, l.source, l.lo, coalesce(min(k.key), l.lo) as hi
-      from least l left join keyed k on k.rid = l.rid and k.key > l.lo group by l.rid, l.source, l.lo
-    ), hosts as (
-      select source, count(*) as host_docs from kin group by source
     ), often as (
-      select k.source, k.key
-      from keyed k join kin using (rid) join hosts h on k.source is not distinct from h.source
-      group by k.source, k.key
-      having count(distinct case when k.key = lo then hi else lo end) > 20
-        and count(distinct case when k.key = lo then hi else lo end) > 0.01 * any_value(h.host_docs)
+      select k.source, k.key from keyed k join docs d using (rid)
+      group by k.source, k.key having count(distinct d.text) > 20
     ), cut as (
       select k.rid, sum(k.words) as n from keyed k join often o
         on k.source is not distinct from o.source and k.key = o.key group by k.rid
@@ -122,7 +112,7 @@ def op4_urls(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(table(spark, folder, "documents"), kin=True)  # as its SQL counts
+    return quality.judge(table(spark, folder, "documents"))
 
 
 @query(

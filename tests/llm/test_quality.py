@@ -55,7 +55,7 @@ def test_boilerplate_is_cut_and_depleted_documents_go(spark):
     rows = [(n, f"{story(n, 60)}\n{menu}{n}\n", "a", "", 0, 0) for n in range(30)]
     rows += [(100 + n, f"{menu.upper()}7\n{menu}\n{menu}\n{story(500 + n, 5)}", "a", "", 0, 0) for n in range(3)]
     rows += [(200 + n, f"{story(900 + n, 30)}\n{menu}", "b", "", 0, 0) for n in range(5)]  # rare on this host
-    rows += [(300 + n, "\n".join(story(7000 + k, 20) for k in range(12)) + f"\n{story(8000 + n, 3)}", None, "", 0, 0) for n in range(40)]  # near copies
+    rows += [(300 + n, "\n".join(story(7000 + k, 20) for k in range(12)), None, "", 0, 0) for n in range(40)]  # copies count once
     docs = spark.createDataFrame(rows, SCHEMA)
     lines = quality.frequent_lines(quality.line_table(docs)).collect()
     assert [r.host for r in lines] == ["a"]
@@ -68,27 +68,51 @@ def test_boilerplate_is_cut_and_depleted_documents_go(spark):
     assert quality.clean(docs).columns == docs.columns
 
 
-def test_menus_are_cut_whatever_their_length(spark):
-    def own(n, size):
-        rnd = random.Random(n)
-        return " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(size))
+def own_words(n, size):
+    rnd = random.Random(repr(n))
+    return " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(size))
 
-    rows, want = [], set()
-    for size in (10, 30, 100):
-        for k in range(4):
-            host = f"h{size}x{k}"
-            menu = [f"{x} {host}" for x in own(size + k, size).split()]
-            rows += [(len(rows) + i, "\n".join([*menu, own((host, i).__repr__(), size)]), host, "", 0, 0) for i in range(60)]
-            want |= {(host, len(set(menu)))}
+
+def test_menus_are_cut_whatever_their_length(spark):
+    """Every line of a menu on all pages of a host goes, however little else the pages have; bare pages are depleted."""
+    rows, want, bare = [], set(), set()
+    for size, own in ((10, 10), (30, 30), (100, 100), (30, 6), (10, 6), (30, 40), (100, 1)):
+        host = f"h{size}x{own}"
+        menu = [f"{x} {host}" for x in own_words((host, "menu"), size).split()]
+        for i in range(60):
+            if own < 0.25 * (own + 2 * size):
+                bare.add(len(rows))
+            rows.append((len(rows), "\n".join([*menu, own_words((host, i), own)]), host, "", 0, 0))
+        want |= {(host, len(set(menu)))}
     docs = spark.createDataFrame(rows, SCHEMA)
     lines = quality.frequent_lines(quality.line_table(docs)).groupBy("host").count().collect()
     assert {(r.host, r["count"]) for r in lines} == want
     cleaned = quality.clean(docs).collect()
-    assert len(cleaned) == len(rows) and all("\n" not in r.text for r in cleaned)
+    assert {r.doc_id for r in cleaned} == {i for i in range(len(rows)) if i not in bare and len(rows[i][1].split()) >= 20}
+    assert all("\n" not in r.text for r in cleaned)
     copies = spark.createDataFrame([(i, rows[0][1], "c", "", 0, 0) for i in range(60)], SCHEMA)
     assert quality.frequent_lines(quality.line_table(copies)).count() == 0
 
 
+def test_the_limit_is_the_same_on_a_large_host(spark):
+    line = "the same short notice under a few of very many pages"
+    rows = [(n, own_words(n, 30) + (f"\n{line}" if n < 21 else ""), "big", "", 0, 0) for n in range(5000)]
+    rows += [(9000 + n, own_words(-n, 30) + (f"\n{line}" if n < 20 else ""), "small", "", 0, 0) for n in range(20)]
+    got = quality.judge(spark.createDataFrame(rows, SCHEMA)).where("removed_words > 0").collect()
+    assert {r.doc_id for r in got} == set(range(21))
+
+
+def test_long_texts_with_many_boilerplate_lines(spark):
+    shared = [f"menu {own_words(('shared', n), 3)}" for n in range(8000)]
+    rows = []
+    for n in range(24):
+        mixed = [x for k, line in enumerate(shared) for x in ((line, own_words((n, k), 1)) if k % 2 else (line,))]
+        rows.append((n, "\n".join(["", *mixed, ""]), "s", "", 0, 0))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    got = {r.doc_id: r.text for r in quality.clean(docs, min_left=0.0).collect()}
+    assert got == {n: "\n".join(["", *[own_words((n, k), 1) for k in range(1, 8000, 2)], ""]) for n in range(24)}
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, None, None, None, None, None), (1, "", "s", "", 1, 1), (2, "w " * 30, "s", "", 1, 1), (2, "w " * 30, "s", "", 1, 1)], SCHEMA)
     got = quality.judge(docs).collect()
