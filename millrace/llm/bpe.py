@@ -3,7 +3,8 @@
 The words of a partition that are not known yet are merged together: an index maps each pair of
 neighbouring symbols to all its positions in those words, the active ranks are applied in ascending
 order from a heap, and a merge updates only the lists of the pairs it touches. Vocabulary files are
-those of the `tokenizers` library (model BPE with an end-of-word suffix); the library itself is not used.
+those of the `tokenizers` library (model BPE with an end-of-word suffix). The library itself only cuts
+texts with characters that Python's Unicode tables do not know (`Vocabulary._cut_carefully`).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import hashlib
 import heapq
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.text import free_name
 
-CACHE_WORDS = 600_000  # words that one Python worker remembers
+CACHE_BYTES = 48 << 20  # of words and their ids that a task remembers, by `_cost`
 PACK = 32  # bits of a symbol in a packed pair
 SLICE = 512  # documents whose results leave a task together
 BATCH_WORDS = 50_000  # new words that are merged together
@@ -235,17 +237,27 @@ def merge_words(vocabulary: Vocabulary, words: list[str]) -> list[bytes]:
     return [ids[a:b] for a, b in zip(stops, stops[1:])]
 
 
+def _cost(words: dict) -> int:
+    """Bytes that remembered words take: the string, its ids and their places in the table."""
+    return sum(map(sys.getsizeof, words)) + sum(map(sys.getsizeof, words.values())) + 100 * len(words)
+
+
 class Codec:
-    """Encoder and decoder of one vocabulary with a bounded memory of words."""
+    """Encoder and decoder of one vocabulary with a memory of words that is bounded in bytes."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict = {}
-        self.older: dict = {}  # the generation before
+        self.forget()
         self.tokens = np.full(max(vocabulary.tokens) + 2, None, object)  # the last one is unknown
         for number, token in vocabulary.tokens.items():
             self.tokens[number] = token
 
+    def forget(self) -> None:
+        """Drop the words, so that an idle worker holds the vocabulary alone."""
+        self.known: dict = {}
+        self.older: dict = {}  # the generation before
+        self.size = 0  # of the known words
+
     def _coded(self, words: list) -> dict:
         """The ids of words (and of added tokens, which are their ids) as bytes."""
         plain = [w for w in words if isinstance(w, str)]
@@ -256,11 +268,13 @@ class Codec:
         return coded
 
     def _learn(self, fresh: set) -> None:
-        if len(self.known) + len(fresh) > CACHE_WORDS // 2:
-            self.known, self.older = {}, self.known
+        if self.size > CACHE_BYTES // 2:
+            self.known, self.older, self.size = {}, self.known, 0
         older = self.older
-        self.known.update((w, older[w]) for w in fresh if w in older)
-        self.known.update(self._coded([w for w in fresh if w not in older]))
+        new = {w: older[w] for w in fresh if w in older}
+        new.update(self._coded([w for w in fresh if w not in older]))
+        self.known.update(new)
+        self.size += _cost(new)
 
     def encode(self, texts: list[str | None]):
         """Ids of each text as little-endian unsigned 32-bit integers, some texts at a time."""
@@ -282,7 +296,7 @@ class Codec:
                     found.append(words)
                 held += len(words)
                 cut += 1
-            if len(self.known) + len(fresh) > CACHE_WORDS // 2:
+            if self.size > CACHE_BYTES // 2:
                 # the words known so far are about to become the older generation
                 fresh = {w for words in found for w in words if not isinstance(w, bytes)}
             self._learn(fresh)
@@ -307,7 +321,8 @@ def encode(text: Column, description: str) -> Column:
     """Ids of every whole text as binary (little-endian unsigned 32-bit); NULL counts as empty.
 
     `description` is the content of the tokenizer file, read once on the driver (1.7 MB), so that
-    executors need no file. A worker keeps its words from batch to batch, CACHE_WORDS at most.
+    executors need no file. A worker keeps its words from batch to batch, CACHE_BYTES of them at
+    most, and the vocabulary.
     """
     shared = _Shared(description)
 
@@ -344,7 +359,7 @@ def code(
 
     ids_sha256 is of the ids as little-endian unsigned 32-bit integers, which `with_ids` adds as
     `ids`; decoded_sha256 of the decoded text in UTF-8. NULL texts count as empty; repeated rows come
-    back repeated; an empty table gives an empty result. A number is added to a new name that `keep`
+    back repeated; an empty table gives an empty result; texts of any length are coded whole. A number is added to a new name that `keep`
     has. Rows are handled SLICE at a time, so that a task holds few texts and ids whatever their number.
     """
     shared = _Shared(description)
@@ -358,6 +373,12 @@ def code(
 
     def coded(batches):
         codec = _codec(shared.text)
+        try:
+            yield from pieces(codec, batches)
+        finally:
+            codec.forget()
+
+    def pieces(codec, batches):
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,9 +47,12 @@ def cycled_weight(source: str = "source", cycle: int = 3) -> Column:
     return (F.row_number().over(Window.orderBy(F.col(source).asc_nulls_last())) - 1) % cycle + 1
 
 
-def draw(key: Column, seed: int = 0) -> Column:
-    """A number in [0, 1) that depends on the key and the seed alone; a NULL key counts as empty text."""
-    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("")))
+def draw(key: Column, digest: Column, number: Column, seed: int = 0) -> Column:
+    """A number in [0, 1) that depends on the id, the text's digest, the number among equal rows and the seed alone.
+
+    A NULL id counts as empty text.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("")), digest.cast("string"), number.cast("string"))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
 
 
@@ -62,18 +67,33 @@ def plan_mix(
     """`docs` with mix_size, mix_source_size, mix_target and mix_copies (names free of clashes, see below).
 
     A source's rate is target / size; a document is taken floor(rate) times and once more with the
-    fraction as probability, drawn from its id, so reruns agree and rows that share an id share the
-    draw. Sizes are added up per source before the shuffle, and the source table, of one row for
+    fraction as probability, drawn from its id, its text's digest and its number among the rows that
+    have both and the source in common. So reruns agree and rows without ids, or with one id, are
+    drawn one by one. Only rows that do repeat others are numbered, in a sorted stretch of their
+    own. Sizes are added up per source before the shuffle, and the source table, of one row for
     each source, is joined by plain equality, so a hot source can be split or broadcast. Empty and
     NULL texts have size 0; a source of size 0 has target 0 and its documents are not taken. A NULL
-    source is one source, the last. The four columns are the last four of the result; where the
-    table has one of the names, a number is added.
+    source is one source, the last. Texts of any length count whole; an empty table gives an empty
+    result. The four columns are the last four of the result; where the table has one of the names,
+    a number is added.
     """
-    size, of, target, copies, at, total = (
+    size, of, target, copies, at, digest, number, *same = (
         free_name(docs.columns, x)
-        for x in ("mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_source", "mix_total")
+        for x in ("mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_source", "mix_digest", "mix_number", "mix_a", "mix_b", "mix_c")
     )
-    sized = docs.withColumn(size, word_count(F.col(text)))
+    keys = [F.col(doc_id), F.col(digest), F.col(source)]
+    held = docs.withColumn(digest, F.xxhash64(F.col(text)))
+    counted = held.groupBy(*keys).agg(F.count("*").alias(number)).where(F.col(number) > 1)
+    repeated = session.settle(counted.select(*[k.alias(n) for k, n in zip(keys, same)]), "repeated-documents")
+    if repeated.isEmpty():
+        numbered = held.withColumn(number, F.lit(1))
+    else:
+        equal = reduce(lambda x, y: x & y, [k.eqNullSafe(F.col(n)) for k, n in zip(keys, same)])
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+        numbered = held.join(repeated, equal, "left_anti").withColumn(number, F.lit(1)).unionByName(
+            held.join(repeated, equal, "left_semi").withColumn(number, place)
+        )
+    sized = numbered.withColumn(size, word_count(F.col(text)))
     sums = (
         docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("n"))
         .groupBy("source").agg(F.sum("n").alias("source_size"))
@@ -86,7 +106,7 @@ def plan_mix(
     whole = F.floor(rate)
     return (
         sized.join(targets, F.col(source).eqNullSafe(F.col(at)), "left")
-        .withColumn(copies, (whole + (draw(F.col(doc_id), seed) < rate - whole).cast("long")).cast("long"))
+        .withColumn(copies, (whole + (draw(F.col(doc_id), F.col(digest), F.col(number), seed) < rate - whole).cast("long")).cast("long"))
         .select(*[F.col(f"`{c}`") for c in docs.columns], size, of, target, copies)
     )
 

@@ -119,16 +119,16 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     "op6_topk",
     """
     with held as (
-      select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+      select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
       from embeddings
       where vec_id is not null and embedding is not null
         and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
     ), scored as (
-      select q.vec_id as query_id, c.vec_id,
+      select q.rid, q.vec_id as query_id, c.vec_id,
         list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)))::bigint as score
-      from held q join held c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+      from held q join held c on q.vec_id % 50 = 0 and c.rid <> q.rid
     ), ranked as (
-      select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+      select *, row_number() over (partition by rid order by score desc, vec_id)::int as rank from scored
     )
     select query_id, rank, vec_id, score from ranked where rank <= 5
     """,
@@ -141,7 +141,7 @@ def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
     "op7_mixing",
     """
     with sized as (
-      select doc_id, source,
+      select doc_id, source, text, row_number() over (partition by doc_id, text, source) as number,
         len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))::bigint as size
       from documents
     ), sums as (

@@ -35,14 +35,14 @@ def _matrix(rows, width: int) -> np.ndarray:
     return out
 
 
-def threshold_search(ids: np.ndarray, vectors: np.ndarray, query_id, query: np.ndarray, order: np.ndarray, k: int):
+def threshold_search(ids: np.ndarray, vectors: np.ndarray, own: np.ndarray, query: np.ndarray, order: np.ndarray, k: int):
     """The k best (score, id) of one query in one block, ties to the lesser id; `order` has a sorted list for each column.
 
-    Also returns how many vectors were scored.
+    Rows in the mask `own` take no part. Also returns how many vectors were scored.
     """
     n = len(ids)
     up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-    met = ids == query_id  # the query's own row takes no part
+    met = own.copy()
     scored = depth = 0
     best_scores, best_ids = query[:0], ids[:0]
     while True:
@@ -74,42 +74,45 @@ def threshold_search(ids: np.ndarray, vectors: np.ndarray, query_id, query: np.n
 
 def _search(k: int):
     def search(key, candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "query_key", "vec_id", "score"]
+        columns = ["query_id", "query_key", "asks", "vec_id", "score"]
         if not len(candidates) or not len(queries):
             return pd.DataFrame({c: pd.Series([], dtype="int64") for c in columns})
         width = max(max(map(len, candidates["v"])), max(map(len, queries["v"])), 1)
         vectors, asked = _matrix(candidates["v"], width), _matrix(queries["v"], width)
-        ids = candidates["id"].to_numpy()
+        ids, digests, first = candidates["id"].to_numpy(), candidates["digest"].to_numpy(), candidates["copy"].to_numpy() == 0
         order = np.argsort(vectors.T, axis=1, kind="stable")
         limit = max(abs(int(vectors.min())), int(vectors.max())) * max(abs(int(asked.min())), int(asked.max())) * width
         # floats are exact and fast below 2**53; beyond, Python's integers
         kind = np.float64 if limit < _EXACT else object
         vectors, asked = vectors.astype(kind), asked.astype(kind)
         parts = []
-        for query_id, query_key, query in zip(queries["id"], queries["digest"], asked):
-            scores, found, _ = threshold_search(ids, vectors, query_id, query, order, k)
+        for query_id, query_key, times, query in zip(queries["id"], queries["digest"], queries["asks"], asked):
+            own = first & (ids == query_id) & (digests == query_key)
+            scores, found, _ = threshold_search(ids, vectors, own, query, order, k)
             whole = [min(max(int(s), -(2**63)), 2**63 - 1) for s in scores]
-            parts += [(query_id, query_key, i, s) for i, s in zip(found.tolist(), whole)]
+            parts += [(query_id, query_key, times, i, s) for i, s in zip(found.tolist(), whole)]
         return pd.DataFrame(parts, columns=columns).astype("int64")
 
     return search
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best other vectors for each row where `is_query` holds.
+    """(query_id, rank, vec_id, score): the k best other rows for each row where `is_query` holds.
 
     Scores are inner products of the quantised vectors; ties go to the smaller id; fewer than k rows
     if there are fewer candidates. NULL ids and vectors that are NULL or hold NULL or non-finite
-    components take no part. Rows equal in id and vector count once; rows that share only the id
-    never find one another, and as queries each gets its own ranks. Shorter vectors count as filled
-    up with zeros. Scores beyond 64 bits are cut to the nearest long. Candidates are sent to every
-    query block, queries to every candidate block; each block pair sends back k rows a query.
+    components take no part. Every row is a candidate but the query's own, so a repeated row finds
+    its copies and comes back as often as it is there; as queries, equal rows get the same ranks
+    each. Shorter vectors count as filled up with zeros. Scores beyond 64 bits are cut to the
+    nearest long. Candidates are sent to every query block, queries to every candidate block; each
+    block pair sends back k rows a query, and of equal rows k + 1 at most travel, as more cannot be
+    among the k best.
     """
     held = (
         rows.select(F.col(vec_id).cast("long").alias("id"), quantised(F.col(vector)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
         .where("id is not null and v is not null")
         .select("id", "v", "asks", F.xxhash64("v").alias("digest"))
-        .groupBy("id", "digest").agg(F.any_value("v").alias("v"), F.bool_or("asks").alias("asks"))
+        .groupBy("id", "digest").agg(F.any_value("v").alias("v"), F.count_if("asks").alias("asks"), F.count("*").alias("rows"))
     )
     sizes = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
     blocks, sides = max(1, math.ceil(sizes.n / CANDIDATES)), max(1, math.ceil(sizes.q / QUERIES))
@@ -120,13 +123,15 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector: str = "embeddin
     def every(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    candidates = held.select("id", "v", block(blocks).alias("block"), every(sides).alias("side"))
-    queries = held.where("asks").select("id", "digest", "v", block(sides).alias("side"), every(blocks).alias("block"))
+    copies = F.sequence(F.lit(0), F.least("rows", F.lit(k + 1)).cast("int") - 1)
+    candidates = held.select("id", "digest", "v", F.explode(copies).alias("copy"))
+    candidates = candidates.select("id", "digest", "copy", "v", block(blocks).alias("block"), every(sides).alias("side"))
+    queries = held.where("asks > 0").select("id", "digest", "v", "asks", block(sides).alias("side"), every(blocks).alias("block"))
     found = candidates.groupBy("block", "side").cogroup(queries.groupBy("block", "side")).applyInPandas(
-        _search(k), "query_id long, query_key long, vec_id long, score long"
+        _search(k), "query_id long, query_key long, asks long, vec_id long, score long"
     )
     place = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    return ranked.select(
+        "query_id", "rank", "vec_id", "score", F.explode(F.sequence(F.lit(1), F.col("asks").cast("int"))).alias("copy")
+    ).drop("copy")

@@ -7,7 +7,8 @@ inverted index from each rule's rarest token to the rules.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import product
 
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
@@ -92,10 +93,24 @@ def url_tokens(host: Column, path: Column, url: Column) -> Column:
 
 @dataclass
 class Rules:
-    """Mined rules (tokens, verdict, confidence, support) and the verdict where none matches."""
+    """Mined rules (tokens, verdict, confidence, support) and the verdict where none matches.
+
+    `same` maps tokens to the one that stands for them in the rules: in all labelled urls they occur
+    together, so a rule holds with any of them in its place.
+    """
 
     rules: list[tuple[tuple[str, ...], str, float, float]]
     default: str
+    same: dict[str, str] = field(default_factory=dict)
+
+    def expanded(self) -> list[tuple[tuple[str, ...], str, float, float]]:
+        """The rules with every token that may stand in them."""
+        members: dict[str, list[str]] = {}
+        for token, name in self.same.items():
+            members.setdefault(name, [name]).append(token)
+        return [
+            (tuple(sorted(tokens)), *rest) for names, *rest in self.rules for tokens in product(*[members.get(n, [n]) for n in names])
+        ]
 
     def index(self) -> dict[str, list[tuple[frozenset, tuple]]]:
         """Rules by the token that the fewest rules have; the order to choose by comes with each."""
@@ -115,7 +130,8 @@ def mine(
 ) -> Rules:
     """Rules from `labelled` (url, tokens, verdict). NULL verdicts are left out; an empty table allows everything.
 
-    Copies of a url count once. Every rule without a shorter one that is as sure is kept; they travel
+    Copies of a url count once. Tokens that occur in exactly the same labelled urls are mined as one
+    (`Rules.same`), so work does not double with each of them. Every rule without a shorter one that is as sure is kept; they travel
     with the tasks.
     """
     labelled = labelled.where(F.col("verdict").isin(ALLOW, BLOCK))
@@ -129,16 +145,27 @@ def mine(
     default = max(sorted(sizes, key=lambda r: r.verdict), key=lambda r: r.rows).verdict
     share = min(10**6, -(-learn_urls * 10**6 // sum(r.urls for r in sizes)))
     picked = labelled.where(F.pmod("digest", F.lit(10**6)) < share).dropDuplicates(["verdict", "digest"])
-    picked = session.settle(picked.select("tokens", "verdict"), "labelled-urls")
+    picked = session.settle(picked.select("tokens", "verdict", "digest"), "labelled-urls")
     # a token that every url has tells nothing and would double every combination
-    baskets = picked.select(F.concat("tokens", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
-    counts = baskets.select(F.explode("items").alias("t")).groupBy("t").count()
-    rows = baskets.count()
-    common = [r.t for r in counts.where(F.col("count") >= rows).collect()]
-    if common:
-        baskets = baskets.select(
-            F.filter("items", lambda t: ~t.isin(*common) | t.startswith(LABEL)).alias("items")
-        )
+    counts = (
+        picked.select(F.explode("tokens").alias("token"), "digest").groupBy("token")
+        .agg(F.count("*").alias("urls"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("other"))
+    )
+    rows = picked.count()
+    # at most 1 / support times the tokens of a url
+    frequent = counts.where((F.col("urls") >= support * rows) & (F.col("urls") < rows)).collect()
+    together: dict[tuple, list[str]] = {}
+    for r in frequent:
+        together.setdefault((r.urls, r.one, r.other), []).append(r.token)
+    names = {t: min(tokens) for tokens in together.values() for t in tokens}
+    # tokens that always occur together go as one: their combinations would double with each of them
+    label = F.array(F.concat(F.lit(LABEL), "verdict"))
+    if names:
+        named = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+        held = F.array_compact(F.transform("tokens", lambda t: F.try_element_at(named, t)))
+        baskets = picked.select(F.concat(F.array_distinct(held), label).alias("items"))
+    else:
+        baskets = picked.select(label.alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     found = (
         model.associationRules.where(F.col("consequent")[0].startswith(LABEL))
@@ -156,7 +183,8 @@ def mine(
         if kept:
             rows = rows.where(~_implied(F.col("tokens"), F.col("verdict"), F.col("confidence"), Rules(kept, default)))
         kept += [(tuple(r.tokens), r.verdict, r.confidence, r.support) for r in rows.collect()]
-    return Rules(kept, default)
+    used = {t for tokens, *_ in kept for t in tokens}
+    return Rules(kept, default, {t: name for t, name in names.items() if name in used and t != name})
 
 
 def _implied(tokens: Column, verdict: Column, confidence: Column, shorter: Rules) -> Column:
@@ -179,15 +207,18 @@ def _implied(tokens: Column, verdict: Column, confidence: Column, shorter: Rules
 
 def mined_verdict(tokens: Column, rules: Rules) -> Column:
     """Struct (verdict, matched): the surest matching rule's verdict and tokens, else the default and NULL."""
-    index, default = rules.index(), rules.default
+    index, default, same = rules.index(), rules.default, rules.same
 
     @F.pandas_udf("verdict string, matched string")
     def matched(values: pd.Series) -> pd.DataFrame:
         out = []
-        for held in values:
-            held = frozenset(held)
-            hits = [rank for t in held for needed, rank in index.get(t, ()) if needed <= held]
-            best = max(hits, default=None)
+        for tokens in values:
+            held: dict[str, str] = {}  # the token that stands for others: the last of them the url has
+            for t in sorted(tokens):
+                held[same.get(t, t)] = t
+            hits = [rank for t in held for needed, rank in index.get(t, ()) if needed <= held.keys()]
+            ranks = [(*rank[:4], tuple(sorted(held[t] for t in rank[4]))) for rank in hits]
+            best = max(ranks, default=None)
             out.append((best[3], " ".join(best[4])) if best else (default, None))
         return pd.DataFrame(out, columns=["verdict", "matched"])
 
@@ -203,7 +234,7 @@ def judge(
     Prefix rules come first, the longest that fits; their verdicts are also the labels that token
     rules are mined from. The other urls get the verdict of the surest mined rule, then of the one
     with more support; without any, the commoner label. NULL urls and urls without `://` have an
-    empty host and path, fit no rule and get the default. Repeated rows are judged alike; an empty
+    empty host and path, fit no rule and get the default. Urls of any length are judged whole. Repeated rows are judged alike; an empty
     table gives an empty result; other columns are not read.
     """
     parts = pages.select(

@@ -62,7 +62,7 @@ def test_random_texts(library, codec, texts):
 
 
 def test_memory_is_bounded(library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 10_000)
     monkeypatch.setattr(bpe, "BATCH_WORDS", 20)
     codec = bpe.Codec(bpe.Vocabulary(bpe.read_description()))
     texts = [f"word{i} and other{i} again" for i in range(200)] * 2

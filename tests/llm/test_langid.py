@@ -66,6 +66,45 @@ def test_learning_and_odd_texts(spark):
     assert langid.identify(odd.limit(0), model).count() == 0
 
 
+def test_predictions_match_brute_force():
+    """Shares counted gram by gram against plain sets: within the filters' false positives."""
+    rnd = np.random.default_rng(3)
+    filters = {k: np.unique(np.concatenate(list(langid.grams(v)))) for k, v in LINES.items()}
+    model = langid.Model.build(filters)
+    sets = {k: set(v.tolist()) for k, v in filters.items()}
+    words = " ".join(LINES.values()).split()
+    for _ in range(50):
+        text = " ".join(rnd.choice(words, 12)) + " qqq"
+        held = np.concatenate(list(langid.grams(text))).tolist()
+        want = [sum(g in sets[k] for g in held) / len(held) for k in model.languages]
+        assert np.abs(model.shares(text) - want).max() < 1e-3
+        name, score, share = model.predict(text)
+        best = int(np.argmax(want))
+        assert name == model.languages[best] or abs(max(want) - want[model.languages.index(name)]) < 1e-3
+        assert abs(share - max(want)) < 1e-3 and abs(score - max(want) / sum(want)) < 1e-3
+
+
+def test_no_language_is_left_out(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    langs = [a + b for a in letters for b in letters][:300]
+    rows = [(f"{x * 3} {x}q{x} {x}{x}z", x) for x in langs for _ in range(2)]
+    rows = [(f"{t} {t[:2] * 2}w" if n % 2 else t, x) for n, (t, x) in enumerate(rows)]
+    model = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == langs and len(model.tables) == 5
+    assert sum(model.predict(t)[0] == x for t, x in rows) >= 0.95 * len(rows)
+
+
+def test_texts_of_no_learned_script_go(spark):
+    rows = [(line, name) for name, line in LINES.items() for _ in range(5)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.learn(docs)
+    least = langid.least_share(docs, model)
+    assert 0.2 < least <= 0.5
+    some = spark.createDataFrame([("日本語の文章です",), ("bada gobad",), ("qxqx wvwv",), (None,), ("bada 日本語",)], "text string")
+    assert {r.text for r in langid.keep_identified(some, model, least=0.2).collect()} == {"bada gobad", "bada 日本語"}
+    assert langid.least_share(docs.limit(0), model) == 0.0
+
+
 def test_copies_count_once(spark):
     # a language of a few texts in many copies, and copies that would drown the other texts of theirs
     texts = [("susu rusu", "zz", 30_000), ("mini mono nomi", "yy", 20_000), *((f"omin imono nimon {'nomi ' * k}", "yy", 1) for k in range(40))]

@@ -58,6 +58,20 @@ def test_copies_follow_the_rates(spark):
     assert mixed.count() == sum(r.mix_copies for r in rows)
 
 
+def test_rows_without_ids_and_equal_rows_are_drawn_one_by_one(spark):
+    rows = [(None, f"a b {n} c d e f g h i", "x", "") for n in range(2000)]  # no ids
+    rows += [(7, "q r s t u v w x y z", "y", "")] * 2000  # one row, repeated
+    rows += [(n, f"{n} m n o p q r s t u", "z", "") for n in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_digest string").repartition(5)
+    found = mixing.plan_mix(docs).collect()
+    for source in "xyz":
+        own = [r for r in found if r.source == source]
+        assert len(own) == 2000
+        assert sum(r.mix_size * r.mix_copies for r in own) == pytest.approx(own[0].mix_target, rel=0.1)
+    again = mixing.plan_mix(docs.repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
+
+
 def test_odd_rows(spark):
     schema = "doc_id long, text string, source string, mix_target string"
     docs = spark.createDataFrame([(None, None, None, None), (1, "", "a", ""), (1, "x y", "a", ""), (1, "x y", "a", ""), (2, " \n", None, "")], schema)

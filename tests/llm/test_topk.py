@@ -12,15 +12,15 @@ from millrace.llm import topk
 
 
 def brute(rows, k=5):
-    held = {}
-    for i, v, *_ in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            held[i, tuple(math.floor(float(np.float32(x)) * 256) for x in v)] = None
+    held = [
+        (i, tuple(math.floor(float(np.float32(x)) * 256) for x in v)) for i, v, *_ in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for i, v in held:
+    for n, (i, v) in enumerate(held):
         if i % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in held if j != i)
-            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores[:k])]
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for m, (j, w) in enumerate(held) if m != n)
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -53,12 +53,19 @@ def test_odd_vectors(spark):
     assert searched(spark, []) == [] and searched(spark, [(1, [1.0])]) == [] and searched(spark, [(50, [1.0])]) == []
 
 
+def test_repeated_rows(spark):
+    """Copies of a row are candidates one by one, also for one another."""
+    rows = [(1, [2.0, 1.0]), (1, [2.0, 1.0]), (0, [1.0, 0.0]), (0, [1.0, 0.0]), (50, [1.0, 1.0]), (50, [3.0, 1.0]), *[(7, [9.0, 9.0])] * 20]
+    assert searched(spark, rows) == brute(rows)
+    assert searched(spark, rows[:3]) == [(0, 1, 1, 131072), (0, 2, 1, 131072)]
+
+
 def test_it_stops_before_reading_everything():
     rnd = np.random.default_rng(4)
     vectors = np.floor(rnd.pareto(1.2, size=(4000, 3)) * 10)
     ids, order = np.arange(4000), np.argsort(vectors.T, axis=1, kind="stable")
     query = np.array([3.0, 1.0, 2.0])
-    scores, found, scored = topk.threshold_search(ids, vectors, -1, query, order, 5)
+    scores, found, scored = topk.threshold_search(ids, vectors, ids < 0, query, order, 5)
     want = sorted((-float(v @ query), i) for i, v in enumerate(vectors))[:5]
     assert [(-s, i) for s, i in zip(scores, found)] == want
     assert scored < 1000

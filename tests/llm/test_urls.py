@@ -71,7 +71,7 @@ def test_mined_rules(spark):
         k: v for k, v in want.items()
         if not k[0] & common and not any(o[0] < k[0] and o[1] == k[1] and want[o] >= v for o in want if o[0])
     }
-    got = {(frozenset(t), v): c for t, v, c, _ in found.rules}
+    got = {(frozenset(t), v): c for t, v, c, _ in found.expanded()}
     assert got == least
     judged = frame.select("url", "tokens", urls.mined_verdict(F.col("tokens"), found).alias("m")).collect()
     for r in judged:
@@ -84,11 +84,26 @@ def test_many_common_tokens_leave_the_other_rules(spark):
     rows += [("block" if i % 20 else "allow", ["path0:spam", f"host0:{i % 7}"]) for i in range(400)]
     rows += [("allow", ["path0:en", f"host0:{i % 7}"]) for i in range(580)]
     frame = spark.createDataFrame([(f"http://u/{i}", t, v) for i, (v, t) in enumerate(rows)], "url string, tokens array<string>, verdict string")
-    found = {(t, v): c for t, v, c, _ in urls.mine(frame).rules}
+    found = {(t, v): c for t, v, c, _ in urls.mine(frame).expanded()}
     assert found[("path0:spam",), "block"] == 0.95
     assert {t for t, v in found if any(x.startswith("key:") for x in t)} == {(f"key:{k}",) for k in range(14)}
     copies = frame.unionByName(frame.where("verdict = 'block'").selectExpr("url", "tokens", "verdict", "explode(sequence(1, 50))").drop("col"))
-    assert {(t, v): c for t, v, c, _ in urls.mine(copies).rules} == found
+    assert {(t, v): c for t, v, c, _ in urls.mine(copies).expanded()} == found
+
+
+def test_tokens_that_occur_together_are_mined_as_one(spark):
+    """25 shared keys cost no more than one, and any of them satisfies a rule; pairs with another token stay."""
+    keys = [f"key:{k}" for k in range(25)]
+    rows = [("block" if i % 2 else "allow", [*keys, "path0:en" if i % 2 else "path0:fr"]) for i in range(200)]
+    rows += [("allow", ["path0:en", f"path1:{i}"]) for i in range(200)] + [("block", ["path0:fr", f"path1:{i}"]) for i in range(200)]
+    frame = spark.createDataFrame([(f"http://u/{i}", t, v) for i, (v, t) in enumerate(rows)], "url string, tokens array<string>, verdict string")
+    found = urls.mine(frame)
+    expanded = {(t, v) for t, v, *_ in found.expanded()}
+    assert {((k, "path0:en"), "block") for k in keys} | {((k, "path0:fr"), "allow") for k in keys} <= expanded
+    assert len(found.rules) < 10
+    some = spark.createDataFrame([(["key:7", "path0:en"],), (["key:7", "key:9", "path0:fr"],), (["path0:en"],)], "tokens array<string>")
+    got = [tuple(r.m) for r in some.select(urls.mined_verdict(F.col("tokens"), found).alias("m")).collect()]
+    assert got[0] == ("block", "key:7 path0:en") and got[1] == ("allow", "key:9 path0:fr")
 
 
 def test_odd_rows(spark):
