@@ -15,7 +15,7 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -131,31 +131,37 @@ class Vocabulary:
         return [word for word, _ in split.pre_tokenize_str(normalised)]
 
 
-def _ranges(codes: list[int]) -> str:
-    """A regular expression's set of the code points (ascending), without the brackets."""
-    starts = [c for c, before in zip(codes, [-2, *codes]) if c != before + 1]
-    ends = [c for c, after in zip(codes, [*codes[1:], -2]) if after != c + 1]
-    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends))
+def _ranges(codes: Iterable[int]) -> str:
+    """A regular expression's set of the code points (ascending), without the brackets; holds the ranges alone."""
+    out: list[str] = []
+    start = end = -2
+    for code in codes:
+        if code != end + 1:
+            if end >= 0:
+                out.append(f"{re.escape(chr(start))}-{re.escape(chr(end))}")
+            start = code
+        end = code
+    if end >= 0:
+        out.append(f"{re.escape(chr(start))}-{re.escape(chr(end))}")
+    return "".join(out)
 
 
 def _compiled(pattern: str, ascii_only: bool) -> re.Pattern:
     """A pattern with \\p{L}, \\p{N} and \\s for Python's `re`, which knows no such classes."""
-    limit = 0x80 if ascii_only else 0x110000
-    classes = {r"\p{L}": [], r"\p{N}": [], r"\s": []}
-    for code in range(limit):
-        kind = unicodedata.category(chr(code))
-        if kind[0] in "LN":
-            classes[f"\\p{{{kind[0]}}}"].append(code)
-        elif kind[0] == "Z" or 9 <= code <= 13 or code == 0x85:
-            classes[r"\s"].append(code)
-    for name, codes in classes.items():
-        pattern = pattern.replace(name, _ranges(codes))
-    return re.compile(pattern)
+    codes, kind = range(0x80 if ascii_only else 0x110000), unicodedata.category
+
+    def blank(code: int) -> bool:
+        return 9 <= code <= 13 or code == 0x85 or kind(chr(code))[0] == "Z"
+
+    for name in ("L", "N"):
+        if f"\\p{{{name}}}" in pattern:
+            pattern = pattern.replace(f"\\p{{{name}}}", _ranges(c for c in codes if kind(chr(c))[0] == name))
+    return re.compile(pattern.replace(r"\s", _ranges(filter(blank, codes))))
 
 
 @lru_cache(maxsize=1)
 def _newer() -> re.Pattern:
-    return re.compile("[" + _ranges([c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]) + "]")
+    return re.compile("[" + _ranges(c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn") + "]")
 
 
 def is_newer(word) -> bool:

@@ -32,8 +32,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+BATCH_BYTES = "8m"
+
+
 def reach(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the session was started."""
+    """Let Python workers import this package wherever the session was started.
+
+    A row is a whole document here, so batches for Python workers are cut by bytes, unless the
+    session has a limit of its own.
+    """
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(limit):
+        spark.conf.set(limit, BATCH_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
