@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from checks import provider_documents as docs
 from checks.registry import check, table
 from millrace import session
-from millrace.operators import versions
 from millrace.plans import dimensions, resource_specs, resources
-from millrace.sources import tables
+from millrace.sources import keyed, newest
 
 LOAD_DAY = "2024-09-09"
 
@@ -369,7 +368,7 @@ def fhir_incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     first = raw.where("load_dt = date'2024-01-02'")
     for arrived in (first, raw, raw):
         resources.load_resource(spark, arrived, resource_specs.PRACTITIONER, target, log, buckets=8)
-    return tables.read_keyed(spark, target).select("file_record_id", "version_id", "load_dt")
+    return keyed.read_keyed(spark, target).select("file_record_id", "version_id", "load_dt")
 
 
 @check(
@@ -385,9 +384,11 @@ def late_version(spark: SparkSession, folder: str) -> DataFrame:
     raw = table(spark, folder, "orders").select(
         F.col("o_custkey").cast("string").alias("record"), "o_orderkey", "o_orderdate", "o_orderstatus"
     )
-    done = raw.where("o_orderstatus <> 'P'")
-    batch = versions.gate_new_slices(raw, done, "o_orderstatus")
-    return versions.latest_versions(raw, ["record"], "o_orderdate", within=batch).select("record", "o_orderkey")
+    known = newest.NewestVersions(spark, session.scratch_path(spark, "newest"), ["record"], "o_orderdate", buckets=8)
+    slices = raw.select("o_orderstatus").distinct()
+    late = F.col("o_orderstatus") == "P"
+    known.merge(newest.within_slices(raw, slices.where(~late), "o_orderstatus"), "before")
+    return known.merge(newest.within_slices(raw, slices.where(late), "o_orderstatus"), "late").select("record", "o_orderkey")
 
 
 # --- dimensions --------------------------------------------------------------------

@@ -10,7 +10,7 @@ from checks.registry import check, table
 from millrace import session
 from millrace.functions import text
 from millrace.plans import archive, extract, feedback
-from millrace.sources import delimited, ndjson, tables
+from millrace.sources import delimited, keyed, ndjson, tables
 from millrace.streaming import incremental
 
 DAY = "2024-03-01"
@@ -450,8 +450,8 @@ def keyed_replace(spark: SparkSession, folder: str) -> DataFrame:
     orders = keyed_orders(spark, folder)
     padded = orders.where("not fresh").withColumn("key", F.concat("key", F.lit("  ")))
     for batch in (padded, orders.where("fresh")):
-        tables.replace_keys(batch, target, ["key"], session.scratch_path(spark, "keyed-staged"))
-    return tables.read_keyed(spark, target).withColumn("key", F.trim("key"))
+        keyed.replace_keys(batch, target, ["key"], session.scratch_path(spark, "keyed-staged"))
+    return keyed.read_keyed(spark, target).withColumn("key", F.trim("key"))
 
 
 @check("incremental_upsert", REPLACED_SQL)
@@ -462,7 +462,7 @@ def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
         if arrived is not None:
             arrived.write.mode("append").parquet(root)
         incremental.upsert_new_files(spark, root, orders.schema, target, state, ["key"], lambda new: new, buckets=8)
-    return tables.read_keyed(spark, target)
+    return keyed.read_keyed(spark, target)
 
 
 @check(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators import projection
 from millrace.plans import extract
 from millrace.sources import runs, tables
+from millrace.sources.generations import Generations
 
 TRUNCATE_LOAD = "TRUNCATE_LOAD"
 MONTHLY = "MONTHLY"
@@ -104,18 +105,25 @@ def archive_one(spark: SparkSession, row: Row, places: Places, day: Column, run_
     return audit, error is None
 
 
+def control_state(spark: SparkSession, control: str) -> Generations:
+    """The tables `config` and `totals`, which change together."""
+    return Generations(spark, f"{control}/state")
+
+
 def control_table(spark: SparkSession, control: str, name: str) -> DataFrame:
     """Newest state of a stored control table: `config`, `totals`; all rows of `audit` and `extracts`."""
     path, layout = f"{control}/{name}", {"audit": AUDIT, "extracts": extract.REPORT}.get(name)
-    if layout and not tables.path_exists(spark, path):
-        return spark.createDataFrame([], layout)
-    return spark.read.schema(layout).parquet(path) if layout else spark.read.parquet(path)
+    if layout is None:
+        stored = control_state(spark, control).table(name)
+        if stored is None:
+            raise FileNotFoundError(f"no control table {name} at {control}")
+        return stored
+    return spark.read.schema(layout).parquet(path) if tables.path_exists(spark, path) else spark.createDataFrame([], layout)
 
 
-def store_control(spark: SparkSession, control: str, config: DataFrame, totals: DataFrame) -> None:
-    """Set up the control tables that `run_archive` reads and updates."""
-    config.write.mode("overwrite").parquet(f"{control}/config")
-    totals.write.mode("overwrite").parquet(f"{control}/totals")
+def store_control(spark: SparkSession, control: str, config: DataFrame, totals: DataFrame, run_id: str = "") -> None:
+    """Add a generation of the control tables that `run_archive` reads and updates: both of them or, after a crash, neither."""
+    control_state(spark, control).write({"config": config.coalesce(1), "totals": totals.coalesce(1)}, run_id)
 
 
 def run_archive(
@@ -133,14 +141,10 @@ def run_archive(
     A copy that fails gets a FAILED audit row and keeps its trigger; the others
     are done and their triggers cleared, in the stored tables. The triggered
     rows are stored as pending work first, so that a run that died is repeated
-    under its own run id and appends nothing twice.
+    under its own run id and appends nothing twice. Config and totals change in
+    one step (`store_control`).
     """
-    def current(name: str) -> DataFrame:
-        # small tables, taken apart from the files that are about to be overwritten
-        stored = control_table(spark, control, name)
-        return spark.createDataFrame(stored.collect(), stored.schema)
-
-    config, totals = current("config"), current("totals")
+    config, totals = (control_table(spark, control, name) for name in ("config", "totals"))
     waiting = runs.PendingWork(spark, f"{control}/pending")
     work = waiting.stored() or waiting.begin(pending(config))
     if work is not None:
@@ -170,6 +174,6 @@ def run_archive(
         config = clear_triggers(config, [row.target_table_name for row in done])
         for name in dict.fromkeys(row.source_table_name for row in done):
             totals = close_control_totals(totals, config, name)
-        store_control(spark, control, config, totals)
+        store_control(spark, control, config, totals, run_id)
         waiting.finish()
     return {name: control_table(spark, control, name) for name in ("audit", "config", "totals", "extracts")}

@@ -4,13 +4,14 @@ Each resource is described by data (`resource_specs`): what to parse, which
 arrays fold to columns, which arrays become row keys. One plan runs them all:
 
 1. keep the load slices the target lacks, and of those the newest version of
-   each record (newest over *all* raw rows, so a late old file changes nothing);
+   each record (newest over *all* raw rows, so a late old file changes nothing;
+   loads keep a table of the newest versions for that, see `sources.newest`);
 2. parse the JSON once into typed structs holding only the fields read;
 3. fold every independent array inside the row (`functions.nested`);
 4. unfold only arrays that provide grouping keys, then aggregate by key, which
    merges documents tied on their modification time;
 5. one row per network where the resource asks for it;
-6. replace the target rows of the same records (`sources.tables.replace_keys`).
+6. replace the target rows of the same records (`sources.keyed.replace_keys`).
 """
 
 from __future__ import annotations
@@ -22,10 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace import session
 from millrace.functions import nested, text
 from millrace.operators import versions
-from millrace.sources import runs, tables
+from millrace.sources import keyed, newest, runs, tables
 
 RECORD_KEYS = ["file_record_id", "file_export_type"]
 EXPORT_SEGMENT = 3
@@ -153,39 +153,36 @@ def load_resource(
     log: str,
     buckets: int | None = None,
     gate: str = "load_dt",
+    arrived: DataFrame | None = None,
 ) -> DataFrame:
     """Bring the flat table at `target` up to date with `raw`; returns the slices that were processed.
 
     `log` holds the processed values of `gate`: load dates for a raw table that
-    is filled once a day, `ingest_batch` for one that grows at any time. The
-    pending slices are stored before the target is touched and logged after it
-    was replaced. A run that died is taken up by the next one with the same
-    slices and the same staged copy, also if more has arrived meanwhile. A slice
-    whose rows were all superseded later still counts as processed.
+    is filled once a day, `ingest_batch` for one that grows at any time. Slices
+    to load are those of `arrived` (a table with a column `gate`), else all of
+    `raw`, that the log lacks. Only their rows are read in full: which of them
+    are the newest of their record anywhere comes from a stored table beside the
+    log (`sources.newest`), built once from the slices logged so far where it is
+    missing. The pending slices are stored before the target is touched and
+    logged after it was replaced; a run that died is taken up by the next one
+    with the same slices, also if more has arrived meanwhile. A slice whose rows
+    were all superseded later still counts as processed.
     """
     kind = raw.schema[gate].dataType
     rows = with_export_type(raw.where(F.col("file_resource_type") == resource.kind))
+    layout = T.StructType([T.StructField(gate, kind)])
+    processed = spark.read.parquet(log) if tables.path_exists(spark, log) else spark.createDataFrame([], layout)
     pending = runs.PendingWork(spark, f"{log}_work/pending")
-    work = pending.stored()
+    work = pending.stored() or pending.begin(versions.new_slices(rows if arrived is None else arrived, processed, gate))
     if work is None:
-        processed = (
-            spark.read.parquet(log)
-            if tables.path_exists(spark, log)
-            else spark.createDataFrame([], T.StructType([T.StructField(gate, kind)]))
-        )
-        work = pending.begin(versions.new_slices(rows, processed, gate))
-    if work is None:
-        return spark.createDataFrame([], T.StructType([T.StructField(gate, kind)]))
+        return spark.createDataFrame([], layout)
     slices, run = work
-    staging = f"{log}_work/staged-{run}"
-    new = slices.select(F.col(gate).alias("_slice"))
-    batch = rows.join(new, F.col(gate).eqNullSafe(F.col("_slice")), "left_semi")
-    newest = versions.latest_versions(rows, resource.latest_by, "file_last_modified", within=batch)
-    with session.workspace(spark) as settle:
-        flat = settle(flatten_documents(newest, resource), resource.kind.lower())
-        tables.replace_keys(flat, target, RECORD_KEYS, staging, buckets)
-    slices.write.mode("append").parquet(log)
-    done = spark.createDataFrame(slices.collect(), slices.schema)  # one short value for each slice
+    known = newest.NewestVersions(spark, f"{log}_work/newest", resource.latest_by, "file_last_modified", buckets)
+    if not known.exists() and not processed.isEmpty():
+        known.merge(newest.within_slices(rows, processed, gate), "before")
+    chosen = known.merge(newest.within_slices(rows, slices, gate), run)
+    keyed.replace_keys(flatten_documents(chosen, resource), target, RECORD_KEYS, run, buckets)
+    new = spark.createDataFrame(slices.collect(), slices.schema)  # one short value for each slice
+    new.join(processed.alias("p"), new[gate].eqNullSafe(F.col(f"p.{gate}")), "left_anti").write.mode("append").parquet(log)
     pending.finish()
-    tables.release_staging(spark, staging)
-    return done
+    return new

@@ -5,12 +5,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from millrace import session
-from millrace.sources import tables
-
-RUN_ID = "run_id"
+from millrace.sources.generations import Generations
 
 
 class PendingWork:
@@ -18,24 +14,23 @@ class PendingWork:
 
     A run that dies leaves its work behind; the next one takes up the same work
     under the same run id, whatever else has arrived meanwhile, so everything
-    written under that id is overwritten instead of added again.
+    written under that id is overwritten instead of added again. Work counts as
+    stored once all of it is (`generations`).
     """
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.generations = Generations(spark, folder)
 
     def stored(self) -> tuple[DataFrame, str] | None:
         """Work left behind by a run that did not end, with its id."""
-        if not tables.is_complete(self.spark, self.folder):
-            return None
-        items = self.spark.read.parquet(self.folder)
-        first = items.select(RUN_ID).first()
-        return (items.drop(RUN_ID), first[RUN_ID]) if first else None
+        mark = self.generations.newest()
+        items = self.generations.table("items", mark) if mark else None
+        return (items, mark.note) if items is not None and not items.isEmpty() else None
 
     def begin(self, items: DataFrame) -> tuple[DataFrame, str] | None:
         """Store new work; None if there is nothing to do."""
-        items.withColumn(RUN_ID, F.lit(uuid.uuid4().hex)).write.mode("overwrite").parquet(self.folder)
+        self.generations.write({"items": items}, uuid.uuid4().hex)
         return self.stored()
 
     def finish(self) -> None:
-        session.release(self.spark.read.parquet(self.folder), self.folder)
+        self.generations.write({})

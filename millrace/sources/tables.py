@@ -10,11 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.operators import versions
 
-BUCKET = "key_bucket"
-BUCKETS = 64
-LAYOUT = "_layout"
 RUN = "load_run"
 
 
@@ -29,11 +25,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to the folder ran to its end."""
-    return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
-
-
 def append_dated(source: DataFrame, target: str, load_date: Column, run: str, truncate: bool = False) -> None:
     """Copy all rows with a load date, under the partition of the run; `truncate` empties the target first.
 
@@ -97,78 +88,6 @@ def _same(columns: Sequence[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def key_bucket(keys: Sequence[str], buckets: int) -> Column:
-    """Partition number of a trimmed key."""
-    return F.pmod(F.xxhash64(*[F.trim(F.col(k)) for k in keys]), F.lit(buckets)).cast("int")
-
-
-def read_keyed(spark: SparkSession, target: str) -> DataFrame:
-    """A table written by `replace_keys`, without its partition column."""
-    return spark.read.parquet(target).drop(BUCKET)
-
-
-def stored_buckets(spark: SparkSession, target: str) -> int | None:
-    """The number of buckets a keyed table was laid out with; None for a new table."""
-    path = f"{target.rstrip('/')}/{LAYOUT}"
-    return spark.read.schema("buckets int").json(path).first().buckets if is_complete(spark, path) else None
-
-
-def _store_buckets(spark: SparkSession, target: str, buckets: int) -> None:
-    layout = spark.range(1).select(F.lit(buckets).alias("buckets"))
-    layout.write.mode("overwrite").json(f"{target.rstrip('/')}/{LAYOUT}")
-
-
-def rebucket(spark: SparkSession, target: str, copy: str, keys: Sequence[str], buckets: int) -> None:
-    """Write a keyed table to `copy` with another number of buckets, for a table that has outgrown its own.
-
-    Some 256 MB to a bucket keep a replacement cheap. Readers switch to the copy.
-    """
-    rows = read_keyed(spark, target).withColumn(BUCKET, key_bucket(keys, buckets))
-    replace_slices(rows.hint("rebalance", BUCKET), copy, [BUCKET])
-    _store_buckets(spark, copy, buckets)
-
-
-def replace_keys(
-    batch: DataFrame, target: str, keys: Sequence[str], staging: str, buckets: int | None = None
-) -> None:
-    """Delete target rows whose trimmed key is in the batch, then add the batch.
-
-    The target is partitioned by a hash of the key and only buckets the batch
-    touches are rewritten. Their number is stored with the table when it is made
-    (`buckets`, else BUCKETS); asking for another one later is an error, since
-    keys would be looked for in the wrong place (see `rebucket`). The new content
-    is first written in full to `staging` and only then swapped in by a partition
-    overwrite. Running the step again, also after a crash between the two writes,
-    continues from the finished staged copy and gives the same table, so
-    `staging` must be a fresh path per batch and the same one for every attempt.
-    The rebalance hint splits a bucket that holds a hot key over several tasks
-    and merges small ones.
-    """
-    spark = batch.sparkSession
-    layout = [*batch.columns, BUCKET]
-    stored = stored_buckets(spark, target)
-    if stored and buckets and stored != buckets:
-        raise ValueError(f"{target} has {stored} buckets, not {buckets}")
-    count = stored or buckets or BUCKETS
-    if stored is None:
-        _store_buckets(spark, target, count)
-    if not is_complete(spark, staging):
-        fresh = batch.withColumn(BUCKET, key_bucket(keys, count))
-        if stored:
-            # at most `count` numbers: a plain list prunes the scan to their partitions
-            numbers = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
-            schema = spark.createDataFrame([], batch.schema).withColumn(BUCKET, F.lit(0)).schema
-            touched = spark.read.schema(schema).parquet(target).where(F.col(BUCKET).isin(numbers))
-            fresh = versions.without_keys(touched, batch, keys).select(*layout).unionByName(fresh)
-        fresh.hint("rebalance", BUCKET).write.mode("overwrite").parquet(staging)
-    replace_slices(spark.read.parquet(staging), target, [BUCKET])
-
-
-def release_staging(spark: SparkSession, staging: str) -> None:
-    """Empty the staged copy of a batch that has been swapped in; a repeated attempt then changes nothing."""
-    session.release(spark.read.parquet(staging), staging)
-
-
 def export_csv(rows: DataFrame, target: str) -> None:
     """Write with a header line, one folder of part files."""
     rows.write.mode("overwrite").option("header", True).csv(target)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.sources import ndjson, tables
+from millrace.sources import keyed, ndjson, tables
 
 
 # A file counts as new until it was loaded, however old it is dated (the source would forget it after a week).
@@ -80,15 +80,12 @@ def upsert_new_files(
 ) -> None:
     """Shape new Parquet files under `root` and replace the target rows of the same keys.
 
-    The staged copy of a batch lies next to the checkpoint under its batch id,
-    which makes a replayed batch continue from it (see `tables.replace_keys`).
+    A micro-batch is named by its checkpoint and number, so one that is replayed
+    after it was done changes nothing (see `keyed.replace_keys`).
     """
 
     def replace(new: DataFrame, batch_id: int) -> None:
-        staging = f"{checkpoint}/staged/{batch_id}"
-        with session.workspace(spark) as settle:
-            tables.replace_keys(settle(shape(new), "upsert"), target, keys, staging, buckets)
-        tables.release_staging(spark, staging)
+        keyed.replace_keys(shape(new), target, keys, f"{checkpoint}/{batch_id}", buckets)
 
     stream = file_stream(spark, archive).schema(schema).option("recursiveFileLookup", "true").parquet(root)
     run_to_end(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import session
 from millrace.plans import dimensions, history, resource_specs, resources
-from millrace.sources import tables
+from millrace.sources import keyed
 
 RAW = (
     "file_name string, file_row_number bigint, file_content_key string, file_last_modified timestamp, "
@@ -135,7 +135,7 @@ def test_late_old_version_changes_nothing(spark):
     target, log = session.scratch_path(spark, "loc"), session.scratch_path(spark, "log")
     resources.load_resource(spark, raw_of(spark, new), spec, target, log, buckets=4)
     resources.load_resource(spark, raw_of(spark, new, old), spec, target, log, buckets=4)
-    assert [r["prov_dba_name"] for r in tables.read_keyed(spark, target).collect()] == ["new"]
+    assert [r["prov_dba_name"] for r in keyed.read_keyed(spark, target).collect()] == ["new"]
     assert spark.read.parquet(log).count() == 2
     assert resources.load_resource(spark, raw_of(spark, new, old), spec, target, log, buckets=4).isEmpty()
 
@@ -144,30 +144,51 @@ def place(n, name, modified, day):
     return raw_row({"id": f"l{n}", "resourceType": "Location", "name": name}, modified=modified, slice_day=day)
 
 
-def test_a_load_that_died_in_the_swap_is_finished(spark, monkeypatch):
-    """Part of the target is gone and more has arrived: the next run still takes up the first one's staged copy."""
+@pytest.mark.parametrize("lost", ["merge", "replace", "log"])
+def test_a_load_that_died_is_finished(spark, monkeypatch, lost):
+    """Death after the newest versions, the target or before the log, and more has arrived: the next run takes it up."""
     spec = resource_specs.LOCATION
     target, log = session.scratch_path(spark, "loc"), session.scratch_path(spark, "log")
     old = [place(n, "old", 1, 1) for n in range(12)]
     new = [place(n, "new", 5, 2) for n in range(3)]
     resources.load_resource(spark, raw_of(spark, *old), spec, target, log, buckets=4)
-
-    def die(rows, path, by, *rest):
-        gone = rows.limit(0).unionByName(rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields[:-1]], "key_bucket").distinct())
-        gone.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-        raise RuntimeError("lost")
-
     with monkeypatch.context() as broken:
-        broken.setattr(tables, "replace_slices", die)
-        with pytest.raises(RuntimeError):
+        if lost == "merge":
+            broken.setattr(keyed, "replace_keys", lambda *args: 1 / 0)
+        elif lost == "replace":
+            broken.setattr(keyed.KeyedTable, "_fold", lambda *args: 1 / 0)
+        else:
+            broken.setattr(resources.runs.PendingWork, "finish", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
             resources.load_resource(spark, raw_of(spark, *old, *new), spec, target, log)
-    assert tables.read_keyed(spark, target).where("prov_dba_name is not null").count() < 12
     more = [place(20, "more", 9, 3)]
     for _ in range(2):
         resources.load_resource(spark, raw_of(spark, *old, *new, *more), spec, target, log)
-    names = sorted(r["prov_dba_name"] for r in tables.read_keyed(spark, target).collect())
+    names = sorted(r["prov_dba_name"] for r in keyed.read_keyed(spark, target).collect())
     assert names == ["more"] + ["new"] * 3 + ["old"] * 9
-    assert spark.read.parquet(f"{log}_work/pending").count() == 0
+    assert spark.read.parquet(log).count() == 3
+    assert resources.runs.PendingWork(spark, f"{log}_work/pending").stored() is None
+
+
+def test_a_load_reads_only_its_own_slices(spark, tmp_path):
+    """Old slices may be gone from the raw table: the newest versions are known; a late old one changes nothing."""
+    spec = resource_specs.LOCATION
+    target, log, path = session.scratch_path(spark, "loc"), session.scratch_path(spark, "log"), str(tmp_path / "raw")
+
+    def arrive(*rows):
+        raw_of(spark, *rows).write.mode("append").partitionBy("load_dt").parquet(path)
+        return spark.read.parquet(path)
+
+    raw = arrive(*[place(n, "new", 7, 2) for n in range(6)])
+    resources.load_resource(spark, raw, spec, target, log, buckets=4)
+    for f in (tmp_path / "raw").rglob("load_dt=*/*.parquet"):
+        f.write_bytes(b"not readable any more")
+    late = raw_of(spark, *[place(n, "late" if n < 3 else "newer", 3 if n < 3 else 9, 4) for n in range(5)])
+    late.write.mode("append").partitionBy("load_dt").parquet(path)
+    raw = spark.read.schema(raw.schema).parquet(path)
+    resources.load_resource(spark, raw, spec, target, log, arrived=late.select("load_dt"))
+    names = sorted(r["prov_dba_name"] for r in keyed.read_keyed(spark, target).collect())
+    assert names == ["new"] * 4 + ["newer"] * 2
 
 
 def test_documents_of_a_processed_day_are_loaded_by_their_batch(spark):
@@ -177,7 +198,7 @@ def test_documents_of_a_processed_day_are_loaded_by_their_batch(spark):
     second = raw_of(spark, place(2, "two", 1, 1)).withColumn("ingest_batch", F.lit(1))
     for raw in (first, first.unionByName(second), first.unionByName(second)):
         resources.load_resource(spark, raw, spec, target, log, gate="ingest_batch")
-    assert sorted(r["prov_dba_name"] for r in tables.read_keyed(spark, target).collect()) == ["one", "two"]
+    assert sorted(r["prov_dba_name"] for r in keyed.read_keyed(spark, target).collect()) == ["one", "two"]
     assert spark.read.parquet(log).count() == 2
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import time
 
 import pytest
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from millrace import session
 from millrace.operators import versions
 from millrace.plans import archive, extract, feedback
-from millrace.sources import delimited, ndjson, tables
+from millrace.sources import delimited, generations, keyed, ndjson, newest, tables
 from millrace.streaming import incremental
 
 
@@ -168,42 +169,148 @@ def test_a_load_that_died_is_repeated_without_doubling(spark, tmp_path, monkeypa
     assert sorted(r["k"] for r in tables.read_runs(spark, target).collect()) == [1, 2]
 
 
-def test_replace_is_idempotent_and_resumes(spark):
+def test_replace_is_idempotent(spark):
     old = spark.createDataFrame([("a ", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
     new = spark.createDataFrame([("a", 10), ("c", 11)], "k string, v int")
     target, staging = session.scratch_path(spark, "t"), session.scratch_path(spark, "s")
-    tables.replace_keys(old, target, ["k"], session.scratch_path(spark, "s"), buckets=4)
+    keyed.replace_keys(old, target, ["k"], session.scratch_path(spark, "s"), buckets=4)
     for _ in range(3):
-        tables.replace_keys(new, target, ["k"], staging, buckets=4)
-    rows = sorted(map(tuple, tables.read_keyed(spark, target).collect()), key=str)
+        keyed.replace_keys(new, target, ["k"], staging, buckets=4)
+    rows = sorted(map(tuple, keyed.read_keyed(spark, target).collect()), key=str)
     assert rows == sorted([("a", 10), ("c", 11), ("b", 3), (None, 4)], key=str)
 
 
-def test_replace_resumes_after_a_lost_partition(spark):
-    """A crash during the swap may lose target partitions; the staged copy brings them back."""
-    old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
-    new = spark.createDataFrame([("a", 3)], "k string, v int")
-    target, staging = session.scratch_path(spark, "t"), session.scratch_path(spark, "s")
-    tables.replace_keys(old, target, ["k"], session.scratch_path(spark, "s"), buckets=1)
-    tables.replace_keys(new, target, ["k"], staging, buckets=1)
-    # the swap is undone as if it had stopped halfway: the bucket holds nothing useful
-    tables.replace_slices(spark.read.parquet(staging).limit(0).unionByName(
-        spark.createDataFrame([("junk", 0, 0)], "k string, v int, key_bucket int")), target, ["key_bucket"])
-    tables.replace_keys(new, target, ["k"], staging, buckets=1)
-    assert sorted(map(tuple, tables.read_keyed(spark, target).collect())) == [("a", 3), ("b", 2)]
+STEPS = ["_write", "_store", "_fold"]
+
+
+@pytest.mark.parametrize("markers", ["true", "false"])
+@pytest.mark.parametrize("moment", ["before", "after"])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_replacement_that_died_is_all_or_nothing(spark, monkeypatch, step, moment, markers):
+    """Death before or after each step, with and without success markers: old rows or new ones, never a part."""
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", markers)
+    try:
+        target = session.scratch_path(spark, "t")
+        old = spark.createDataFrame([(str(i), i) for i in range(20)], "k string, v int")
+        new = spark.createDataFrame([("3", 103), ("30", 130)], "k string, v int")
+        keyed.replace_keys(old, target, ["k"], "one", buckets=4)
+        real = getattr(keyed.KeyedTable, step)
+
+        def die(self, *args, **options):
+            if moment == "after":
+                real(self, *args, **options)
+            raise RuntimeError("lost")
+
+        before = sorted(map(tuple, old.collect()))
+        after = sorted([r for r in before if r[0] != "3"] + [("3", 103), ("30", 130)])
+        with monkeypatch.context() as broken:
+            broken.setattr(keyed.KeyedTable, step, die)
+            with pytest.raises(RuntimeError):
+                keyed.replace_keys(new, target, ["k"], "two")
+        assert sorted(map(tuple, keyed.read_keyed(spark, target).collect())) in (before, after)
+        for _ in range(2):
+            keyed.replace_keys(new, target, ["k"], "two")
+            assert sorted(map(tuple, keyed.read_keyed(spark, target).collect())) == after
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_tables_without_success_markers_lose_nothing(spark):
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        target = session.scratch_path(spark, "t")
+        keyed.replace_keys(spark.createDataFrame([(str(i), i) for i in range(20)], "k string, v int"), target, ["k"], "a", buckets=2)
+        keyed.replace_keys(spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int"), target, ["k"], "b")
+        assert keyed.read_keyed(spark, target).count() == 22
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_a_batch_writes_itself_alone(spark, tmp_path):
+    target = str(tmp_path / "t")
+    keyed.replace_keys(spark.range(20_000).selectExpr("cast(id as string) as k", "id as v"), target, ["k"], "base", buckets=16)
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "t" / "data").rglob("*.parquet")}
+
+    before = files()
+    keyed.replace_keys(spark.range(300).selectExpr("cast(id as string) as k", "-id as v"), target, ["k"], "few")
+    after = files()
+    assert before.items() <= after.items()
+    added = spark.read.parquet(*[str(f) for f in after.keys() - before.keys()])
+    assert added.count() == 300
+    assert keyed.read_keyed(spark, target).agg(F.sum("v")).first()[0] == sum(range(300, 20_000)) - sum(range(300))
+
+
+def test_folding_keeps_the_rows_and_bounds_the_batches(spark, tmp_path):
+    rnd = random.Random(5)
+    target, want = str(tmp_path / "t"), {}
+    for n in range(14):
+        size = 400 if n == 0 else rnd.choice([1, 3, 60])
+        batch = [(str(rnd.randrange(500)) + " " * rnd.randrange(2), n) for _ in range(size)]
+        for k in {k.strip() for k, _ in batch}:
+            want[k] = sum(x.strip() == k for x, _ in batch)
+        want = want | {None: want.get(None, 0) + 1}  # rows without a key are never replaced
+        frame = spark.createDataFrame([*batch, (None, n)], "k string, v int")
+        keyed.replace_keys(frame, target, ["k"], f"batch {n}", buckets=4)
+        state = keyed.KeyedTable(spark, target).manifest()
+        assert len(state.batches) <= keyed.MAX_BATCHES
+        found = keyed.read_keyed(spark, target).groupBy(F.trim("k").alias("k")).count().collect()
+        assert {r.k: r["count"] for r in found} == want
+    held = keyed.KeyedTable(spark, target).read([1, 2], with_bucket=True)
+    assert {r[0] for r in held.select("key_bucket").distinct().collect()} == {1, 2}
+    every = keyed.KeyedTable(spark, target).read(with_bucket=True).where("key_bucket in (1, 2)")
+    assert held.count() == every.count()
+
+
+def test_data_without_a_manifest_is_refused(spark, tmp_path):
+    spark.range(3).selectExpr("cast(id as string) as k").write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        keyed.replace_keys(spark.createDataFrame([("a",)], "k string"), str(tmp_path / "t"), ["k"], "a")
+
+
+@pytest.mark.parametrize("step", ["table", "mark"])
+def test_a_generation_that_died_leaves_the_one_before(spark, monkeypatch, step):
+    state = generations.Generations(spark, session.scratch_path(spark, "g"))
+    one, two = (spark.createDataFrame([(n,)], "v int") for n in (1, 2))
+    state.write({"a": one, "b": one}, "first")
+    with monkeypatch.context() as broken:
+        if step == "mark":
+            broken.setattr(generations.Generations, "_mark", lambda *args: 1 / 0)
+        frames = {"a": two, "b": two if step == "mark" else two.select(F.raise_error(F.lit("lost")).alias("v"))}
+        with pytest.raises(Exception):
+            state.write(frames, "second")
+    assert state.newest().note == "first" and [state.table(x).first().v for x in "ab"] == [1, 1]
+    for n in range(4):
+        state.write({"a": two}, f"again {n}")
+    assert state.table("a").first().v == 2 and state.table("b") is None and state.newest().note == "again 3"
+
+
+def test_newest_versions_equal_the_full_computation(spark):
+    """Slices in any order, ties, NULL keys and clocks: each merge gives what grouping the whole history would."""
+    rnd = random.Random(9)
+    known = newest.NewestVersions(spark, session.scratch_path(spark, "n"), ["a", "b"], "clock", buckets=4)
+    seen = spark.createDataFrame([], "a string, b string, clock int, v int, s int")
+    for n in range(6):
+        rows = [(rnd.choice(["x", "x ", "y", None]), rnd.choice(["1", "2", None]), rnd.choice([None, *range(8)]), rnd.randrange(99), n) for _ in range(25)]
+        batch = spark.createDataFrame(rows, seen.schema)
+        seen = seen.unionByName(batch)
+        want = sorted(map(str, versions.latest_versions(seen, ["a", "b"], "clock", within=batch).collect()))
+        for _ in range(2):
+            assert sorted(map(str, known.merge(batch, f"batch {n}").collect())) == want
 
 
 def test_another_bucket_count_is_refused(spark):
     rows = spark.createDataFrame([(str(i), i) for i in range(20)], "k string, v int")
     target, copy = session.scratch_path(spark, "t"), session.scratch_path(spark, "t")
-    tables.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"), buckets=8)
+    keyed.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"), buckets=8)
     with pytest.raises(ValueError):
-        tables.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"), buckets=64)
-    tables.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"))
-    tables.rebucket(spark, target, copy, ["k"], 3)
-    tables.replace_keys(rows, copy, ["k"], session.scratch_path(spark, "s"))
-    assert tables.stored_buckets(spark, copy) == 3
-    assert tables.read_keyed(spark, target).count() == tables.read_keyed(spark, copy).count() == 20
+        keyed.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"), buckets=64)
+    keyed.replace_keys(rows, target, ["k"], session.scratch_path(spark, "s"))
+    keyed.rebucket(spark, target, copy, ["k"], 3)
+    keyed.replace_keys(rows, copy, ["k"], session.scratch_path(spark, "s"))
+    assert keyed.stored_buckets(spark, copy) == 3
+    assert keyed.read_keyed(spark, target).count() == keyed.read_keyed(spark, copy).count() == 20
 
 
 def test_null_and_emptied_slices_are_refreshed(spark, tmp_path):
@@ -275,6 +382,40 @@ def test_a_failed_copy_leaves_the_others_done(spark, tmp_path):
     assert not any(r["run_backup_trigger_ind"] for r in result["config"].collect())
 
 
+@pytest.mark.parametrize("moment", ["config", "totals", "mark", "after"])
+def test_a_run_that_died_storing_its_control_tables(spark, tmp_path, monkeypatch, moment):
+    """Config and totals change together or not at all; the next run ends the work and copies nothing twice."""
+    spark.range(4).write.parquet(str(tmp_path / "one"))
+    rows = [("s", "m", "one", "t", "m", "one_copy", "APPEND", "DAILY", True), ("s", "m", "two", "t", "m", "two_copy", "APPEND", "DAILY", False)]
+    control, places = str(tmp_path / "control"), archive.Places(lambda database, schema, name: str(tmp_path / name))
+    archive.store_control(spark, control, spark.createDataFrame(rows, CONFIG), spark.createDataFrame([("x", "N")], "t string, archive_status string"))
+    words = spark.createDataFrame([], "table_name string, extract_field_name string, field_desc string")
+    real, seen = generations.Generations.write, []
+
+    def die(self, frames, note=""):
+        if "config" not in frames:
+            return real(self, frames, note)
+        lost = {n: f.select(*[F.raise_error(F.lit("lost")).cast(x.dataType).alias(x.name) for x in f.schema.fields]) if n == moment else f for n, f in frames.items()}
+        if moment == "mark":
+            monkeypatch.setattr(generations.Generations, "_mark", lambda *args: 1 / 0)
+        real(self, lost, note)
+        seen.append(1 / 0 if moment == "after" else 1)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(generations.Generations, "write", die)
+        mark = generations.Generations._mark
+        with pytest.raises(Exception):
+            archive.run_archive(spark, control, words, places, F.current_date())
+    monkeypatch.setattr(generations.Generations, "_mark", mark)
+    config = {r.target_table_name: r.run_backup_trigger_ind for r in archive.control_table(spark, control, "config").collect()}
+    closed = archive.control_table(spark, control, "totals").first().archive_status
+    assert (config, closed) == (({"one_copy": False, "two_copy": False}, "Y") if moment == "after" else ({"one_copy": True, "two_copy": False}, "N"))
+    result = archive.run_archive(spark, control, words, places, F.current_date())
+    assert tables.read_runs(spark, str(tmp_path / "one_copy")).count() == 4
+    assert result["audit"].count() == 1 and result["config"].where("run_backup_trigger_ind").count() == 0
+    assert result["totals"].first().archive_status == "Y" and result["config"].count() == 2
+
+
 def test_control_totals_close_only_without_pending_full_copies(spark):
     totals = spark.createDataFrame([("x", "N"), ("y", "Y")], "t string, archive_status string")
 
