@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from checks.registry import check, table
 from millrace import session
 from millrace.plans import marts
-from millrace.sources import tables
 
 DAY = "2024-09-09"
 
@@ -150,15 +149,12 @@ def cost_pmpm_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 @check("cost_pmpm_refresh", COST_SQL)
 def cost_pmpm_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """Mart from the early slices, then only the changed slices recomputed and swapped in."""
-    target = session.scratch_path(spark, "cost-mart")
+    """Late files touch some slices: the mart follows by the stored sums of both sources' files."""
+    base, target = session.scratch_path(spark, "cost-files"), session.scratch_path(spark, "cost-mart")
     all_costs, all_members = costs(spark, folder), members(spark, folder)
     late = F.expr("align_as_of_dt >= date'1999-01-01' and svc_cat = 'R'")
-    early = marts.cost_per_member_month(all_costs.where(~late), all_members)
-    tables.replace_slices(early, target, ["align_as_of_dt"])
-    touched = all_costs.where(late).select("align_as_of_dt")
-    changed = marts.refresh_changed(
-        touched, {"costs": all_costs, "members": all_members}, marts.cost_per_member_month
-    )
-    tables.replace_slices(changed, target, ["align_as_of_dt"], touched)
+    all_members.write.parquet(f"{base}/members")
+    for rows in (all_costs.where(~late), all_costs.where(late)):
+        rows.write.mode("append").parquet(f"{base}/costs")
+        marts.refresh_cost_mart(spark, f"{base}/costs", all_costs.schema, f"{base}/members", all_members.schema, target, f"{base}/state", buckets=8)
     return two_digits(spark.read.parquet(target))

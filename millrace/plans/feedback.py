@@ -42,8 +42,9 @@ def load_files(
 
     Status per file and rejects go to the control tables below `control`, which
     also remember every file by path, size and date: it is not loaded again
-    unless it has changed. The parsed lines are settled once, so good rows,
-    status and rejects describe the same read. The files of a run are stored
+    unless it has changed. The parsed lines are settled once, good and damaged
+    ones apart, so good rows, status and rejects describe the same read and
+    read each line once. The files of a run are stored
     first, and all it writes lies under its run id, so a run that died is
     repeated by the next call without doubling anything. Read the target with
     `sources.tables.read_runs`.
@@ -69,11 +70,10 @@ def load_files(
         tables.replace_slices(rows.withColumn(tables.RUN, F.lit(run)), path, [tables.RUN])
 
     with session.workspace(spark) as settle:
-        parsed = settle(delimited.read_staged(spark, files, chosen), "staged")
-        store(delimited.good_rows(parsed, fields), target)
-        rejected = delimited.rejects(parsed, files, settle)
-        store(rejected.withColumns({**about, "load_ts": F.current_timestamp()}), f"{control}/rejects")
-        status = settle(delimited.load_status(parsed, files, chosen, settle), "status")
+        parts = delimited.settle_staged(delimited.read_staged(spark, files, chosen), files, settle)
+        store(delimited.good_rows(parts.good, fields), target)
+        store(delimited.rejects(parts, files).withColumns({**about, "load_ts": F.current_timestamp()}), f"{control}/rejects")
+        status = settle(delimited.load_status(spark, parts, files, chosen), "status")
         store(status.withColumns({**about, "load_dt": stamp}), f"{control}/status")
         outcome = delimited.verdict(status).first()
     store(chosen.select(*IDENTITY), f"{control}/files")

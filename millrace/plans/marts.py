@@ -7,12 +7,13 @@ only its rows are expanded to the coarser grains.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import measures
 from millrace.operators import aggregate
+from millrace.streaming import partials
 
 BASE = ["chi_data_point", "chi_data_point_ref", "align_as_of_dt"]
 PERIODS = ["ytd", "ry"]
@@ -31,10 +32,20 @@ def _amount(frame: DataFrame, col: Column) -> Column:
 
 
 def _weighted(frame: DataFrame, value: Column, weight: Column) -> Column:
-    """Product without lost digits: as a decimal where 38 digits hold it, else as a double."""
+    """Product of two decimals as a decimal, whatever digits the columns declare, so that sums do not depend on row order.
+
+    Values of up to 19 and weights of up to 18 digits multiply without loss. Where a row has more,
+    the product is rounded to the digits that 38 leave, and one that does not fit is an error.
+    Binary fractions stay binary.
+    """
     kinds = [frame.select(c).schema[0].dataType for c in (value, weight)]
-    exact = all(isinstance(k, T.DecimalType) for k in kinds) and sum(k.precision for k in kinds) < 38
-    return value * weight if exact else value.cast("double") * weight.cast("double")
+    if not all(isinstance(k, T.DecimalType) for k in kinds):
+        return value.cast("double") * weight.cast("double")
+    left, right = (k.scale for k in kinds)
+    if kinds[0].precision + kinds[1].precision < 38 or left > 19 or right > 18:
+        return value * weight
+    narrow = value.try_cast(f"decimal(19,{left})") * weight.try_cast(f"decimal(18,{right})")
+    return F.coalesce(narrow, (value * weight).cast(f"decimal(38,{left + right})"))
 
 
 def member_demographics(members: DataFrame, day: Column) -> DataFrame:
@@ -128,8 +139,27 @@ def refresh_changed(
     `changed` holds the slice values, NULL included; every source is reduced to
     them before the mart is computed. Write the result with
     `sources.tables.replace_slices` and hand it `changed`, so that slices
-    without rows are emptied.
+    without rows are emptied. This reads all files of the slices again;
+    `streaming.partials` adds them up from stored sums instead.
     """
     slices = changed.select(F.col(slice_col).alias("_changed")).distinct()
     same = F.col(slice_col).eqNullSafe(F.col("_changed"))
     return compute(**{n: s.join(slices, same, "left_semi") for n, s in sources.items()})
+
+
+def refresh_cost_mart(
+    spark: SparkSession, costs: str, costs_schema: T.StructType, members: str, members_schema: T.StructType, target: str, state: str,
+    buckets: int | None = None,
+) -> None:
+    """Follow new and changed files of both sources: the cost mart from their stored sums (`streaming.partials`)."""
+
+    def sums(root: str, schema: T.StructType, name: str, dims: list[str], amounts: list[str]) -> partials.PartialSums:
+        frame = spark.createDataFrame([], schema)
+        measures = {a: ("sum", _amount(frame, F.col(a))) for a in amounts}
+        return partials.PartialSums(spark, root, schema, f"{state}/{name}", "align_as_of_dt", [*BASE, *dims], measures, buckets)
+
+    sources = {
+        "costs": sums(costs, costs_schema, "costs", ["svc_cat", "svc_sub_cat", "mbr_grp", "master_pcp"], [f"{p}_allowed_amt" for p in PERIODS]),
+        "members": sums(members, members_schema, "members", ["mbr_grp", "master_pcp"], [f"{p}_mm" for p in PERIODS]),
+    }
+    partials.refresh(spark, sources, target, "align_as_of_dt", cost_per_member_month)

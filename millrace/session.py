@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,12 +40,16 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, named by `spark.checkpoint.dir`.
 
     Where the setting is absent it is set to a folder below the session's
-    warehouse directory, which every node reaches as well.
+    warehouse directory. That must then be a folder that every node reaches: on
+    a cluster a `file:` one, Spark's default, would be another on each machine
+    and is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -55,15 +59,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
 
 
-def settle(frame: DataFrame, label: str) -> DataFrame:
-    """Cut lineage by writing `frame` to the shared folder and reading it back.
+def settle(frame: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Cut lineage by writing `frame` to the shared folder and reading it back; `by` lays it out in folders.
 
     Used where one result feeds several consumers; the written copy survives
     the loss of executors, which a cached copy does not.
     """
     spark = frame.sparkSession
     path = scratch_path(spark, label)
-    frame.write.parquet(path)
+    frame.write.partitionBy(*by).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -74,13 +78,13 @@ def release(frame: DataFrame, path: str) -> None:
 
 @contextmanager
 def workspace(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """Gives a `settle` whose copies are emptied at the end, also after an error."""
+    """Gives a `settle` whose copies are emptied at the end, also after an error; `by` lays a copy out in folders."""
     kept: list[tuple[DataFrame, str]] = []
 
-    def keep(frame: DataFrame, label: str) -> DataFrame:
+    def keep(frame: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
         path = scratch_path(spark, label)
         kept.append((frame, path))
-        frame.write.parquet(path)
+        frame.write.partitionBy(*by).parquet(path)
         return spark.read.schema(frame.schema).parquet(path)
 
     try:

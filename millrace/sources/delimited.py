@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace import session
 from millrace.functions import text
 from millrace.sources import ndjson
 
@@ -35,7 +34,7 @@ def read_staged(spark: SparkSession, files: StagedFiles, only: DataFrame | None
     """All lines with typed columns, the raw text of damaged lines, and provenance.
 
     A line is damaged when a value does not fit its type or the number of
-    values differs from the number of columns. `only` (file_path,
+    values differs from the number of columns. `only` (file_path, file_size,
     file_modification_time) restricts the read: older files are not opened,
     others not kept. Settle the result before taking rows, status and rejects
     from it: all three then describe the same single read.
@@ -55,7 +54,7 @@ def read_staged(spark: SparkSession, files: StagedFiles, only: DataFrame | None
     )
     if only is None:
         return ndjson.in_reading_order(lines)
-    first = only.agg(F.min("file_modification_time")).first()[0]
+    first = only.where("file_size > 0").agg(F.min("file_modification_time")).first()[0]
     lines = ndjson.in_reading_order(lines.where(F.col("file_modification_time") >= F.lit(first)))
     return lines.join(only.select("file_path"), "file_path", "left_semi")
 
@@ -125,7 +124,8 @@ def errors(staged: DataFrame, files: StagedFiles) -> DataFrame:
 def listed_files(spark: SparkSession, files: StagedFiles) -> DataFrame:
     """Every matching file below the root with size and date; contents stay unread.
 
-    The list stays distributed. A scan never opens empty files, so they are not in it.
+    The list stays distributed. A scan never opens empty files, so those come
+    from the listing alone, with size 0 and no date but the start of time.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -133,22 +133,56 @@ def listed_files(spark: SparkSession, files: StagedFiles) -> DataFrame:
         .option("pathGlobFilter", files.pattern)
         .load(files.root)
     )
-    return listing.select(*[c for c in ndjson.PROVENANCE if "block" not in c])
+    found = listing.select(*[c for c in ndjson.PROVENANCE if "block" not in c])
+    names = listing.inputFiles()
+    if len(names) == found.count():
+        return found
+    every = spark.createDataFrame([(n,) for n in names], "file_path string")
+    place = ndjson.relative_path(F.col("file_path"), files.root)
+    empty = every.withColumn("place", place).join(found.select(place.alias("place")), "place", "left_anti")
+    return found.unionByName(
+        empty.select("file_path", F.lit(0).cast("bigint").alias("file_size"), F.timestamp_seconds(F.lit(0)).alias("file_modification_time"))
+    )
+
+
+DAMAGED = "_damaged"
+
+
+@dataclass(frozen=True)
+class Settled:
+    """The lines of a load, read apart: the good ones, the damaged ones with their errors, and a narrow row for each block."""
+
+    good: DataFrame
+    errors: DataFrame
+    blocks: DataFrame
+
+
+def settle_staged(staged: DataFrame, files: StagedFiles, settle) -> Settled:
+    """Write the lines once, good and damaged ones apart, so that rows, counts and rejects read each part once.
+
+    Of the good lines only their place is read a second time, to number the
+    blocks and count. `settle` comes from a `session.workspace`.
+    """
+    lines = settle(staged.withColumn(DAMAGED, F.col(CORRUPT).isNotNull()), "staged", [DAMAGED])
+    block = ndjson.blocks(lines.select(*ndjson.BLOCK, "_order", DAMAGED), settle, {"_bad": F.count_if(DAMAGED)})
+    wrong = settle(errors(lines.where(DAMAGED).drop(DAMAGED), files), "damaged")
+    return Settled(lines.where(~F.col(DAMAGED)).drop(DAMAGED), wrong, block)
 
 
 def load_status(
-    staged: DataFrame, files: StagedFiles, listed: DataFrame | None = None, settle: ndjson.Settle = session.settle
+    spark: SparkSession, parts: Settled, files: StagedFiles, listed: DataFrame | None = None
 ) -> DataFrame:
     """Per file: status, lines parsed and loaded, errors seen, and the first error by place in the file.
 
-    Counting combines on the map side, so one dominant file is no bottleneck.
-    `listed` are the files to report on (default: all).
+    Lines were counted by block, so one dominant file is no bottleneck. `listed`
+    are the files to report on (default: all), empty ones too.
     """
-    good = F.count_if(F.col(CORRUPT).isNull())
-    counted = staged.groupBy("file_path").agg(F.count("*").alias("rows_parsed"), good.alias("row_loaded"))
+    counted = parts.blocks.groupBy("file_path").agg(
+        F.sum("_lines").alias("rows_parsed"), F.sum(F.col("_lines") - F.col("_bad")).alias("row_loaded")
+    )
     place = ("file_block_start", "_order", "error", "character", "column_name")
-    first = errors(staged, files).groupBy("file_path").agg(F.min(F.struct(*place)).alias("e"))
-    block = ndjson.blocks(staged, settle).select(*ndjson.BLOCK, "_first", "_shift")
+    first = parts.errors.groupBy("file_path").agg(F.min(F.struct(*place)).alias("e"))
+    block = parts.blocks.select(*ndjson.BLOCK, "_first", "_shift")
     first = first.withColumn("file_block_start", F.col("e.file_block_start")).join(block, ndjson.BLOCK).select(
         "file_path",
         F.col("e.error").alias("first_error"),
@@ -156,7 +190,7 @@ def load_status(
         F.col("e.character").alias("first_error_character"),
         F.col("e.column_name").alias("first_error_column_name"),
     )
-    every = listed_files(staged.sparkSession, files) if listed is None else listed
+    every = listed_files(spark, files) if listed is None else listed
     every = every.select("file_path").join(counted, "file_path", "left").join(first, "file_path", "left")
     every = every.fillna(0, ["rows_parsed", "row_loaded"])
     seen = F.col("rows_parsed") - F.col("row_loaded")
@@ -179,11 +213,11 @@ def _header(files: StagedFiles) -> int:
     return 1 if str(files.options.get("header", "false")).lower() == "true" else 0
 
 
-def rejects(staged: DataFrame, files: StagedFiles, settle: ndjson.Settle = session.settle) -> DataFrame:
+def rejects(parts: Settled, files: StagedFiles) -> DataFrame:
     """Damaged lines with place and kind of the error, and two blank columns for the fix."""
-    block = ndjson.blocks(staged, settle).select(*ndjson.BLOCK, "_first", "_shift")
+    block = parts.blocks.select(*ndjson.BLOCK, "_first", "_shift")
     number = F.col("_order") - F.col("_first") + F.col("_shift") + 1
-    return errors(staged, files).join(block, ndjson.BLOCK).select(
+    return parts.errors.join(block, ndjson.BLOCK).select(
         "error",
         ndjson.relative_path(F.col("file_path"), files.root).alias("file"),
         (number + _header(files)).alias("line"),

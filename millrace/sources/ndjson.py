@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,29 +46,39 @@ def in_reading_order(lines: DataFrame) -> DataFrame:
 BLOCK = ["file_path", "file_block_start"]
 
 
-def blocks(lines: DataFrame, settle: Settle = session.settle) -> DataFrame:
-    """One row for each block a scan reads: its first `_order`, the lines before it in the file, the file's content key.
+def blocks(lines: DataFrame, settle: Settle = session.settle, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row for each block a scan reads: its first `_order`, its lines, those before it in the file, the file's content key.
 
+    `more` are further aggregates of the block's lines.
     Large files are read in blocks; within a block the lines come in file order
     and consecutively. Only this narrow summary is shuffled, never a line. It is
     stored, so that joining it back broadcasts it while it is small by the size
-    of its files. The content key is the same for files with the same lines.
+    of its files. The content key is the same for files with the same lines in
+    the same order: two hashes of each line are added up, alone and multiplied
+    by the line's place. Places count from the block's first line; what a block
+    lacks to the file's is its offset times its sum, so blocks of any size give
+    the same key.
     """
-    value = F.xxhash64("value").cast("decimal(38,0)") if "value" in lines.columns else F.lit(0)
+    bits = (1 << 48) - 1
+    place = F.col("_order").bitwiseAND((1 << 33) - 1)  # inside a task the lower bits number the lines
+    hashes = [F.xxhash64("value"), F.xxhash64(F.lit(1), "value")] if "value" in lines.columns else []
+    sums = {}
+    for n, value in enumerate(hashes):
+        one = value.bitwiseAND(bits).cast("decimal(38,0)")
+        sums |= {f"_sum{n}": F.sum(one), f"_placed{n}": F.sum(F.try_multiply(one, place.cast("decimal(10,0)")).cast("decimal(38,0)"))}
     counted = lines.groupBy(*BLOCK).agg(
-        F.min("_order").alias("_first"), F.count("*").alias("_lines"), F.sum(value).alias("_sum")
+        F.min("_order").alias("_first"), F.count("*").alias("_lines"), *[c.alias(n) for n, c in (sums | dict(more or {})).items()]
     )
     file = Window.partitionBy("file_path")
     earlier = file.orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1)
-    key = F.concat_ws("|", F.sum("_sum").over(file).cast("string"), F.sum("_lines").over(file).cast("string"))
+    shifted = counted.withColumn("_shift", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
+    first = F.col("_first").bitwiseAND((1 << 33) - 1)
+    parts = [F.sum("_lines").over(file).cast("string")]
+    for n in range(len(hashes)):
+        moved = F.col(f"_placed{n}") + F.col(f"_sum{n}") * (F.col("_shift") - first).cast("decimal(20,0)")
+        parts += [F.sum(f"_sum{n}").over(file).cast("string"), F.sum(moved.cast("decimal(38,0)")).over(file).cast("string")]
     return settle(
-        counted.select(
-            *BLOCK,
-            "_first",
-            F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_shift"),
-            F.sha2(key, 256).alias("file_content_key"),
-        ),
-        "blocks",
+        shifted.select(*BLOCK, "_first", "_lines", "_shift", *(more or {}), F.sha2(F.concat_ws("|", *parts), 256).alias("file_content_key")), "blocks"
     )
 
 
@@ -82,7 +92,7 @@ def with_line_numbers(lines: DataFrame, name: str = "line", settle: Settle = ses
     return (
         marked.join(blocks(marked, settle), BLOCK)
         .withColumn(name, F.col("_order") - F.col("_first") + F.col("_shift") + 1)
-        .drop("_order", "_first", "_shift")
+        .drop("_order", "_first", "_lines", "_shift")
     )
 
 

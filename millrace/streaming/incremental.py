@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.sources import keyed, ndjson, tables
+from millrace.sources import keyed, ndjson, newest, tables
 
 
 # A file counts as new until it was loaded, however old it is dated (the source would forget it after a week).
@@ -111,21 +111,20 @@ def refresh_mart(
     A micro-batch only says which slices changed; those are recomputed from all
     files and overwrite their partitions, so late and repeated files are safe. A
     slice may be NULL; one that recomputes to nothing is emptied. The changed
-    values (one for each slice of the batch) reach the scan as a filter; with
-    `by_slice` the files lie in a folder for each slice and others are not listed.
+    values are settled and joined, however many they are; the least and the
+    greatest reach the scan as a filter. With `by_slice` the files lie in a
+    folder for each slice and others are not listed. See `partials` for marts
+    that need not read the files of a slice again.
     """
 
     def refresh(new: DataFrame, batch_id: int) -> None:
-        changed = new.select(slice_col).distinct()
-        values = [row[0] for row in changed.collect()]
         everything = spark.read.schema(schema)
         if not by_slice:
             everything = everything.option("recursiveFileLookup", "true")
-        wanted = F.col(slice_col).isin([v for v in values if v is not None])
-        if None in values:
-            wanted = wanted | F.col(slice_col).isNull()
-        touched = spark.createDataFrame([(v,) for v in values], changed.schema)
-        tables.replace_slices(compute(everything.parquet(root).where(wanted)), target, [slice_col], touched)
+        with session.workspace(spark) as settle:
+            changed = settle(new.select(slice_col).distinct(), "changed-slices")
+            touched = newest.within_slices(everything.parquet(root), changed, slice_col)
+            tables.replace_slices(compute(touched), target, [slice_col], changed)
 
     stream = file_stream(spark).schema(schema)
     if not by_slice:

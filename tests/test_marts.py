@@ -158,3 +158,24 @@ def test_risks_keep_all_their_digits(spark):
     assert got["ytd_adjusted_prosp_risk"] == Decimal("0.000004")
     share = spark.range(1).select(measures.share_pct(F.lit(5_000_000_000), F.lit(10_000_000_000)).alias("s")).first().s
     assert share == Decimal("50.000")
+
+
+def test_wide_decimals_stay_exact(spark):
+    """Columns that declare 38 digits: no double, the same sum in any order of rows."""
+    from decimal import Decimal
+
+    layout = (
+        "chi_data_point string, chi_data_point_ref string, align_as_of_dt date, mbr_grp string, master_pcp string, master_clinic string, "
+        "contract_id string, party_key string, age int, mbr_gender_cd string, source_code string, "
+        "retro_risk decimal(38,4), dx_med_risk decimal(38,4), prosp_risk decimal(38,4), ytd_mm decimal(18,2), ry_mm decimal(18,2)"
+    )
+    wide = Decimal("90071992547409.9301")  # beyond what a double tells apart
+    rows = [("a", "b", None, "g", "p", "c", str(i), "2", 3, "M", "x", r, Decimal(0), r, Decimal("1.00"), Decimal("3.00")) for i, r in enumerate([wide, Decimal("0.0001"), -wide] * 50)]
+    frame = spark.createDataFrame(rows, layout)
+    product = marts._weighted(frame, F.col("retro_risk"), F.col("ytd_mm"))
+    total = frame.agg(F.sum(product).alias("t")).first().t
+    assert total == Decimal("0.0050") and isinstance(total, Decimal)
+    big = spark.createDataFrame([(Decimal(10) ** 25, Decimal("2.00"))], "v decimal(38,4), w decimal(18,2)")
+    assert big.select(marts._weighted(big, F.col("v"), F.col("w")).alias("p")).first().p == 2 * Decimal(10) ** 25
+    mart = marts.member_demographics(frame, F.current_date()).where("master_clinic = 'c'").first()
+    assert mart["ytd_adjusted_retro_risk"] == Decimal("0.000033")
