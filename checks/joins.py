@@ -214,3 +214,26 @@ def join_dictionary(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("customer").alias("table_name"), F.lit("c_mktsegment").alias("extract_field_name"), "field_desc"
     )
     return extract.column_aliases(extract.column_list(spark, {"customer": customer}), dictionary)
+
+
+@check(
+    "join_hot_keys",
+    """
+with f as (
+  select l_orderkey, l_linenumber, case when l_linenumber in (1, 2) then null when l_linenumber = 3 then 1 else l_suppkey end as s_suppkey
+  from lineitem
+)
+select f.l_orderkey, f.l_linenumber, f.s_suppkey, s_name, n_name from f left join supplier using (s_suppkey)
+join (select n_nationkey, n_name from nation union all select null, 'none') n on n.n_nationkey is not distinct from s_nationkey
+""",
+)
+def join_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the rows have no key and one supplier has a hot one; then the missing nations match a row of their own."""
+    number = F.col("l_linenumber")
+    key = F.when(number.isin(1, 2), None).when(number == 3, 1).otherwise(F.col("l_suppkey"))
+    fact = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", key.alias("s_suppkey"))
+    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("n_nationkey"))
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    nation = nation.unionByName(spark.createDataFrame([(None, "none")], nation.schema))
+    placed = joins.spread_join(fact, supplier, ["s_suppkey"])
+    return joins.spread_join(placed, nation, ["n_nationkey"], "inner", null_safe=True).drop("n_nationkey")
