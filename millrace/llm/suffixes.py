@@ -273,6 +273,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         shown = twice.select("rank", "one.*").join(open_ranks, "rank", "left_semi").withColumn("item", F.lit(-1).cast("long"))
         wanted = settle(single.unionByName(shown), "wanted")
         lists = wanted.groupBy("text_hash", "text_sum").agg(F.collect_list(F.struct("rank", "place", "starts", "item")).alias("wanted"))
+        lists = settle(lists, "wanted-lists")  # so that the copies of a text with wanted positions are split
         name = F.concat_ws(":", "text_hash", "text_sum")
         spelled = named.join(lists, ["text_hash", "text_sum"]).select("data", name.alias("name"), "wanted")
         strings = settle(spelled.mapInArrow(_strings(length), "rank long, string long, item long"), "strings")
