@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.text import free_name
 
-CACHE_BYTES = 48 << 20  # of words and their ids that a task remembers, by `_cost`
+CACHE_BYTES = 96 << 20  # of words and their ids that a task remembers, by `_cost`
 PACK = 32  # bits of a symbol in a packed pair
 SLICE = 512  # documents whose results leave a task together
 BATCH_WORDS = 50_000  # new words that are merged together
