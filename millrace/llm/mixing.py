@@ -52,7 +52,7 @@ def draw(key: Column, digest: Column, number: Column, seed: int = 0) -> Column:
 
     A NULL id counts as empty text.
     """
-    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("")), digest.cast("string"), number.cast("string"))
+    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("")), digest, number.cast("string"))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
 
 
@@ -82,7 +82,7 @@ def plan_mix(
         for x in ("mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_source", "mix_digest", "mix_number", "mix_a", "mix_b", "mix_c")
     )
     keys = [F.col(doc_id), F.col(digest), F.col(source)]
-    held = docs.withColumn(digest, F.xxhash64(F.col(text)))
+    held = docs.withColumn(digest, F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
     counted = held.groupBy(*keys).agg(F.count("*").alias(number)).where(F.col(number) > 1)
     repeated = session.settle(counted.select(*[k.alias(n) for k, n in zip(keys, same)]), "repeated-documents")
     if repeated.isEmpty():

@@ -151,7 +151,8 @@ def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
     "op7_mixing",
     """
     with sized as (
-      select doc_id, source, text, row_number() over (partition by doc_id, text, source) as number,
+      select doc_id, source, md5(coalesce(text, '')) as digest,
+        row_number() over (partition by doc_id, coalesce(text, ''), source) as number,
         len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))::bigint as size
       from documents
     ), sums as (
@@ -172,12 +173,12 @@ def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
     ), targets as (
       select source, source_size, case when unit is null then cap::double else unit * weight end as target from units
     ), rates as (
-      select s.doc_id, s.size, t.source_size, t.target,
+      select s.doc_id, s.size, s.digest, s.number, t.source_size, t.target,
         case when t.source_size > 0 then least(t.target / t.source_size, 3.0::double) else 0.0::double end as rate
       from sized s join targets t on s.source is not distinct from t.source
     )
     select doc_id, size, source_size, target, size * (floor(rate)::bigint + case when
-      ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint / 4294967296.0::double < rate - floor(rate)
+      ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '') || ':' || digest || ':' || number), 1, 8))::bigint / 4294967296.0::double < rate - floor(rate)
       then 1 else 0 end) as taken
     from rates
     """,
