@@ -104,7 +104,8 @@ def raw_rows(
         "meta": obj(versionId=f"cast({version} as string)", lastUpdated=f"concat('2024-0', {version}, '-01')"),
         **doc,
     }
-    stamped = rows.selectExpr(
+    # a small table is one file; documents are costly to make and to parse, so all cores take part
+    stamped = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).selectExpr(
         f"concat('FHIR/in/', {export}, '/d/', {bundle}, '/f.ndjson') as file_name",
         "cast(1 as bigint) as file_row_number",
         "'key' as file_content_key",
@@ -471,7 +472,29 @@ def plan_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return bundle(table(spark, folder, "part"), "InsurancePlan", "InsurancePlan", "concat('ip', p_partkey)", doc, copies)
 
 
-def licensee_bundles(spark: SparkSession, folder: str) -> DataFrame:
+def areas(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that reference bundles are made from; a nation's network is its own."""
+    return table(spark, folder, "nation").withColumn("n_net", F.col("n_nationkey"))
+
+
+# As many areas as customers; a third of them belong to network 0 of licensee 0.
+MANY_AREAS = """
+(select c_custkey as n_nationkey, c_name as n_name, c_nationkey % 5 as n_regionkey,
+   case when c_custkey % 3 = 0 then 0 else c_custkey end as n_net from customer)
+"""
+
+
+def many_areas(spark: SparkSession, folder: str) -> DataFrame:
+    customer = table(spark, folder, "customer")
+    return customer.selectExpr(
+        "c_custkey as n_nationkey",
+        "c_name as n_name",
+        "c_nationkey % 5 as n_regionkey",
+        "if(c_custkey % 3 = 0, 0, c_custkey) as n_net",
+    )
+
+
+def licensee_bundles(spark: SparkSession, folder: str, made_from=areas) -> DataFrame:
     doc = {
         "identifier": arr(
             ident("lpad(n_nationkey, 3, '0')", "PLAN", label="concat('Plan of ', n_name)"),
@@ -479,14 +502,14 @@ def licensee_bundles(spark: SparkSession, folder: str) -> DataFrame:
             ident("concat('L', n, '-', n_nationkey)", "LEC", label="'entity'"),
         )
     }
-    rows = table(spark, folder, "nation")
+    rows = made_from(spark, folder)
     return bundle(rows, "Licensee", "Organization", "concat('lic', n_nationkey)", doc, "array(2, 1)")
 
 
-def network_bundles(spark: SparkSession, folder: str) -> DataFrame:
+def network_bundles(spark: SparkSession, folder: str, made_from=areas) -> DataFrame:
     """Two products per network, one of them listed twice; product ids repeat in pairs."""
     doc = {
-        "partOf": ref("concat('Organization/lic', n_nationkey)"),
+        "partOf": ref("concat('Organization/lic', n_net)"),
         "identifier": arr(
             ident("concat('PN', n_nationkey)", start="'2000-01-01'", end="if(n_regionkey > 1, '2030-12-31', '2010-12-31')", label="n_name")
         ),
@@ -500,8 +523,8 @@ def network_bundles(spark: SparkSession, folder: str) -> DataFrame:
             )
         ),
     }
-    rows = table(spark, folder, "nation")
-    return bundle(rows, "Network", "Organization", "concat('net', n_nationkey)", doc, "array(1, 2)")
+    rows = made_from(spark, folder)
+    return bundle(rows, "Network", "Organization", "concat('net', n_net)", doc, "array(1, 2)")
 
 
 def system_bundles(spark: SparkSession, folder: str) -> DataFrame:
@@ -514,7 +537,7 @@ def system_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return bundle(rows, "HealthcareSystem", "Organization", "concat('hs', s_suppkey)", doc, "array(3, 1, 2)")
 
 
-def zip_bundles(spark: SparkSession, folder: str) -> DataFrame:
+def zip_bundles(spark: SparkSession, folder: str, made_from=areas) -> DataFrame:
     doc = {
         "extension": arr(
             ext("zipCode", code="lpad(n_nationkey, 5, '7')"),
@@ -527,7 +550,7 @@ def zip_bundles(spark: SparkSession, folder: str) -> DataFrame:
             ext("stateCode", concept=concept(coding("concat('S', n_nationkey)", display="n_name"))),
         )
     }
-    rows = table(spark, folder, "nation")
+    rows = made_from(spark, folder)
     return bundle(rows, "StateCountyZipCode", "Basic", "concat('zip', n_nationkey)", doc, "array(1, 2)")
 
 

@@ -452,11 +452,11 @@ def dim_insurance_plan(spark: SparkSession, folder: str) -> DataFrame:
             "licensee_entity_cd": "'L2-' || n_nationkey",
             "licensee_entity_cd_desc": "'entity'",
         },
-        "nation",
+        docs.MANY_AREAS,
     ),
 )
 def dim_licensee(spark: SparkSession, folder: str) -> DataFrame:
-    return dimension(spark, docs.licensee_bundles(spark, folder), "dim_licensee")
+    return dimension(spark, docs.licensee_bundles(spark, folder, docs.many_areas), "dim_licensee")
 
 
 @check(
@@ -465,8 +465,8 @@ def dim_licensee(spark: SparkSession, folder: str) -> DataFrame:
         "dim_network",
         {
             **dim_head("2", "Organization"),
-            "organization_id": "'net' || n_nationkey",
-            "insurance_licensee_id": "'lic' || n_nationkey",
+            "organization_id": "'net' || n_net",
+            "insurance_licensee_id": "'lic' || n_net",
             "product_id": "'PN' || n_nationkey",
             "product_id_desc": "n_name",
             "period_start": "'2000-01-01'",
@@ -478,11 +478,11 @@ def dim_licensee(spark: SparkSession, folder: str) -> DataFrame:
             "prov_program_type_cd": "'G' || n_regionkey",
             "prov_program_type_cd_desc": "'pgm'",
         },
-        "nation, (values ('PC1', 'one v2'), ('PC2', 'two'), ('PC2', 'two')) as p(code, label)",
+        f"{docs.MANY_AREAS}, (values ('PC1', 'one v2'), ('PC2', 'two'), ('PC2', 'two')) as p(code, label)",
     ),
 )
 def dim_network(spark: SparkSession, folder: str) -> DataFrame:
-    return dimension(spark, docs.network_bundles(spark, folder), "dim_network")
+    return dimension(spark, docs.network_bundles(spark, folder, docs.many_areas), "dim_network")
 
 
 @check(
@@ -523,11 +523,11 @@ def dim_healthcare_system(spark: SparkSession, folder: str) -> DataFrame:
             "state_cd": "'S' || n_nationkey",
             "state_name": "n_name",
         },
-        "nation",
+        docs.MANY_AREAS,
     ),
 )
 def dim_state_county_zip(spark: SparkSession, folder: str) -> DataFrame:
-    return dimension(spark, docs.zip_bundles(spark, folder), "dim_state_county_zip")
+    return dimension(spark, docs.zip_bundles(spark, folder, docs.many_areas), "dim_state_county_zip")
 
 
 NEWEST_ENTITY = "case when c_acctbal > 0 then 2 else 1 end"
