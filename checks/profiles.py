@@ -11,6 +11,7 @@ from millrace import session
 from millrace.operators import profile, quality
 from millrace.plans import profiling
 from millrace.sources import tables
+from millrace.streaming import profiles
 
 # column types of the given tables, for the SQL side
 TYPES = {
@@ -311,3 +312,22 @@ def csv_export(spark: SparkSession, folder: str) -> DataFrame:
 @check("profile_lineitem", table_sql("lineitem", TYPES["lineitem"]))
 def profile_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return profiled(spark, {"lineitem": table(spark, folder, "lineitem")}).select(*VISIBLE)
+
+
+@check("profile_by_file", table_sql("gappy", GAPPY, GAPPY_SQL) + " union all " + table_sql("lineitem", TYPES["lineitem"]))
+def profile_by_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles kept file by file: a first run over part of the rows, a second one that reads the files added since."""
+    parts = {
+        "gappy": (gappy_orders(spark, folder), F.expr("o_orderkey % 3 = 0")),
+        "lineitem": (table(spark, folder, "lineitem"), F.expr("l_linenumber <= 2")),
+    }
+    sources, late = {}, []
+    for name, (rows, first) in parts.items():
+        root = session.scratch_path(spark, name)
+        rows.where(first).write.parquet(root)
+        late.append((rows.where(~first), root))
+        sources[name] = profiles.StoredProfile(spark, root, rows.schema, session.scratch_path(spark, "state"))
+    profiles.profile_run(sources, run_id=RUN)
+    for rows, root in late:
+        rows.write.mode("append").parquet(root)
+    return profiles.profile_run(sources, run_id=RUN).select(*VISIBLE)

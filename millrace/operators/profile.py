@@ -10,7 +10,7 @@ task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,32 +90,50 @@ def _countable(field: T.StructField) -> tuple[str, str, str]:
     return (number, no_float, no_text) if number else (no_number, no_float, _as_text(field))
 
 
-def _typed_facts(table: DataFrame, name: str, start: int, blanks_are_null: bool) -> DataFrame:
-    """Per column: type, rows, nulls, minimum and maximum as text."""
-    facts, rows = ["count(*) as n"], []
-    for i, field in enumerate(table.schema.fields):
+def typed_facts(table: DataFrame, blanks_are_null: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """Rows `n` and, by column number, NULLs, minimum and maximum in the column's own type: one row, or one for each `by`."""
+    facts = [F.expr("count(*)").alias("n")]
+    for i, field in enumerate(f for f in table.schema.fields if f.name not in by):
         col = _quoted(field.name)
         missing = f"{col} is null"
         if blanks_are_null and isinstance(field.dataType, T.StringType):
             missing += f" or length(trim({col})) = 0"
-        facts.append(f"count_if({missing}) as missing{i}")
+        facts.append(F.expr(f"count_if({missing})").alias(f"missing{i}"))
+        if not _is_nested(field.dataType):
+            facts += [F.expr(f"{end}({col})").alias(f"{end}{i}") for end in ("min", "max")]
+    return table.groupBy(*by).agg(*facts)
+
+
+def merged_facts(facts: DataFrame, schema: T.StructType) -> DataFrame:
+    """The one row of `typed_facts` for all rows together, from rows for parts of them (none: an empty table)."""
+    merged = [F.expr("coalesce(sum(n), 0L)").alias("n")]
+    for i, field in enumerate(schema.fields):
+        merged.append(F.expr(f"coalesce(sum(missing{i}), 0L)").alias(f"missing{i}"))
+        if not _is_nested(field.dataType):
+            merged += [F.expr(f"{end}({end}{i})").alias(f"{end}{i}") for end in ("min", "max")]
+    return facts.agg(*merged)
+
+
+def _column_rows(facts: DataFrame, schema: T.StructType, name: str, start: int) -> DataFrame:
+    """Per column: type, rows, nulls, minimum and maximum as text."""
+    rows = []
+    for i, field in enumerate(schema.fields):
         ends = ["cast(null as string)"] * 2
         if not _is_nested(field.dataType):
-            facts += [f"cast(min({col}) as string) as min{i}", f"cast(max({col}) as string) as max{i}"]
-            ends = [f"min{i}", f"max{i}"]
+            ends = [f"cast(min{i} as string)", f"cast(max{i} as string)"]
         kind = _literal(field.dataType.simpleString())
         rows.append(", ".join([str(start + i), _literal(field.name), kind, "n", f"missing{i}", *ends]))
     columns = "slot, column_name, data_type, total_rows, null_count, min_value, max_value"
     stacked = f"stack({len(rows)}, {', '.join(rows)}) as ({columns})"
-    return table.selectExpr(*facts).selectExpr(f"{_literal(name)} as table_name", stacked)
+    return facts.selectExpr(f"{_literal(name)} as table_name", stacked)
 
 
-def _values(table: DataFrame, start: int) -> DataFrame:
-    """Every non-NULL value as a (slot, value) row; slots number the columns of the run."""
-    fields = table.schema.fields
+def column_values(table: DataFrame, start: int = 0, by: Sequence[str] = ()) -> DataFrame:
+    """Every non-NULL value as a (slot, value) row, with the columns `by`; slots number the other columns from `start`."""
+    fields = [f for f in table.schema.fields if f.name not in by]
     entries = ", ".join(f"{start + i}, {', '.join(_countable(f))}" for i, f in enumerate(fields))
     stacked = f"stack({len(fields)}, {entries}) as (slot, {', '.join(VALUE)})"
-    return table.selectExpr(stacked).where(" or ".join(f"{v} is not null" for v in VALUE))
+    return table.selectExpr(*by, stacked).where(" or ".join(f"{v} is not null" for v in VALUE))
 
 
 def _stacked(frames: list[DataFrame]) -> DataFrame:
@@ -125,19 +143,17 @@ def _stacked(frames: list[DataFrame]) -> DataFrame:
     return merged
 
 
-def _starts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+def _starts(schemas: Mapping[str, T.StructType]) -> dict[str, int]:
     """First column slot of each table."""
     starts, total = {}, 0
-    for name, table in tables.items():
+    for name, schema in schemas.items():
         starts[name] = total
-        total += len(table.columns)
+        total += len(schema)
     return starts
 
 
-def distinct_counts(tables: Mapping[str, DataFrame], approximate: bool = False) -> DataFrame:
+def _counted(values: DataFrame, approximate: bool = False) -> DataFrame:
     """(slot, distinct_count) of every column that has a value."""
-    starts = _starts(tables)
-    values = _stacked([_values(t, starts[n]) for n, t in tables.items()])
     if approximate:
         return values.groupBy("slot").agg(
             F.approx_count_distinct(F.struct(*VALUE)).alias("distinct_count")
@@ -160,9 +176,31 @@ def profile_tables(
     `blanks_are_null` counts blank text as null, while the distinct count still
     takes it as a value. Nested columns have no minimum or maximum.
     """
-    starts = _starts(tables)
-    typed = _stacked([_typed_facts(t, n, starts[n], blanks_are_null) for n, t in tables.items()])
-    joined = typed.join(distinct_counts(tables, approximate), "slot", "left")
+    starts = _starts({n: t.schema for n, t in tables.items()})
+    typed = [_column_rows(typed_facts(t, blanks_are_null), t.schema, n, starts[n]) for n, t in tables.items()]
+    values = _stacked([column_values(t, starts[n]) for n, t in tables.items()])
+    return _results(_stacked(typed), _counted(values, approximate), run_id, database, schema, taken_at)
+
+
+def profile_states(
+    states: Mapping[str, tuple[T.StructType, DataFrame, DataFrame]],
+    *,
+    run_id: str,
+    database: str = "",
+    schema: str = "",
+    taken_at: Column | None = None,
+) -> DataFrame:
+    """As `profile_tables`, from each table's schema, `typed_facts` of its parts and `column_values` of its parts."""
+    starts = _starts({n: kind for n, (kind, _, _) in states.items()})
+    typed = [_column_rows(merged_facts(facts, kind), kind, n, starts[n]) for n, (kind, facts, _) in states.items()]
+    values = [rows.select((F.col("slot") + starts[n]).alias("slot"), *VALUE) for n, (_, _, rows) in states.items()]
+    return _results(_stacked(typed), _counted(_stacked(values)), run_id, database, schema, taken_at)
+
+
+def _results(
+    typed: DataFrame, counts: DataFrame, run_id: str, database: str, schema: str, taken_at: Column | None
+) -> DataFrame:
+    joined = typed.join(counts, "slot", "left")
     filled = F.col("total_rows") - F.col("null_count")
     distinct = F.coalesce("distinct_count", F.lit(0).cast("bigint"))
     return joined.select(

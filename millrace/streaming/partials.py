@@ -23,24 +23,16 @@ IDENTITY = [FILE, SIZE, TIME]
 MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-class PartialSums:
-    """Mergeable sums of the Parquet files below `root`.
+class FileState:
+    """What is kept of each Parquet file below `root`, in one table keyed by the file's path.
 
-    by        grouping columns of the finest grain, the slice among them
-    measures  name to (`sum` | `min` | `max`, input): what can be merged again; a count is a sum of ones
+    Rows say that a file was read (`is_file` true), that it is gone (NULL), or what it holds (false).
     """
 
-    def __init__(
-        self, spark: SparkSession, root: str, schema, state: str, slice_col: str, by: Sequence[str],
-        measures: Mapping[str, tuple[str, Column]], buckets: int | None = None,
-    ):
-        self.spark, self.root, self.schema, self.slice_col = spark, root, schema, slice_col
-        self.by, self.measures, self.buckets = list(by), dict(measures), buckets
-        if slice_col not in self.by:
-            raise ValueError(f"{slice_col} must be among the grouping columns")
+    def __init__(self, spark: SparkSession, root: str, schema, state: str, buckets: int | None = None):
+        self.spark, self.root, self.schema, self.buckets = spark, root, schema, buckets
         self.table = keyed.KeyedTable(spark, f"{state}/partials")
         self.pending = runs.PendingWork(spark, f"{state}/pending")
-        self.slices = Generations(spark, f"{state}/slices")
 
     def _listed(self) -> DataFrame:
         """Path, size and date of every file below the root, without their contents."""
@@ -60,19 +52,44 @@ class PartialSums:
         lost = known.join(listed, FILE, "left_anti").withColumn("gone", F.lit(True))
         return listed.join(known, IDENTITY, "left_anti").unionByName(lost)
 
-    def _reduced(self, files: DataFrame) -> DataFrame:
-        """Sums of the files; one row for each file that says it was read (is_file), or that it is gone (NULL)."""
+    def _rows(self, files: DataFrame) -> DataFrame:
+        """All rows of the files that are there, and no others."""
         decoded = F.try_url_decode(F.replace(FILE, F.lit("+"), F.lit("%2B")))
         paths = [row[0] for row in files.where("not gone").select(decoded).collect()]  # as the scan itself lists them
         reader = self.spark.read.schema(self.schema).option("basePath", self.root)
-        rows = reader.parquet(*paths) if paths else reader.parquet(self.root).limit(0)
-        sums = rows.groupBy(F.col("_metadata.file_path").alias(FILE), *self.by).agg(
-            *[MERGE[how](value).alias(name) for name, (how, value) in self.measures.items()]
-        )
-        return sums.withColumn("is_file", F.lit(False)).unionByName(
+        return reader.parquet(*paths) if paths else reader.parquet(self.root).limit(0)
+
+    def _marked(self, kept: DataFrame, files: DataFrame) -> DataFrame:
+        """What is kept, and one row for each file that says it was read (is_file), or that it is gone (NULL)."""
+        return kept.withColumn("is_file", F.lit(False)).unionByName(
             files.withColumn("is_file", F.when(~F.col("gone"), True)).drop("gone"), allowMissingColumns=True
         )
 
+
+class PartialSums(FileState):
+    """Mergeable sums of the Parquet files below `root`.
+
+    by        grouping columns of the finest grain, the slice among them
+    measures  name to (`sum` | `min` | `max`, input): what can be merged again; a count is a sum of ones
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, schema, state: str, slice_col: str, by: Sequence[str],
+        measures: Mapping[str, tuple[str, Column]], buckets: int | None = None,
+    ):
+        super().__init__(spark, root, schema, state, buckets)
+        self.slice_col, self.by, self.measures = slice_col, list(by), dict(measures)
+        if slice_col not in self.by:
+            raise ValueError(f"{slice_col} must be among the grouping columns")
+        self.slices = Generations(spark, f"{state}/slices")
+
+    def _reduced(self, files: DataFrame) -> DataFrame:
+        """Sums of the files, and a row for each file."""
+        sums = self._rows(files).groupBy(F.col("_metadata.file_path").alias(FILE), *self.by).agg(
+            *[MERGE[how](value).alias(name) for name, (how, value) in self.measures.items()]
+        )
+        return self._marked(sums, files)
+
     def update(self) -> tuple[DataFrame, str] | None:
         """Take in files that are new, have changed or are gone; the slices to add up again, and the run. None for no such file.
 
