@@ -326,7 +326,7 @@ def profile_by_file(spark: SparkSession, folder: str) -> DataFrame:
         root = session.scratch_path(spark, name)
         rows.where(first).write.parquet(root)
         late.append((rows.where(~first), root))
-        sources[name] = profiles.StoredProfile(spark, root, rows.schema, session.scratch_path(spark, "state"))
+        sources[name] = profiles.StoredProfile(spark, root, rows.schema, session.scratch_path(spark, "state"), buckets=4)
     profiles.profile_run(sources, run_id=RUN)
     for rows, root in late:
         rows.write.mode("append").parquet(root)
