@@ -331,3 +331,22 @@ def profile_by_file(spark: SparkSession, folder: str) -> DataFrame:
     for rows, root in late:
         rows.write.mode("append").parquet(root)
     return profiles.profile_run(sources, run_id=RUN).select(*VISIBLE)
+
+
+SURE = [c for c in VISIBLE if not c.startswith("distinct_")]
+
+
+@check(
+    "profile_by_file_sketched",
+    f"select {', '.join(SURE)}, true as distinct_close from ({table_sql('lineitem', TYPES['lineitem'])})",
+)
+def profile_by_file_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles kept as one sketch for each file and column; estimates are held against the exact counts, 5 % apart at most."""
+    rows = table(spark, folder, "lineitem")
+    root = session.scratch_path(spark, "sketched")
+    rows.write.parquet(root)
+    source = profiles.StoredProfile(spark, root, rows.schema, session.scratch_path(spark, "state"), buckets=4, sketches=True)
+    exact = profiled(spark, {"lineitem": rows}).select("column_name", F.col("distinct_count").alias("exact_count"))
+    found = profiles.profile_run({"lineitem": source}, run_id=RUN).join(exact, "column_name")
+    close = F.abs(F.col("distinct_count") - F.col("exact_count")) <= F.col("exact_count") * 0.05
+    return found.select(*SURE, close.alias("distinct_close"))

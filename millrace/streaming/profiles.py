@@ -3,12 +3,13 @@
 Every file of a table is read once: its counts, minima and maxima go into one row and its distinct values
 (numbers as they are, texts as digests) into rows of their own, all under the file's path. A profile
 merges what is kept of all files; it equals one that reads the whole table. New and changed files replace
-what was kept of them, files that are gone leave it.
+what was kept of them, files that are gone leave it. With `sketches` a file keeps one mergeable sketch for each
+column in place of its distinct values: distinct counts are estimates then, and the state stays small.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,24 +23,33 @@ class StoredProfile(FileState):
     """Mergeable profile of the Parquet files below `root`; the schema and `blanks_are_null` must stay the same.
 
     The distinct values of a file are one row each, at most as many as it has values; nothing is dropped.
-    An empty folder, or one whose files have no rows, gives the profile of an empty table.
+    With `sketches` they are one row of bounded size for each column (`operators.profile.column_sketches`);
+    everything but the distinct counts stays exact. A state of the other kind is refused. An empty folder, or one whose files have no rows, gives the profile of an empty table.
     """
 
     def __init__(
         self, spark: SparkSession, root: str, schema: T.StructType, state: str, blanks_are_null: bool = True,
-        buckets: int | None = None,
+        buckets: int | None = None, sketches: bool = False,
     ):
         super().__init__(spark, root, schema, state, buckets)
         if FILE in schema.names:
             raise ValueError(f"a profiled table cannot have a column {FILE}")
-        self.blanks_are_null = blanks_are_null
+        self.blanks_are_null, self.sketches = blanks_are_null, sketches
+
+    def _stored(self) -> DataFrame | None:
+        stored = super()._stored()
+        if stored is not None and (profile.SKETCH in stored.columns) != self.sketches:
+            raise ValueError("the stored profile keeps " + ("values, not sketches" if self.sketches else "sketches, not values"))
+        return stored
+
+    def _distinct(self, rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        return profile.column_sketches(rows, by) if self.sketches else profile.column_values(rows, by=by).distinct()
 
     def _kept(self, files: DataFrame) -> DataFrame:
-        """One row of facts for each file (no `slot`) and a row for each of its distinct values."""
+        """One row of facts for each file (no `slot`) and a row for each of its distinct values, or of its columns' sketches."""
         rows = self._rows(files).select(F.col("_metadata.file_path").alias(FILE), "*")
         facts = profile.typed_facts(rows, self.blanks_are_null, by=[FILE])
-        values = profile.column_values(rows, by=[FILE]).distinct()
-        return self._marked(facts.unionByName(values, allowMissingColumns=True), files)
+        return self._marked(facts.unionByName(self._distinct(rows, [FILE]), allowMissingColumns=True), files)
 
     def update(self) -> int:
         """Take in files that are new, have changed or are gone; returns how many. A run that died is taken up with the same files."""
@@ -57,7 +67,7 @@ class StoredProfile(FileState):
         stored = self._stored()
         if stored is None:
             none = self.spark.createDataFrame([], self.schema)
-            return self.schema, profile.typed_facts(none, self.blanks_are_null), profile.column_values(none)
+            return self.schema, profile.typed_facts(none, self.blanks_are_null), self._distinct(none)
         kept = stored.where("not is_file")
         return self.schema, kept.where("slot is null"), kept.where("slot is not null")
 

@@ -60,6 +60,49 @@ def test_files_come_change_and_go(spark, tmp_path):
     assert kept((plain, plain)) == whole(blanks_are_null=False)
 
 
+def test_sketches_merge(spark, tmp_path):
+    root, schema, state = str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema, str(tmp_path / "state")
+    source = profiles.StoredProfile(spark, root, schema, state, sketches=True)
+
+    def compare():
+        table = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+        whole = {r.column_name: r for r in profile.profile_tables({"t": table}, run_id="r").collect()}
+        mine = profile.profile_states({"t": source.state()}, run_id="r").collect()
+        assert {r.column_name for r in mine} == set(whole)
+        for r in mine:
+            want = whole[r.column_name].asDict()
+            for c in set(SHOWN) - {"distinct_count", "distinct_percentage"}:
+                assert r[c] == want[c]
+            # few values are counted exactly
+            assert r.distinct_count == pytest.approx(want["distinct_count"], rel=0.04 if want["distinct_count"] > 200 else 0)
+
+    rows(spark, 0, 4000).coalesce(1).write.parquet(f"{root}/one")
+    rows(spark, 0, 0).coalesce(1).write.parquet(f"{root}/empty")
+    assert source.update() == 2
+    compare()
+    rows(spark, 3000, 9000).coalesce(2).write.parquet(f"{root}/two")  # a part of its values is known
+    source.update()
+    compare()
+    kept = source._stored().where("slot is not null")
+    assert kept.groupBy("source_file", "slot").count().where("count > 1").isEmpty()  # one row, however many values
+    assert kept.agg(F.max(F.octet_length("sketch"))).first()[0] < 40_000
+    rows(spark, 0, 10).coalesce(1).write.mode("overwrite").parquet(f"{root}/two")  # files that are gone leave it
+    source.update()
+    compare()
+    with pytest.raises(ValueError):
+        profiles.StoredProfile(spark, root, schema, state).update()
+
+
+def test_kept_values_and_sketches_in_one_run(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema
+    rows(spark, 0, 60).coalesce(1).write.parquet(f"{root}/one")
+    exact = profiles.StoredProfile(spark, root, schema, str(tmp_path / "a"))
+    sketched = profiles.StoredProfile(spark, root, schema, str(tmp_path / "b"), sketches=True)
+    table = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+    mine = profiles.profile_run({"a": exact, "b": sketched}, run_id="r")
+    assert shown(mine) == shown(profile.profile_tables({"a": table, "b": table}, run_id="r"))
+
+
 def test_a_run_that_died_is_taken_up(spark, tmp_path, monkeypatch):
     root, schema = str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema
     rows(spark, 0, 20).coalesce(1).write.parquet(f"{root}/one")
