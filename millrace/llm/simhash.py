@@ -300,8 +300,8 @@ def near_duplicates(
     component_id is the least id of all documents reachable over links, the document itself included.
     Copies share a fingerprint, which is probed once however many there are. NULL texts and texts
     without words have fingerprint 0 and link like any other. Rows with a NULL id take part; where
-    all ids of a component are NULL, so is component_id. Repeated rows come back repeated. An empty
-    table gives an empty result. Other columns are not read.
+    all ids of a component are NULL, so is component_id. Texts of any length are read whole. Repeated
+    rows come back repeated. An empty table gives an empty result. Other columns are not read.
     """
     marked, rooted, least = _components(docs, text, doc_id, shingle, distance)
     placed = rooted.join(least, "root").select("fp", F.col("least.doc_id").alias("component_id"))

@@ -127,8 +127,8 @@ def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
 def token_counts(docs: DataFrame, text: str = "text", ranks: str | None = None) -> DataFrame:
     """The histogram of encoded lengths with its suffix sums.
 
-    NULL and empty texts have length 0; repeated rows count; other columns are not read; an empty
-    table gives an empty result.
+    NULL and empty texts have length 0; texts of any length are encoded whole; repeated rows count;
+    other columns are not read; an empty table gives an empty result.
     """
     histogram = length_histogram(docs, encoded_length(F.col(text), ranks))
     return suffix_sums(session.settle(histogram, "lengths"))  # the sums read it twice
