@@ -22,8 +22,8 @@ def quoted(value: str | None) -> str:
 
 
 def tail(text: str, separator: str = "/") -> str:
-    """Last piece of a delimited text."""
-    return f"split_part({text}, {quoted(separator)}, -1)"
+    """Last piece of a text delimited by one character; the others are not cut out."""
+    return f"substring_index({text}, {quoted(separator)}, -1)"
 
 
 def elements(array: str) -> str:

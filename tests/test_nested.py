@@ -105,3 +105,12 @@ def test_text_traps(spark):
 def test_quoted(spark):
     for value in ("it's", "a\\b", "line\nbreak", ""):
         assert spark.range(1).select(F.expr(nested.quoted(value))).first()[0] == value
+
+
+def test_tail_is_the_last_piece_of_any_text(spark):
+    texts = ["", "/", "a", "a/", "/a", "a//b", "é/ü", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(
+        f"{nested.tail('t')} as found", "split_part(t, '/', -1) as wanted"
+    )
+    assert [r.found for r in rows.collect()] == [r.wanted for r in rows.collect()]
+    assert "split" not in nested.tail("t")  # which makes an array of all pieces for every element of every document
