@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import session
+from millrace.operators import flatten
 from millrace.plans import dimensions, history, resource_specs, resources
 from millrace.sources import keyed
 
@@ -121,6 +122,61 @@ def test_documents_tied_on_their_time_merge(spark):
     assert rows[0]["prov_organization_name"] == "b" and rows[0]["national_prov_id_list"] == "1 2"
 
 
+def role_doc(record, places, nets=(), **more):
+    extension = [{"url": "http://x/networkreference", "valueReference": ref(f"Network/{n}")} for n in nets]
+    return {
+        "id": record, "resourceType": "PractitionerRole", "practitioner": ref("Practitioner/p"), "extension": extension,
+        "location": [ref(f"Location/{p}") for p in places], **more,
+    }
+
+
+def test_documents_alone_give_the_rows_of_the_merge(spark):
+    rows = [
+        raw_row(role_doc("r1", ["a", "b", "a"], ["n2", "n1", "n2"])),
+        raw_row(role_doc("r1", ["old"]), modified=1, record="r2"),
+        raw_row(role_doc("r2", []), modified=2),
+        raw_row(role_doc("r3", ["a"], ["n1"], period={"start": "1"}), modified=3),
+        raw_row(role_doc("r3", ["a", "c"], ["n2"], period={"start": "2"}), modified=3),
+    ]
+    docs = resources.current_documents(raw_of(spark, *rows), resource_specs.PRACTITIONER_ROLE)
+    assert {r.file_record_id: r.alone for r in docs.collect()} == {"r1": True, "r2": True, "r3": False}
+    both = [
+        sorted(map(str, resources.flatten_documents(d, resource_specs.PRACTITIONER_ROLE).collect()))
+        for d in (docs, docs.drop("alone"))
+    ]
+    assert both[0] == both[1] and len(both[0]) == 2 * 2 + 1 + 3
+
+
+def test_documents_alone_are_neither_sorted_nor_grouped(spark):
+    docs = resources.current_documents(raw_of(spark, raw_row(role_doc("r", ["a"]))), resource_specs.PRACTITIONER_ROLE)
+    rows = resources.flatten_documents(docs.where("alone"), resource_specs.PRACTITIONER_ROLE)
+    rows = rows.where("prov_eff_dt is null").select("file_record_id", "prov_eff_dt", "value_based_program_id")
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    union = plan[plan.index("Union"):] if "Union" in plan else plan
+    first = union.split("ObjectHashAggregate")[0]
+    assert "ShuffledHashJoin" in first and "SortMergeJoin" not in plan
+
+
+def test_only_the_first_services_of_a_service_are_joined(spark):
+    facts = spark.createDataFrame(
+        [("r1", "E", "s1"), ("r1", "E", "s2"), ("r2", "E", "s1"), ("r2", "E", "s1"), ("r3", "E", None), ("r4", "F", "s1")],
+        "file_record_id string, file_export_type string, healthcare_service_ref_record_id string",
+    )
+    rows = [("E", "s1", str(i), "x") for i in (6, 5, 4, 3, 3, 2)] + [("E", "s2", "9", "y"), ("E", "s2", None, "y"), ("E", "s0", "0", "z")]
+    service = spark.createDataFrame(
+        rows, "file_export_type string, file_record_id string, healthcare_service_type_cd string, healthcare_service_type string"
+    )
+    found = {r[0]: list(r[1:]) for r in history.provider_services(facts, service).collect()}
+    assert found == {"r1": ["9:y", None, "2:x", "3:x"], "r2": ["2:x", "3:x", "3:x", "4:x"]}
+
+
+def test_an_empty_unfolded_array_is_seen_after_parsing(spark):
+    parsed = spark.range(3).select("id", F.expr("slice(array(null, 7), 1, cast(id as int))").alias("one"))
+    rows = flatten.flatten_parsed(parsed, "one")
+    assert sorted((r.id, r.one) for r in rows.where("id < 2").collect()) == [(1, None)] and rows.count() == 3
+    assert "size(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_equal_measures_are_one_row_whatever_their_key_order(spark):
     first = {"url": "m", "extension": [{"url": "q/decile", "valueInteger": 3}]}
     again = {"extension": [{"valueInteger": 3, "url": "q/decile"}], "url": "m"}
