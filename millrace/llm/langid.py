@@ -16,17 +16,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.llm.text import free_name
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)  # characters of an n-gram; a word's edge counts as one character
 SLOT_BITS = 20  # 2**20 slots: 8 MB for up to 64 languages, whatever the corpus
 HASHES = 3
-SAMPLE_DOCS = 3000  # distinct learning texts per language, about; picked by a hash of the text
 TOP_GRAMS = 30_000  # most frequent n-grams that one language may put into its filter
 LEAST_SHARE = 0.5  # of the n-gram's largest frequency among languages; below, it says too little
 FALSE_SHARE = 0.001  # of labelled texts that may lie below the share from which `least_share` is taken
 CHUNK = 1 << 20  # characters handled at a time
+BINS = 1000  # counts taken at a time to find the value at a rank
 
 _EDGE = np.uint32(1)
 _TABLE: list[np.ndarray] = []
@@ -146,8 +147,20 @@ def _count(batches):
                 yield summed(pieces)
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Filters from the rows of `docs` with a language: about `sample_docs` distinct texts for each one.
+def _sampled(known: DataFrame, sample_docs: int) -> DataFrame:
+    """Rows of about so many distinct texts (`digest`) of each language."""
+    sizes = (
+        known.groupBy("lang", "digest").agg(F.count("*").alias("rows"))
+        .groupBy("lang").agg(F.count("*").alias("texts"))
+    )
+    parts = [F.lit(x) for r in sizes.collect() for x in (r.lang, min(10**6, -(-sample_docs * 10**6 // r.texts)))]
+    if not parts:
+        return known
+    return known.where(F.pmod("digest", F.lit(10**6)) < F.try_element_at(F.create_map(*parts), F.col("lang")))
+
+
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int | None = None) -> Model:
+    """Filters from the rows of `docs` with a language: all distinct texts, or about `sample_docs` for each language.
 
     Copies count once, so every language with a text is learned and no text outweighs the others.
     N-grams are counted by Spark; a language keeps those that it uses at least LEAST_SHARE as often
@@ -156,16 +169,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs:
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     known = known.withColumn("digest", F.xxhash64("text", F.lit(8)))
-    sizes = (
-        known.groupBy("lang", "digest").agg(F.count("*").alias("rows"))
-        .groupBy("lang").agg(F.count("*").alias("texts"))
-    )
-    sizes = {r.lang: r.texts for r in sizes.collect()}
-    if not sizes:
-        return Model([])
-    parts = [F.lit(x) for name, n in sizes.items() for x in (name, min(10**6, -(-sample_docs * 10**6 // n)))]
-    parts = F.create_map(*parts)
-    picked = known.where(F.pmod("digest", F.lit(10**6)) < F.try_element_at(parts, F.col("lang")))
+    picked = known if sample_docs is None else _sampled(known, sample_docs)
     picked = picked.dropDuplicates(["lang", "digest"])
     counted = picked.select("text", "lang").mapInArrow(_count, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1")
@@ -199,24 +203,43 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return docs.withColumn(free_name(docs.columns, "language"), language(model, F.col(text)))
 
 
-def least_share(
-    docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS
-) -> float:
+def _at_rank(values: DataFrame, rank: int) -> float:
+    """The value of the only column at a rank (from 0) of its ascending order, from ever finer counts of BINS bins at most."""
+    value = F.col(values.columns[0])
+    ends = [F.min(value).alias("low"), F.max(value).alias("high")]
+    low, high = values.agg(*ends).first()
+    while low < high:
+        place = F.least(F.floor((value - F.lit(low)) / F.lit((high - low) / BINS)), F.lit(BINS - 1))
+        bins = values.where(value.between(low, high)).groupBy(place.alias("bin")).agg(F.count("*").alias("n"), *ends)
+        for found in sorted(bins.collect()):
+            if rank < found.n:
+                low, high = found.low, found.high
+                break
+            rank -= found.n
+    return low
+
+
+def least_share(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> float:
     """The share of its n-grams that a text must have in its language's filter, from labelled texts not learned from.
 
     Half of what all but FALSE_SHARE of them have that are predicted right, 0 where there is none.
-    Takes about `sample_docs` distinct texts for each language of the model, picked by a hash.
+    Takes every labelled text, copies once: texts are predicted where they are and only shares are moved.
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    known = known.withColumn("digest", F.xxhash64("text", F.lit(9)))
-    rows = known.agg(F.count("*").alias("n")).first().n
-    if not rows or not model.languages:
+    if not model.languages:
         return 0.0
-    part = min(10**6, -(-sample_docs * len(model.languages) * 10**6 // rows))
-    picked = known.where(F.pmod("digest", F.lit(10**6)) < part).dropDuplicates(["lang", "digest"])
-    found = picked.select("lang", language(model, F.col("text")).alias("found")).where("found.lang_pred = lang")
-    edge = found.agg(F.percentile("found.share", F.lit(FALSE_SHARE)).alias("p")).first().p
-    return (edge or 0.0) / 2
+    found = known.select("lang", F.xxhash64("text", F.lit(9)).alias("digest"), language(model, F.col("text")).alias("found"))
+    right = found.where("found.lang_pred = lang").select("lang", "digest", "found.share").distinct()
+    with session.workspace(docs.sparkSession) as settle:
+        shares = settle(right.select("share"), "language-shares")
+        count = shares.count()
+        if not count:
+            return 0.0
+        place = FALSE_SHARE * (count - 1)
+        below = int(place)
+        low = _at_rank(shares, below)
+        high = _at_rank(shares, below + 1) if place > below else low
+        return (low + (high - low) * (place - below)) / 2
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import langid, queries
@@ -105,6 +106,26 @@ def test_texts_of_no_learned_script_go(spark):
     assert langid.least_share(docs.limit(0), model) == 0.0
 
 
+def test_every_labelled_text_counts(spark):
+    # more texts than any sample holds, one of each kind with words that nothing else has
+    rows = [(f"mini mono nomi {'omin ' * (i % 7)}{i}", "yy") for i in range(9000)] + [("susu rusu", "zz")]
+    rows += [(f"quxel dravo {i}", "yy") for i in range(3)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for tell in ("quxel", "dravo"):
+        assert langid.learn(docs).predict(tell)[2] == 1.0
+    odd = docs.unionAll(spark.createDataFrame([("mini kkkkkkkkkkkkkkk", "yy"), ("mini kkkkkkkkkkkkkkk", "yy")], docs.schema))
+    model = langid.learn(docs)
+    shares = [model.predict(t) for t in {t for t, _ in rows} | {"mini kkkkkkkkkkkkkkk"}]
+    right = [share for _, _, share in shares]  # all are predicted right
+    assert langid.least_share(odd, model) == pytest.approx(np.quantile(right, langid.FALSE_SHARE) / 2, rel=1e-9)
+
+
+def test_values_at_ranks(spark):
+    values = [0.0, 0.5, 0.5, 0.5, 0.50000001, 0.9, 1.0, *(i / 5000 for i in range(1500))]
+    rows = spark.createDataFrame([(v,) for v in values], "share double")
+    assert [langid._at_rank(rows, k) for k in (0, 1, 700, 1506)] == [sorted(values)[k] for k in (0, 1, 700, 1506)]
+
+
 def test_copies_count_once(spark):
     # a language of a few texts in many copies, and copies that would drown the other texts of theirs
     texts = [("susu rusu", "zz", 30_000), ("mini mono nomi", "yy", 20_000), *((f"omin imono nimon {'nomi ' * k}", "yy", 1) for k in range(40))]
