@@ -189,7 +189,9 @@ def language(model: Model, text: Column) -> Column:
     def predicted(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score", "share"])
 
-    return predicted(text)
+    # so marked, a filter on the result stays above the prediction: pushed into the joins and arrays that
+    # made the text it could not be evaluated, and a text would be predicted once for each condition
+    return predicted.asNondeterministic()(text)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
