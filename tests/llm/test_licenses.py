@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import textwrap
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,46 @@ def test_odd_rows(spark):
     got = licenses.scan(spark.createDataFrame(odd, SCHEMA)).where("confirmed").collect()
     assert [(r.doc_id, r.family) for r in got] == [(3, "reserved")] * 2
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_paragraph_is_learned_from(spark, monkeypatch):
+    """The unknown class holds each distinct paragraph once, however many there are, all of them with a bounded weight."""
+    some = ["the work", "the software and", "or the", "nothing known", "in any version of the work"]
+    lines = [f"{some[i % 5]} x{i}" for i in range(9000)]
+    rows = [(i, "\n".join(lines[10 * i : 10 * i + 10]), 1, "x") for i in range(900)]
+    rows += [(1000, lines[7], 1, "x"), (1001, "All rights reserved.\n!?\n" + lines[8], 1, "x"), (1002, None, 1, "x")]
+    seen, learn = [], licenses.LogisticRegression.fit
+
+    def fit(self, examples, *more):
+        weight = F.col("weight") if "weight" in examples.columns else F.lit(1.0)
+        found = examples.where(F.col("label") == licenses.FAMILIES.index(licenses.UNKNOWN)).select("features", weight.alias("weight"))
+        seen.extend((tuple(r.features.indices), r.weight) for r in found.collect())
+        return learn(self, examples, *more)
+
+    monkeypatch.setattr(licenses.LogisticRegression, "fit", fit)
+    assert licenses.scan(spark.createDataFrame(rows, SCHEMA)).where("confirmed").count() == 1
+    got = Counter()
+    for features, weight in seen:
+        got[features] += weight
+    assert len(got) == 5 and len(set(map(round, got.values()))) == 1  # 1800 distinct paragraphs each
+    assert sum(got.values()) == pytest.approx(licenses.UNKNOWN_WEIGHT)
+
+
+@pytest.mark.parametrize("total", [1, 2, 999, 1001, 5000, 40_000])
+def test_threshold_of_all_paragraphs(spark, total):
+    random = np.random.default_rng(total)
+    values = random.choice(random.beta(0.2, 2, 500), total)
+    counts = Counter(v for v in values.tolist() if v >= licenses.LEAST_SURE)
+    seen = spark.createDataFrame(sorted(counts.items()), "value double, n long")
+    want = np.quantile(np.where(values >= licenses.LEAST_SURE, values, licenses.LEAST_SURE), 1 - licenses.FALSE_SHARE)
+    assert licenses._threshold(seen, total) == pytest.approx(max(licenses.LEAST_SURE, want))
+
+
+def test_half_like(spark):
+    """The comparison that leaves most paragraphs out agrees with the whole one."""
+    texts = [t for templates in licenses.TEMPLATES.values() for t in templates]
+    words = [re.findall(r"[a-z0-9]+", t.lower()) for t in texts]
+    some = [" ".join(w[a : a + len(w) * n // 8]) for w in words for n in (2, 3, 4, 5, 8) for a in (0, len(w) // 3)]
+    frame = spark.createDataFrame([(t,) for t in some], "t string").select("t", licenses._pairs(licenses._words(F.col("t"))).alias("pairs"))
+    for r in frame.select("t", licenses._half_like(F.col("pairs")).alias("half")).collect():
+        assert r.half == (max(brute(r.t).values()) >= 0.5), r.t
