@@ -60,6 +60,23 @@ def test_files_come_change_and_go(spark, tmp_path):
     assert kept((plain, plain)) == whole(blanks_are_null=False)
 
 
+def test_values_are_kept_in_arrays(spark, tmp_path):
+    """What is kept of a file's column takes some rows, not one for each of its values, and holds each value once."""
+    root, schema = str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema
+    source = profiles.StoredProfile(spark, root, schema, str(tmp_path / "state"))
+    rows(spark, 0, 3000).unionAll(rows(spark, 0, 2000)).coalesce(1).write.parquet(f"{root}/one")
+    rows(spark, 1000, 5000).coalesce(1).write.parquet(f"{root}/two + %")
+    source.update()
+    kept = source._stored().where("slot is not null")
+    assert kept.groupBy("source_file", "slot").count().agg(F.max("count")).first()[0] <= 8  # the session's shuffle partitions
+    assert {r.source_file.rsplit("/", 2)[-2] for r in kept.select("source_file").distinct().collect()} == {"one", "two%20+%20%25"}
+    found = source.state()[2]
+    assert found.columns == ["slot", *profile.VALUE] and found.where("slot = 3").count() == 3000 + 4000
+    table = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+    whole = profile.profile_tables({"t": table}, run_id="r")
+    assert shown(profile.profile_states({"t": source.state()}, run_id="r")) == shown(whole)
+
+
 def test_sketches_merge(spark, tmp_path):
     root, schema, state = str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema, str(tmp_path / "state")
     source = profiles.StoredProfile(spark, root, schema, state, sketches=True)
