@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.operators import flatten
+from millrace.operators import flatten, versions
 from millrace.plans import dimensions, history, resource_specs, resources
 from millrace.sources import keyed
 
@@ -157,6 +157,60 @@ def test_documents_alone_are_neither_sorted_nor_grouped(spark):
     assert "ShuffledHashJoin" in first and "SortMergeJoin" not in plan
 
 
+def test_every_repeated_key_is_compared(spark):
+    """The bitmap knows each key that comes twice, whatever bit it falls on; single ones mostly stay where they are."""
+    rows = spark.range(30000).selectExpr("concat('r', id) as k", "explode(if(id % 3 = 0, array(1, 2), array(1))) as clock")
+    repeated = versions.has_bit(versions.repeated_keys(rows, ["k"]), ["k"])
+    assert rows.where(repeated & (F.substring("k", 2, 9).cast("int") % 3 == 0)).count() == 20000
+    assert rows.where(~repeated).count() > 19000
+    newest = versions.latest_marked(rows, ["k"], "clock")
+    assert newest.count() == 30000 and newest.where("clock = 2").count() == 10000 and newest.where("alone").count() == 30000
+
+
+def test_lone_documents_are_not_moved(spark):
+    rows = [raw_row(role_doc(f"r{n}", ["a"])) for n in range(200)] + [raw_row(role_doc("r0", ["b"]), modified=2)]
+    docs = resources.current_documents(raw_of(spark, *rows), resource_specs.PRACTITIONER_ROLE)
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "Join" in plan and "Join" not in plan[plan.index("\n+- ") :]  # only the compared ones meet others
+    assert sorted(r.file_record_id for r in docs.collect()) == sorted(f"r{n}" for n in range(200))
+
+
+def test_extensions_are_found_by_their_place_as_by_going_through_all(spark):
+    """Repeated urls take the greatest value, a lone one without a value stays NULL, others give ''."""
+    def inner(url, **more):
+        return {"url": url, **more}
+
+    def coded(*codes):
+        return {"coding": [{"code": c} for c in codes]}
+
+    details = [
+        inner("provAffType", valueCodeableConcept=coded("a", "c")), inner("provAffType", valueCodeableConcept=coded("b")),
+        inner("pcpEffectivePeriod", valuePeriod={"start": "1", "end": None}), inner("characteristics"),
+        inner("provAffRef", valueReference={"reference": "Organization/h1"}), inner("provAffRef", valueReference={}),
+    ]
+    outer = [
+        {"url": "http://x/licenseereference", "valueReference": ref("Licensee/2")},
+        {"url": "http://y/licenseereference", "valueReference": ref("Licensee/1")},
+        {"url": "http://x/provcontract", "valueBoolean": True},
+        {"url": "http://x/details", "extension": details},
+    ]
+    doc = {"id": "r", "resourceType": "PractitionerRole", "extension": outer}
+    alone = {**doc, "id": "s", "extension": [{"url": "http://x/details", "extension": [inner("characteristics")]}]}
+    found = {r["file_record_id"]: r for r in flat(spark, [raw_row(doc), raw_row(alone)], "PractitionerRole")}
+    one, two = found["r"], found["s"]
+    assert (one["prov_affil_type"], one["pcp_eff_dt"], one["pcp_end_dt"]) == ("c", "1", "")
+    assert (one["prov_affil_ref"], one["licensee_ref_record_id"], one["prov_contract_status"]) == ("h1", "2", "true")
+    assert one["prov_patient_gender_limit"] == "" and two["prov_patient_gender_limit"] is None and two["prov_affil_type"] == ""
+
+
+def test_documents_are_parsed_apart_from_their_making(spark):
+    """A text that the query makes is made once, by compiled code: Spark does not draw it into the parser's arguments."""
+    made = raw_of(spark, raw_row(role_doc("r", ["a"]))).withColumn("file_content_raw", F.to_json(F.struct(F.col("file_record_id").alias("id"))))
+    rows = resources.flatten_resource(made, resource_specs.PRACTITIONER_ROLE)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "from_json" in line and "StructsToJson" in line]
+
+
 def test_only_the_first_services_of_a_service_are_joined(spark):
     facts = spark.createDataFrame(
         [("r1", "E", "s1"), ("r1", "E", "s2"), ("r2", "E", "s1"), ("r2", "E", "s1"), ("r3", "E", None), ("r4", "F", "s1")],
