@@ -8,10 +8,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import histories
 from millrace import session
 from millrace.operators import flatten, versions
 from millrace.plans import dimensions, history, resource_specs, resources
-from millrace.sources import keyed
+from millrace.sources import keyed, ndjson
 
 RAW = (
     "file_name string, file_row_number bigint, file_content_key string, file_last_modified timestamp, "
@@ -224,6 +225,23 @@ def test_only_the_first_services_of_a_service_are_joined(spark):
     assert found == {"r1": ["9:y", None, "2:x", "3:x"], "r2": ["2:x", "3:x", "3:x", "4:x"]}
 
 
+def test_services_of_roles_store_no_documents(spark, tmp_path, monkeypatch):
+    def refuse(*args):
+        raise AssertionError("documents are stored")
+
+    monkeypatch.setattr(ndjson, "write_raw", refuse)
+    given = {
+        "customer": "values (1L, 7), (2L, 8) as t(c_custkey, c_nationkey)",
+        "orders": "values (5L, 1L, 'O', timestamp'2024-01-01', '1-URGENT'), (6L, 2L, 'F', timestamp'2024-01-01', '5-LOW') "
+        "as t(o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority)",
+        "part": "values (1L, 20, 'x', 'b', 'n'), (5L, 1, 'y', 'b', 'n') as t(p_partkey, p_size, p_type, p_brand, p_name)",
+    }
+    for name, rows in given.items():
+        spark.sql(f"select * from {rows}").write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = {r[0]: list(r[1:]) for r in histories.provider_services(spark, str(tmp_path)).collect()}
+    assert found == {"role5-role": ["t1:x 1", "t2:x 2", None, None]}
+
+
 def test_an_empty_unfolded_array_is_seen_after_parsing(spark):
     parsed = spark.range(3).select("id", F.expr("slice(array(null, 7), 1, cast(id as int))").alias("one"))
     rows = flatten.flatten_parsed(parsed, "one")
